@@ -11,6 +11,7 @@ from railyard.functions.text import first_truthy, truthy
 _DAY = r"(?!0000)(\d{4}-\d{2}-\d{2}|\d{8})"
 _CLOCK = r"([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d([.,]\d+)?)?|[0-5]\d([0-5]\d([.,]\d+)?)?)?"
 _ZONE = r"(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d([.,]\d+)?)?)?)"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2}).*$"
 _ISO = f"^{_DAY}(Z|.{_CLOCK}{_ZONE}?)?$"
 
 
@@ -28,10 +29,8 @@ def parse_iso_date(c: Column) -> Column:
     A bare cast would also accept "2026", "2026-7-5" and "2026-07-25Txx".
     ISO week dates ("2026-W30-6") are not supported.
     """
-    dashed = F.when(F.substring(c, 5, 1) == "-", F.substring(c, 1, 10)).otherwise(
-        F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
-    )
-    return F.when(c.rlike(_ISO), dashed.try_cast("date"))
+    day = F.regexp_replace(F.substring(c, 1, 10), _COMPACT, "$1-$2-$3")
+    return F.when(c.rlike(_ISO), day).try_cast("date")
 
 
 def parse_fra_date(

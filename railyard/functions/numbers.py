@@ -7,37 +7,43 @@ from pyspark.sql import functions as F
 
 from railyard.functions.text import strip
 
-_PLAIN = "0123456789.eE+-"
-_SPECIAL = r"(?i)^[+-]?(inf|infinity)$"
-_NAN = r"(?i)^[+-]?nan$"
-_GROUPED = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
+# A cast also takes "1d", "1f" and hexadecimal floats, and does not take "1_000".  Only
+# text with one of these letters is matched against the full pattern.
+_SUSPECT = "[dDfFxX_]"
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER = (
+    rf"^\s*(?:[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    r"|[+-]?(?i:inf|infinity))\s*$"
+)
 
 
-def safe_float(c: Column) -> Column:
-    """Parse a double; null when the text is not a number.
+def _number_text(c: Column) -> Column:
+    """The text as it may be cast to a number, null when it must not be.
 
-    Java would also take "1d", "1f" and hexadecimal floats, and does not take
-    "1_000" or "+nan".  Plain digits, the normal case, go straight to the cast; a
-    pattern is evaluated only for text with any other character in it.
+    Blank text is sorted out first: a failing cast to double costs a Java exception.
     """
-    s = strip(c)
-    return (
-        F.when(F.translate(s, _PLAIN, "") == "", s.try_cast("double"))
-        .when(s.rlike(_GROUPED), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(s.rlike(_NAN), F.lit(float("nan")))
-        .when(s.rlike(_SPECIAL), s.try_cast("double"))
+    return F.when((c != "") & ~c.rlike(_SUSPECT), c).when(
+        c.rlike(_NUMBER), F.replace(c, F.lit("_"), F.lit(""))
     )
 
 
+def safe_float(c: Column) -> Column:
+    """Parse a double; null when the text is not a number."""
+    return _number_text(c).try_cast("double")
+
+
 def safe_int(c: Column) -> Column:
-    """Parse as a double and cut towards zero; NaN and infinities are null."""
-    return safe_float(c).try_cast("bigint")
+    """Parse as a double and cut towards zero; NaN and infinities are null.
+
+    Up to 15 digits a double is exact, so plain whole numbers are cast directly.
+    """
+    whole = F.when((c != "") & (F.length(c) <= 15), c.try_cast("bigint"))
+    return F.coalesce(whole, safe_float(c).try_cast("bigint"))
 
 
 def safe_decimal(c: Column, precision: int = 38, scale: int = 2) -> Column:
     """Parse a decimal and round half to even."""
-    s = F.replace(strip(c), F.lit("_"), F.lit(""))
-    exact = F.when(safe_float(c).isNotNull(), s.try_cast("decimal(38,18)"))
+    exact = _number_text(c).try_cast("decimal(38,18)")
     return F.bround(exact, scale).try_cast(f"decimal({precision},{scale})")
 
 

@@ -9,8 +9,11 @@ from railyard.constants import PY_WHITESPACE
 
 
 def strip(c: Column) -> Column:
-    """Remove leading and trailing whitespace of every kind, not only blanks."""
-    return F.btrim(c, F.lit(PY_WHITESPACE))
+    """Remove leading and trailing whitespace of every kind, not only blanks.
+
+    Text of printable ASCII, the normal case, takes the much faster plain trim.
+    """
+    return F.when(c.rlike("[^ -~]"), F.btrim(c, F.lit(PY_WHITESPACE))).otherwise(F.trim(c))
 
 
 def truthy(c: Column) -> Column:

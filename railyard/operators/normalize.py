@@ -63,20 +63,39 @@ class _Raw:
 def _finish(
     raw: _Raw,
     name: str,
-    required: Column,
     columns: dict[str, Column],
+    present: list[str],
     ingested_at: Column | None,
+    given: Column | None = None,
+    checks: dict[str, Column] | None = None,
     valid_only: bool = True,
 ) -> DataFrame:
-    """Project to the table's schema and keep complete, valid rows."""
+    """Project to the table's schema and keep complete, valid rows.
+
+    ``given`` is a predicate on raw columns and reaches the scan.  ``present`` names
+    typed columns that must not be null, ``checks`` typed flags that must be true.
+
+    The typed columns go through ``inline`` of a one-element array, which the optimiser
+    does not push filters through: otherwise every parse in a filter would be evaluated
+    a second time below the projection.
+    """
     spec = table(name)
     columns = dict(columns)
     if "raw_record" in spec.columns:
         columns["raw_record"] = raw.record
     columns["ingested_at"] = F.current_timestamp() if ingested_at is None else ingested_at
     typed = [columns[f.name].cast(f.dataType).alias(f.name) for f in spec.schema.fields]
-    out = raw.df.where(required).select(*typed)
-    return out.where(is_valid(name)) if valid_only else out
+    flags = [c.alias(flag) for flag, c in (checks or {}).items()]
+    rows = raw.df if given is None else raw.df.where(given)
+    out = rows.select(F.struct(*typed, *flags).alias("_row")).select(F.inline(F.array("_row")))
+    keep = F.lit(True)
+    for column in present:
+        keep = keep & F.col(column).isNotNull()
+    for flag in checks or {}:
+        keep = keep & F.coalesce(F.col(flag), F.lit(False))
+    if valid_only:
+        keep = keep & is_valid(name)
+    return out.where(keep).select(*spec.columns)
 
 
 def _reported(parsed: Column, run_date: date | None, as_of: date) -> Column:
@@ -104,7 +123,9 @@ def norm_carloadings(
         "origin_region": first_not_null(*r.some("origin", "origin_region")),
         "destination_region": first_not_null(*r.some("destination", "destination_region")),
     }
-    return _finish(r, "rail_carloadings", carloads.isNotNull(), columns, ingested_at, valid_only)
+    return _finish(
+        r, "rail_carloadings", columns, ["carloads"], ingested_at, valid_only=valid_only
+    )
 
 
 def norm_grain_carloads(
@@ -128,8 +149,10 @@ def norm_grain_carloads(
         "origin_region": r["state"],
         "destination_region": F.lit(None),
     }
-    required = truthy(r["railroad"]) & cars.isNotNull()
-    return _finish(r, "rail_carloadings", required, columns, ingested_at, valid_only)
+    given = truthy(r["railroad"]) & r["all"].isNotNull()
+    return _finish(
+        r, "rail_carloadings", columns, ["carloads"], ingested_at, given, valid_only=valid_only
+    )
 
 
 def norm_service_metrics(
@@ -153,8 +176,8 @@ def norm_service_metrics(
         "region": r["region"],
         "segment": first_truthy(*r.some("variable", "segment")),
     }
-    required = truthy(label) & truthy(railroad) & value.isNotNull()
-    return _finish(r, "rail_service_metrics", required, columns, ingested_at)
+    given = truthy(label) & truthy(railroad)
+    return _finish(r, "rail_service_metrics", columns, ["metric_value"], ingested_at, given)
 
 
 def norm_indicators(
@@ -162,23 +185,21 @@ def norm_indicators(
 ) -> DataFrame:
     """Dated indicator observations; there is no fallback for a bad date."""
     r = _Raw(raw)
-    value = safe_float(r["value1"])
-    day = parse_iso_date(r["date"])
     columns = {
         "source": F.lit(source),
         "external_id": r["id"],
-        "snapshot_date": day,
+        "snapshot_date": parse_iso_date(r["date"]),
         "indicator": r["indicator"],
         "measure1": r["measure1"],
         "measure2": r["measure2"],
-        "value": value,
+        "value": safe_float(r["value1"]),
         "units": r["units"],
         "underlying_source": r["source"],
     }
-    required = (
-        r["id"].isNotNull() & r["indicator"].isNotNull() & value.isNotNull() & day.isNotNull()
+    given = r["id"].isNotNull() & r["indicator"].isNotNull() & r["value1"].isNotNull()
+    return _finish(
+        r, "freight_indicators", columns, ["value", "snapshot_date"], ingested_at, given
     )
-    return _finish(r, "freight_indicators", required, columns, ingested_at)
 
 
 def norm_safety_incidents(
@@ -214,8 +235,8 @@ def norm_safety_incidents(
         "longitude": safe_float(r["longitude"]),
         "narrative": r["narrative"],
     }
-    required = r["reportkey"].isNotNull() & day.isNotNull()
-    return _finish(r, "rail_safety_incidents", required, columns, ingested_at)
+    given = r["reportkey"].isNotNull()
+    return _finish(r, "rail_safety_incidents", columns, ["incident_date"], ingested_at, given)
 
 
 def norm_tariffs(
@@ -238,28 +259,24 @@ def norm_tariffs(
         "currency": F.lit("USD"),
         "movement_type": r["train_type"],
     }
-    required = (
+    given = (
         truthy(r["railroad"])
         & truthy(r["commodity"])
         & truthy(r["origin_city"])
         & truthy(r["destination_city"])
-        & _fits(r["tariff_car"], 10)
-        & _fits(r["fsc_car"], 8)
     )
-    return _finish(r, "rail_tariff_rates", required, columns, ingested_at)
+    checks = {"_rate_fits": _fits(r["tariff_car"], 10), "_fsc_fits": _fits(r["fsc_car"], 8)}
+    return _finish(r, "rail_tariff_rates", columns, [], ingested_at, given, checks)
 
 
 def _fits(money: Column, digits: int) -> Column:
-    """False for amounts that are numbers but too wide for their column.
+    """False for amounts that are numbers but too wide for their column, and for NaN.
 
     Amounts of 10^26 and more cannot even be rounded and count as missing.
     """
     size = F.abs(safe_float(money))
-    too_wide = F.isnan(size) | (
-        (size < 1e26) & (F.abs(safe_decimal(money, 38, 2)) >= F.lit(10**digits))
-    )
-    overflow = (size >= 10.0**digits) & (size < 1e26) & safe_decimal(money, 38, 2).isNull()
-    return ~F.coalesce(too_wide, F.lit(False)) & ~F.coalesce(overflow, F.lit(False))
+    limit = 10.0**digits - 0.005
+    return F.coalesce((size < limit) | ((size >= 1e26) & ~F.isnan(size)), F.lit(True))
 
 
 def norm_eurostat(decoded: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -279,14 +296,10 @@ def norm_eurostat(decoded: DataFrame, ingested_at: Column | None = None) -> Data
         ),
         "value": value,
     }
-    required = (
-        truthy(r["country_code"])
-        & truthy(r["period"])
-        & truthy(r["unit"])
-        & value.isNotNull()
-        & day.isNotNull()
+    given = truthy(r["country_code"]) & truthy(r["period"]) & truthy(r["unit"])
+    return _finish(
+        r, "rail_eurostat_freight", columns, ["value", "snapshot_date"], ingested_at, given
     )
-    return _finish(r, "rail_eurostat_freight", required, columns, ingested_at)
 
 
 def norm_carrier_census(
@@ -309,7 +322,8 @@ def norm_carrier_census(
         "mileage": safe_int(r["recent_mileage"]),
         "mileage_year": safe_int(r["recent_mileage_year"]),
     }
-    return _finish(r, "motor_carrier_census", truthy(r["dot_number"]), columns, ingested_at)
+    given = truthy(r["dot_number"])
+    return _finish(r, "motor_carrier_census", columns, [], ingested_at, given)
 
 
 def norm_waybills(
@@ -320,16 +334,17 @@ def norm_waybills(
     parse = {"int": safe_int, "float": safe_float, "text": blank_to_null}
     fields = waybill_fields()
     columns = {name: parse[kind](r[name]) for name, _, _, kind in fields if kind in parse}
-    day = parse_mmddyy(r["waybill_date"], reference_year)
     columns["source"] = F.lit("stb_waybill")
-    columns["snapshot_date"] = day
+    columns["snapshot_date"] = parse_mmddyy(r["waybill_date"], reference_year)
     columns["accounting_period"] = format_period(r["accounting_period"])
     columns["stcc"] = strip(r["stcc"])
     columns["interchange_states"] = join_nonblank(
         *[r[name] for name, _, _, kind in fields if kind == "state"]
     )
-    required = columns["carloads"].isNotNull() & truthy(r["stcc"]) & day.isNotNull()
-    return _finish(r, "waybill_shipments", required, columns, ingested_at)
+    given = truthy(r["stcc"])
+    return _finish(
+        r, "waybill_shipments", columns, ["carloads", "snapshot_date"], ingested_at, given
+    )
 
 
 def norm_transborder(
@@ -367,10 +382,16 @@ def norm_transborder(
         "containerized": F.coalesce(strip(r["CONTCODE"]) == "1", F.lit(False)),
         "distribution_flag": blank_to_null(r["DF"]),
     }
-    required = (
-        r["TRDTYPE"].isNotNull() & truthy(r["COUNTRY"]) & value.isNotNull() & day.isNotNull()
+    given = r["TRDTYPE"].isNotNull() & truthy(r["COUNTRY"])
+    return _finish(
+        r,
+        "transborder_freight",
+        columns,
+        ["value_usd", "snapshot_date"],
+        ingested_at,
+        given,
+        valid_only=valid_only,
     )
-    return _finish(r, "transborder_freight", required, columns, ingested_at, valid_only)
 
 
 def _label(labels: dict[str, str], code: Column) -> Column:
@@ -394,10 +415,9 @@ def norm_weekly_traffic(rows: DataFrame, ingested_at: Column | None = None) -> D
         "ytd_avg_week_cars": safe_int(r["ytd_avg_week_cars"]),
         "ytd_yoy_pct": parse_percent(r["ytd_yoy_pct"]),
     }
-    required = truthy(r["region"]) & truthy(r["category"])
-    for name in ("snapshot_date", "week_number", "year", "this_week_cars", "ytd_cars"):
-        required = required & columns[name].isNotNull()
-    return _finish(r, "aar_weekly_traffic", required, columns, ingested_at)
+    given = truthy(r["region"]) & truthy(r["category"])
+    present = ["snapshot_date", "week_number", "year", "this_week_cars", "ytd_cars"]
+    return _finish(r, "aar_weekly_traffic", columns, present, ingested_at, given)
 
 
 def norm_ocean_rates(
@@ -428,7 +448,7 @@ def norm_ocean_rates(
         "rate_unit": F.lit("per_container"),
         "region": r["region"],
     }
-    return _finish(r, "ocean_freight_rates", rate.isNotNull(), columns, ingested_at)
+    return _finish(r, "ocean_freight_rates", columns, ["rate_usd"], ingested_at)
 
 
 def route_feeds_to_carloadings(

@@ -6,10 +6,41 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from railyard.constants import waybill_fields
 
+_TYPES: dict[str, DataType] = {
+    "string": StringType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "double": DoubleType(),
+    "bigint": LongType(),
+    "boolean": BooleanType(),
+    "decimal(12,2)": DecimalType(12, 2),
+    "decimal(10,2)": DecimalType(10, 2),
+    "array<string>": ArrayType(StringType()),
+}
+
+
+def struct_of(columns: str) -> StructType:
+    """A schema from "name type, name type", available before a session exists."""
+    pairs = (part.split() for part in columns.split(", "))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
 
 @dataclass(frozen=True)
 class Table:
@@ -30,7 +61,7 @@ class Table:
 
     @property
     def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+        return struct_of(self.ddl)
 
     @property
     def columns(self) -> list[str]:
@@ -173,7 +204,7 @@ _TABLES = [
 ]
 TABLES = {t.name: t for t in _TABLES}
 
-RUN_SCHEMA = StructType.fromDDL(
+RUN_SCHEMA = struct_of(
     "run_id string, started_at timestamp, finished_at timestamp, success boolean, "
     "sources_attempted array<string>, sources_succeeded array<string>, "
     "sources_failed array<string>, total_records_written bigint, errors array<string>, "

@@ -19,7 +19,7 @@ from railyard.functions import partition_keys
 from railyard.operators.dedup import dedup_keep_latest
 from railyard.schemas import RUN_SCHEMA, TABLES, Table, table
 from railyard.session import path_exists, work_dir
-from railyard.sources.store_scan import scan_table, table_path
+from railyard.sources.store_scan import scan_table, stored_schema, table_path
 
 
 def _keyed(df: DataFrame, spec: Table, run_date: date | None) -> DataFrame:
@@ -33,11 +33,17 @@ def _keyed(df: DataFrame, spec: Table, run_date: date | None) -> DataFrame:
     return df.select(*typed, *keys)
 
 
-def _write(df: DataFrame, spec: Table, path: str, fmt: str = "parquet") -> None:
-    """Replace exactly the partitions that ``df`` has rows for."""
+def _write(df: DataFrame, spec: Table, path: str, fmt: str = "parquet") -> int:
+    """Replace exactly the partitions that ``df`` has rows for; returns the row count.
+
+    Rows are counted in the writing stage, whose tasks count once even when a lost
+    executor makes earlier stages run again.
+    """
     keys = spec.partition_columns
+    seen = Observation(f"write {spec.name}")
+    laid_out = df.hint("rebalance", *[F.col(k) for k in keys])
     writer = (
-        df.hint("rebalance", *[F.col(k) for k in keys])
+        laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -46,6 +52,7 @@ def _write(df: DataFrame, spec: Table, path: str, fmt: str = "parquet") -> None:
         writer.option("header", "true").csv(path)
     else:
         writer.option("compression", "zstd").parquet(path)
+    return int(seen.get["rows"])
 
 
 def write_day_partitions(
@@ -56,13 +63,10 @@ def write_day_partitions(
     A row is filed under its own date, whatever the run's date is.  No row, no file.
     """
     spec = table(name)
-    seen = Observation(f"write {name}")
-    keyed = _keyed(df, spec, run_date).observe(seen, F.count(F.lit(1)).alias("rows"))
-    _write(keyed, spec, table_path(root, name))
-    return int(seen.get["rows"])
+    return _write(_keyed(df, spec, run_date), spec, table_path(root, name))
 
 
-def merge_year_partitions(
+def merge_partitions(
     spark: SparkSession,
     df: DataFrame,
     root: str,
@@ -70,65 +74,64 @@ def merge_year_partitions(
     run_date: date | None = None,
     dedup_first_write: bool = False,
 ) -> int:
-    """Merge ``df`` into the years it touches and return the number of new rows.
+    """Merge ``df`` into the partitions it touches; returns the number of new rows.
 
-    A year that exists becomes existing plus new rows, the newest of each identity.  A
-    year written for the first time keeps copies within the batch unless
+    A partition that exists becomes existing plus new rows, the newest of each
+    identity.  One written for the first time keeps copies within the batch unless
     ``dedup_first_write`` is set.
 
-    The batch and the merged years are written to the work folder first, so the input
-    is evaluated once, and the final step only copies: if publishing is interrupted,
-    the complete merged years are still there and the step can be repeated.
+    The batch and the merged partitions are written to the work folder first, so the
+    input is evaluated once, and the final step only copies: if publishing is
+    interrupted, the complete partitions are still there and the step can be repeated.
     """
     spec = table(name)
     target = table_path(root, name)
     stage = work_dir(spark, f"merge-{name}")
-    seen = Observation(f"merge {name}")
-    keyed = _keyed(df, spec, run_date).observe(seen, F.count(F.lit(1)).alias("rows"))
-    _write(keyed, spec, f"{stage}/batch")
-    new_rows = int(seen.get["rows"])
+    new_rows = _write(_keyed(df, spec, run_date), spec, f"{stage}/batch")
     if not new_rows:
         return 0
-    batch = spark.read.parquet(f"{stage}/batch")
-    touched = _partitions(batch, spec)
-    stored = _partitions(scan_table(spark, root, name, True), spec) if path_exists(
-        spark, target
-    ) else []
-    shared = [key for key in touched if key in stored]
+    batch = spark.read.schema(stored_schema(spec)).parquet(f"{stage}/batch")
+    touched = _partition_names(batch, spec)
+    stored = scan_table(spark, root, name, with_partitions=True)
+    shared = touched & _partition_names(stored, spec)
     dirty = touched if dedup_first_write else shared
     if not dirty:
         _write(batch, spec, target)
         return new_rows
-    in_dirty = _in_partitions(spec, dirty)
-    together = batch.where(in_dirty)
-    if shared:
-        old = scan_table(spark, root, name, True).where(_in_partitions(spec, shared))
-        together = together.unionByName(old)
-    merged = dedup_keep_latest(together)
+    partition = _partition_name(spec)
+    old = stored.where(partition.isin(sorted(shared)))
+    merged = dedup_keep_latest(batch.where(partition.isin(sorted(dirty))).unionByName(old))
     _write(merged, spec, f"{stage}/merged")
-    _write(batch.where(~in_dirty), spec, f"{stage}/merged")
-    _write(spark.read.parquet(f"{stage}/merged"), spec, target)
+    _write(batch.where(~partition.isin(sorted(dirty))), spec, f"{stage}/merged")
+    _write(
+        spark.read.schema(stored_schema(spec)).parquet(f"{stage}/merged"), spec, target
+    )
     return new_rows
 
 
-def _partitions(df: DataFrame, spec: Table) -> list[tuple]:
-    """Distinct partition keys; at most one per calendar year and feed.
+def merge_year_partitions(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    name: str,
+    run_date: date | None = None,
+    dedup_first_write: bool = False,
+) -> int:
+    """:func:`merge_partitions` for a table kept by year."""
+    if table(name).grain != "year":
+        raise ValueError(f"{name} is not kept by year")
+    return merge_partitions(spark, df, root, name, run_date, dedup_first_write)
+
+
+def _partition_name(spec: Table) -> Column:
+    """The partition as one text; Spark prunes folders by it like by plain keys."""
+    return F.concat_ws("/", *[F.col(k).cast("string") for k in spec.partition_columns])
 
-    Only partition columns are read, which Spark answers from folder names.
-    """
-    return [tuple(r) for r in df.select(*spec.partition_columns).distinct().collect()]
-
-
-def _in_partitions(spec: Table, keys: list[tuple]) -> Column:
-    if len(spec.partition_columns) == 1:
-        return F.col(spec.partition_columns[0]).isin([k[0] for k in keys])
-    match = F.lit(False)
-    for key in keys:
-        one = F.lit(True)
-        for column, value in zip(spec.partition_columns, key, strict=True):
-            one = one & (F.col(column) == value)
-        match = match | one
-    return match
+
+def _partition_names(df: DataFrame, spec: Table) -> set[str]:
+    """Distinct partitions; no more than the calendar has days, times the feeds."""
+    rows = df.select(_partition_name(spec).alias("name")).distinct().collect()
+    return {r["name"] for r in rows}
 
 
 def write_table(

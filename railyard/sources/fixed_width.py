@@ -5,22 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.constants import WAYBILL_WIDTH, waybill_fields
-from railyard.functions import strip
+from railyard.constants import PY_WHITESPACE, WAYBILL_WIDTH, waybill_fields
 
 
-def _record(line: Column) -> Column:
-    """Line bytes without trailing CR/LF, as text with one character per byte.
-
-    Decoding as ISO-8859-1 keeps byte positions; bytes outside ASCII then become
-    the replacement character, still one per byte.
-    """
-    text = F.rtrim(F.decode(line.cast("binary"), "ISO-8859-1"), F.lit("\r\n"))
-    ascii_only = F.octet_length(text) == F.length(text)
-    return F.when(ascii_only, text).otherwise(F.translate(text, _HIGH, "�" * len(_HIGH)))
+_LATIN = "ISO-8859-1"
+_HIGH = "".join(chr(b) for b in range(0x80, 0x100))
 
 
-_HIGH = "".join(chr(b) for b in range(0x80, 0x100))
+def _record(line: Column) -> Column:
+    """Bytes of a line without trailing CR/LF."""
+    raw = line.cast("binary")
+    bare = F.encode(F.rtrim(F.decode(raw, _LATIN), F.lit("\r\n")), _LATIN)
+    ends = F.substring(raw, -1, 1).isin(F.lit(b"\r"), F.lit(b"\n"))
+    return F.when(ends, bare).otherwise(raw)
 
 
 def slice_fixed_width(
@@ -30,20 +27,33 @@ def slice_fixed_width(
     width: int = WAYBILL_WIDTH,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Named, stripped fields of each record; lines shorter than ``width`` are dropped."""
+    """Named, stripped fields of each record; lines shorter than ``width`` are dropped.
+
+    Positions count bytes.  Records of printable ASCII are cut as bytes, without
+    walking over characters.  The others are first decoded with one character per
+    byte, so positions hold there too, and a byte outside ASCII becomes the
+    replacement character.
+    """
     layout = layout or waybill_fields()
     kept = keep or []
     rows = lines.select(*kept, _record(F.col(line)).alias("_rec"))
-    fields = [
-        strip(F.substring("_rec", start + 1, end - start)).alias(name)
-        for name, start, end, _ in layout
-    ]
-    return rows.where(F.length("_rec") >= width).select(*kept, *fields)
+    rows = rows.where(F.octet_length("_rec") >= width)
+    rows = rows.withColumn("_odd", F.col("_rec").cast("string").rlike("[^ -~]"))
+    decoded = F.translate(F.decode("_rec", _LATIN), _HIGH, "�" * len(_HIGH))
+    rows = rows.withColumn("_text", F.when(F.col("_odd"), decoded))
+
+    def field(start: int, end: int) -> Column:
+        size = end - start
+        plain = F.trim(F.substring("_rec", start + 1, size).cast("string"))
+        careful = F.btrim(F.substring("_text", start + 1, size), F.lit(PY_WHITESPACE))
+        return F.when(F.col("_odd"), careful).otherwise(plain)
+
+    return rows.select(*kept, *[field(s, e).alias(name) for name, s, e, _ in layout])
 
 
 def short_lines(lines: DataFrame, line: str = "line", width: int = WAYBILL_WIDTH) -> DataFrame:
     """(lines, dropped): how many lines there are and how many are too short."""
-    too_short = F.length(_record(F.col(line))) < width
+    too_short = F.octet_length(_record(F.col(line))) < width
     return lines.agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(too_short).alias("dropped")
     )

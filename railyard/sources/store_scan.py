@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from railyard.schemas import RUN_SCHEMA, table
+from railyard.schemas import RUN_SCHEMA, Table, table
 from railyard.session import path_exists
 
 
@@ -14,6 +14,15 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/freight/{table(name).name}"
 
 
+def stored_schema(spec: Table) -> StructType:
+    """The table's columns plus its partition columns."""
+    keys = [
+        StructField(k, StringType() if k == "p_source" else IntegerType())
+        for k in spec.partition_columns
+    ]
+    return StructType(spec.schema.fields + keys)
+
+
 def scan_table(
     spark: SparkSession, root: str, name: str, with_partitions: bool = False
 ) -> DataFrame:
@@ -23,11 +32,7 @@ def scan_table(
     the result unless asked for.  A table that was never written is empty.
     """
     spec = table(name)
-    keys = [
-        StructField(k, StringType()) if k == "p_source" else StructField(k, _INT)
-        for k in spec.partition_columns
-    ]
-    schema = StructType(spec.schema.fields + keys)
+    schema = stored_schema(spec)
     path = table_path(root, name)
     if not path_exists(spark, path):
         df = spark.createDataFrame([], schema)
@@ -92,6 +97,3 @@ def scan_run_summaries(spark: SparkSession, root: str) -> DataFrame:
     )
     readable = F.col("_corrupt").isNull() & F.col("run_id").isNotNull()
     return df.where(readable).drop("_corrupt")
-
-
-_INT = StructType.fromDDL("x int").fields[0].dataType

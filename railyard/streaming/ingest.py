@@ -2,7 +2,7 @@
 
 The stream's checkpoint remembers which files were read, in place of a test whether a
 partition folder exists.  Late rows need no watermark: each row is filed under its own
-date, and year tables merge it into the old year.
+date and merged into what that partition already holds.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from railyard.sinks.store import write_table
+from railyard.sinks.store import merge_partitions
 
 
 def incremental_ingest(
@@ -28,13 +28,13 @@ def incremental_ingest(
 ) -> int:
     """Load every file not seen before and stop; returns the rows written.
 
-    A replayed batch is harmless: days are replaced, years de-duplicate.  A day table
-    gets whole days only when a batch holds them, so land a day's files together.
+    Every batch is merged into the partitions it touches: a day whose files arrive in
+    several batches ends up whole, and a replayed batch changes nothing.
     """
     written: list[int] = []
 
     def load(batch: DataFrame, _: int) -> None:
-        written.append(write_table(batch.sparkSession, normalise(batch), root, name))
+        written.append(merge_partitions(batch.sparkSession, normalise(batch), root, name))
 
     query = (
         spark.readStream.format(fmt)
