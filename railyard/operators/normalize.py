@@ -36,6 +36,7 @@ from railyard.functions import (
     truthy,
     year_end,
 )
+from railyard.functions.stages import evaluate_once
 from railyard.functions.text import extract_unit
 from railyard.schemas import is_valid, table
 
@@ -75,9 +76,8 @@ def _finish(
     ``given`` is a predicate on raw columns and reaches the scan.  ``present`` names
     typed columns that must not be null, ``checks`` typed flags that must be true.
 
-    The typed columns go through ``inline`` of a one-element array, which the optimiser
-    does not push filters through: otherwise every parse in a filter would be evaluated
-    a second time below the projection.
+    The typed columns are one stage: otherwise the optimiser would push the filters
+    below it and every parse in a filter would run a second time.
     """
     spec = table(name)
     columns = dict(columns)
@@ -87,7 +87,7 @@ def _finish(
     typed = [columns[f.name].cast(f.dataType).alias(f.name) for f in spec.schema.fields]
     flags = [c.alias(flag) for flag, c in (checks or {}).items()]
     rows = raw.df if given is None else raw.df.where(given)
-    out = rows.select(F.struct(*typed, *flags).alias("_row")).select(F.inline(F.array("_row")))
+    out = evaluate_once(rows, *typed, *flags)
     keep = F.lit(True)
     for column in present:
         keep = keep & F.col(column).isNotNull()

@@ -167,7 +167,7 @@ def write_run_summary(spark: SparkSession, summary: dict, root: str) -> None:
 def append_run_summaries(runs: DataFrame, root: str) -> None:
     """Append many run documents at once, one JSON object per line."""
     runs.write.mode("append").option("ignoreNullFields", "false").json(
-        f"{root.rstrip('/')}/pipeline_runs"
+        f"{root.rstrip('/')}/pipeline_runs_bulk"
     )
 
 

@@ -19,20 +19,27 @@ def scan_transborder_csv(spark: SparkSession, path: str) -> DataFrame:
     Each view is one CSV scan with its own schema, because a single scan binds
     columns by position; the views are then united by name.
     """
-    views = [_scan_view(spark, path, view) for view in BORDER_VIEWS]
+    views = [
+        scan_view(spark, path, view, f"[dD][oO][tT]{view[-1]}_*.csv") for view in BORDER_VIEWS
+    ]
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), views)
     return united.select(*BORDER_COLUMNS, "source_file", "raw_record")
 
 
-def _scan_view(spark: SparkSession, path: str, view: str) -> DataFrame:
+def scan_view(spark: SparkSession, path: str, view: str, pattern: str) -> DataFrame:
+    """Rows of the CSV files of one view, found by file name pattern.
+
+    The tag is the file's own when its name starts with a view, else ``view``.
+    """
     columns = BORDER_VIEWS[view].split(",")
     tag = F.lower(view_tag(F.col("_metadata.file_name")))
+    tag = F.when(tag.isin(list(BORDER_VIEWS)), tag).otherwise(F.lit(view))
     return (
         spark.read.schema(", ".join(f"{c} string" for c in columns))
         .option("header", "true")
         .option("enforceSchema", "true")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"[dD][oO][tT]{view[-1]}_*.csv")
+        .option("pathGlobFilter", pattern)
         .csv(path)
         .select(*[_blank(F.col(c)).alias(c) for c in columns], tag.alias("source_file"))
         .withColumn("raw_record", raw_json(*columns))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from railyard.constants import RELEASE_HEADER_WORDS, RELEASE_REGIONS
 from railyard.functions import strip, strip_thousands
+from railyard.functions.stages import evaluate_once
 from railyard.sources.feeds import unescape
 
 _INTEGER = r"^\d[\d,]*$"
@@ -31,10 +32,15 @@ def parse_release_pages(pages: DataFrame) -> DataFrame:
     titled = F.get(
         F.filter(F.slice("lines", 1, _TITLE_LINES), lambda x: x.rlike(title)), F.lit(0)
     )
+    split = evaluate_once(
+        pages.where(F.col("page_no").between(0, _PAGES - 1)),
+        "doc_id",
+        "page_no",
+        "text",
+        lines.alias("lines"),
+    )
     heads = (
-        pages.where(F.col("page_no").between(0, _PAGES - 1))
-        .withColumn("lines", lines)
-        .select(
+        split.select(
             "doc_id",
             "page_no",
             "lines",
@@ -45,7 +51,8 @@ def parse_release_pages(pages: DataFrame) -> DataFrame:
         )
         .where("region IS NOT NULL AND week_number <> '' AND week_end_date IS NOT NULL")
     )
-    found = heads.withColumn("start", _first_record("lines")).where("start IS NOT NULL")
+    found = evaluate_once(heads, "*", _first_record("lines").alias("start"))
+    found = found.where("start IS NOT NULL")
     count = F.greatest(F.expr("(size(lines) - start) div 6"), F.lit(0)).cast("int")
     offsets = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
         F.array().cast("array<int>")
@@ -57,7 +64,7 @@ def parse_release_pages(pages: DataFrame) -> DataFrame:
         )
     )
     rows = (
-        found.withColumn("records", record)
+        evaluate_once(found, "*", record.alias("records"))
         .withColumn("stop", broken)
         .select("*", F.explode("records").alias("r"))
         .where(F.col("stop").isNull() | (F.col("r.n") < F.col("stop")))

@@ -82,18 +82,18 @@ def list_tables(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_run_summaries(spark: SparkSession, root: str) -> DataFrame:
-    """One row per run summary document; documents that do not parse are skipped."""
-    path = f"{root.rstrip('/')}/pipeline_runs"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], RUN_SCHEMA)
+    """One row per run summary document; documents that do not parse are skipped.
+
+    ``pipeline_runs`` holds one document per file, ``pipeline_runs_bulk`` one per line.
+    """
     schema = StructType(RUN_SCHEMA.fields + [StructField("_corrupt", StringType())])
-    df = (
-        spark.read.schema(schema)
-        .option("multiLine", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
+    runs = spark.createDataFrame([], schema)
+    for folder, multiline in (("pipeline_runs", "true"), ("pipeline_runs_bulk", "false")):
+        path = f"{root.rstrip('/')}/{folder}"
+        if path_exists(spark, path):
+            reader = spark.read.schema(schema).option("multiLine", multiline)
+            reader = reader.option("mode", "PERMISSIVE").option("pathGlobFilter", "*.json")
+            reader = reader.option("columnNameOfCorruptRecord", "_corrupt")
+            runs = runs.unionByName(reader.json(path))
     readable = F.col("_corrupt").isNull() & F.col("run_id").isNotNull()
-    return df.where(readable).drop("_corrupt")
+    return runs.where(readable).drop("_corrupt")
