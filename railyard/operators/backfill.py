@@ -196,45 +196,48 @@ def pick_member(registered: DataFrame, by: list[str] | None = None) -> DataFrame
     return best.select(chosen.alias("_m")).select("_m.*")
 
 
-def find_recovery(gaps: DataFrame, ytd_members: DataFrame) -> DataFrame:
-    """Adds (ytd_month, member) to each gap: the earliest later cumulative view.
+def find_recovery(
+    gaps: DataFrame, ytd_members: DataFrame, by: list[str] | None = None
+) -> DataFrame:
+    """Adds (ytd_month, ytd_member) to each gap: the earliest later cumulative view.
 
-    ``gaps`` and ``ytd_members`` have (year, month, view); a year has twelve months,
-    so a gap meets at most eleven candidates.
+    ``gaps`` and ``ytd_members`` have (year, month, view) and the ``by`` columns, such
+    as the archive; a year has twelve months, so a gap meets at most eleven candidates.
     """
-    later = ytd_members.groupBy("year", "view", F.col("month").alias("ytd_month")).agg(
+    keys = [*(by or []), "year", "view"]
+    later = ytd_members.groupBy(*keys, F.col("month").alias("ytd_month")).agg(
         F.max("member").alias("ytd_member")
     )
-    pairs = gaps.join(later, ["year", "view"], "left").where(
-        F.col("ytd_month").isNull() | (F.col("ytd_month") > F.col("month"))
-    )
-    best = pairs.groupBy("year", "month", "view").agg(
+    pairs = gaps.join(later, keys).where(F.col("ytd_month") > F.col("month"))
+    best = pairs.groupBy(*keys, "month").agg(
         F.min_by("ytd_member", "ytd_month").alias("ytd_member"),
         F.min("ytd_month").alias("ytd_month"),
     )
-    return gaps.join(best, ["year", "month", "view"], "left")
+    return gaps.join(best, [*keys, "month"], "left")
 
 
 def recover_from_ytd(
-    gaps: DataFrame, ytd_members: DataFrame, ytd_rows: DataFrame
+    gaps: DataFrame, ytd_members: DataFrame, ytd_rows: DataFrame, by: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, unrecovered): unreadable months rebuilt from later cumulative views.
 
-    ``ytd_rows`` has the raw columns plus ``member``.  Of the chosen member only the
-    rows of the gap's own YEAR and two-digit MONTH are taken.  A month without a later
-    view is reported, never guessed.
+    ``ytd_rows`` has the raw columns plus ``member`` and the ``by`` columns.  Of the
+    chosen member only the rows of the gap's own YEAR and two-digit MONTH are taken.  A
+    month without a later view is reported, never guessed.
     """
-    plan = find_recovery(gaps, ytd_members)
+    keys = by or []
+    plan = find_recovery(gaps, ytd_members, by)
     usable = plan.where(F.col("ytd_member").isNotNull()).select(
+        *keys,
         F.col("ytd_member").alias("member"),
         F.col("year").cast("string").alias("_year"),
         F.lpad(F.col("month").cast("string"), 2, "0").alias("_month"),
     )
-    on = (
-        (ytd_rows["member"] == usable["member"])
-        & (strip(ytd_rows["YEAR"]) == usable["_year"])
-        & (strip(ytd_rows["MONTH"]) == usable["_month"])
+    on = (strip(ytd_rows["YEAR"]) == usable["_year"]) & (
+        strip(ytd_rows["MONTH"]) == usable["_month"]
     )
+    for key in [*keys, "member"]:
+        on = on & (ytd_rows[key] == usable[key])
     rows = ytd_rows.join(usable, on, "left_semi")
-    unrecovered = plan.where(F.col("ytd_member").isNull()).select("year", "month", "view")
+    unrecovered = plan.where(F.col("ytd_member").isNull()).select(*keys, "year", "month", "view")
     return rows, unrecovered

@@ -9,9 +9,10 @@ from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railyard.constants import BORDER_VIEWS
 from railyard.operators import backfill, normalize
 from railyard.operators.dedup import union_all
 from railyard.session import path_exists, work_dir
@@ -134,12 +135,12 @@ def backfill_transborder(
     root: str,
     tokens: list[str] | None = None,
     force: bool = False,
-    ingested_at: F.Column | None = None,
+    ingested_at: Column | None = None,
 ) -> tuple[int, DataFrame]:
     """Load the missing months found in ``archives`` (archive, content).
 
-    Returns the rows written and a report (year, month, view, status) of members that
-    were recovered from a cumulative view, absent or unrecoverable.
+    Returns the rows written and a report (archive, year, month, view, status) of
+    members that were recovered from a cumulative view, absent or unrecoverable.
     """
     stage = work_dir(spark, "border")
     zips.list_members(archives).write.parquet(f"{stage}/members")
@@ -157,45 +158,38 @@ def backfill_transborder(
     zips.scan_chosen_members(archives, wanted).write.parquet(f"{stage}/lines")
     lines = spark.read.parquet(f"{stage}/lines")
     rows = parse_csv_lines(lines, wanted)
-    gaps = wanted.join(
-        lines.where("error IS NOT NULL").select("archive", "member").distinct(),
-        ["archive", "member"],
-        "left_semi",
-    ).select("year", "month", "view")
-    plan = backfill.find_recovery(gaps, picked.where("kind = 'ytd'"))
-    spares = picked.join(
-        plan.select(F.col("ytd_member").alias("member"), "year", "view").distinct(),
-        ["member", "year", "view"],
-        "left_semi",
-    )
+    key = ["archive", "year", "month", "view"]
+    unreadable = lines.where("error IS NOT NULL").select("archive", "member").distinct()
+    gaps = wanted.join(unreadable, ["archive", "member"], "left_semi").select(*key)
+    ytd = picked.where("kind = 'ytd'")
+    plan = backfill.find_recovery(gaps, ytd, by=["archive"])
+    chosen = plan.select("archive", F.col("ytd_member").alias("member")).distinct()
+    spares = ytd.join(chosen, ["archive", "member"], "left_semi")
     zips.scan_chosen_members(archives, spares).write.parquet(f"{stage}/spare_lines")
     spare_lines = spark.read.parquet(f"{stage}/spare_lines")
-    tagged = parse_csv_lines(spare_lines, spares.withColumn("view", F.col("member")))
-    spare_rows = tagged.withColumnRenamed("source_file", "member")
-    views = spares.select("member", "view")
-    recovered, lost = backfill.recover_from_ytd(gaps, spares, spare_rows)
-    recovered = recovered.join(views, "member").withColumnRenamed("view", "source_file")
-    raw = union_all(rows, recovered.drop("member"))
+    spare_rows = parse_csv_lines(spare_lines, spares)
+    recovered, lost = backfill.recover_from_ytd(gaps, spares, spare_rows, by=["archive"])
+    raw = union_all(rows, recovered).drop("archive", "member")
     written = write_table(
         spark,
         normalize.norm_transborder(raw, ingested_at=ingested_at),
         root,
         "transborder_freight",
     )
-    unreadable_spares = spare_lines.where("error IS NOT NULL").select("member").distinct()
+    bad_spares = spare_lines.where("error IS NOT NULL").select(
+        "archive", F.col("member").alias("ytd_member")
+    )
     lost = lost.unionByName(
-        plan.join(unreadable_spares, F.col("ytd_member") == F.col("member")).select(
-            "year", "month", "view"
-        )
+        plan.join(bad_spares.distinct(), ["archive", "ytd_member"], "left_semi").select(*key)
     )
-    every_view = months.select(
-        "year", "month", F.explode(F.array(*[F.lit(f"dot{i}") for i in (1, 2, 3)])).alias("view")
+    every_view = (
+        wanted.select("archive", "year", "month")
+        .distinct()
+        .select("*", F.explode(F.array(*[F.lit(v) for v in BORDER_VIEWS])).alias("view"))
     )
-    absent = every_view.join(wanted, ["year", "month", "view"], "left_anti")
+    absent = every_view.join(wanted, key, "left_anti")
     report = union_all(
-        gaps.join(lost, ["year", "month", "view"], "left_anti").withColumn(
-            "status", F.lit("recovered")
-        ),
+        gaps.join(lost, key, "left_anti").withColumn("status", F.lit("recovered")),
         lost.withColumn("status", F.lit("unrecoverable")),
         absent.withColumn("status", F.lit("absent")),
     )
@@ -207,7 +201,7 @@ def backfill_waybills(
     samples: dict[int, DataFrame],
     root: str,
     force: bool = True,
-    ingested_at: F.Column | None = None,
+    ingested_at: Column | None = None,
 ) -> dict[int, dict[str, int]]:
     """Load one frame of record lines per sample year; returns counters per sample.
 

@@ -51,6 +51,7 @@ def parse_csv_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
 
     ``lines`` has (archive, member, line_no, line, encoding), ``headers`` has
     (archive, member, header, view).  Columns are found by name, whatever their order.
+    The result keeps ``archive`` and ``member``.
     """
     names = F.transform(
         F.split(_decoded(F.col("header"), F.lit("UTF-8")), ","), lambda x: F.trim(x)
@@ -60,9 +61,10 @@ def parse_csv_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
     text = _decoded(F.col("line"), F.col("encoding"))
     fields = F.from_csv(text, F.lit(schema)).alias("f")
     body = lines.where("line_no > 0 AND line IS NOT NULL AND octet_length(line) > 0")
-    parsed = body.join(known, ["archive", "member"]).select("names", "view", fields)
+    kept = ["archive", "member", "names", "view"]
+    parsed = body.join(known, ["archive", "member"]).select(*kept, fields)
     values = parsed.select(
-        "names", "view", F.array(*[f"f.c{i}" for i in range(_MAX_FIELDS)]).alias("values")
+        *kept, F.array(*[f"f.c{i}" for i in range(_MAX_FIELDS)]).alias("values")
     )
 
     def pick(column: str) -> Column:
@@ -70,7 +72,7 @@ def parse_csv_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
         return F.when(at > 0, _blank(F.get("values", at - 1))).alias(column)
 
     picked = [pick(c) for c in BORDER_COLUMNS]
-    rows = values.select(*picked, F.col("view").alias("source_file"))
+    rows = values.select("archive", "member", *picked, F.col("view").alias("source_file"))
     return rows.withColumn("raw_record", raw_json(*BORDER_COLUMNS))
 
 

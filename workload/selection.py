@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -340,45 +346,35 @@ def backfill_waybills(spark: SparkSession, d: str) -> DataFrame:
 
 
 def border_archives(spark: SparkSession, d: str) -> DataFrame:
-    """One zip per month of a year and view, holding that month's CSV lines.
+    """Zip archives of monthly CSV members, one archive per batch of rows.
 
-    Lines are built by Spark; a month and view is one member, as it is published.
+    Spark builds the CSV lines; a batch only bundles the ones it holds.
     """
-    import io
-    import zipfile
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     rows = raw(spark, d, R.BORDER).where("VALUE IS NOT NULL AND MONTH <> '13'")
     frames = []
     for view, header in BORDER_VIEWS.items():
         fields = [F.coalesce(F.col(c), F.lit("")) for c in header.split(",")]
         one = rows.where(F.col("source_file") == view)
+        name = F.concat(F.lit(f"{view}_"), "MONTH", F.right("YEAR", F.lit(2)), F.lit(".csv"))
         frames.append(
             one.select(
-                "YEAR",
-                "MONTH",
-                F.lit(view).alias("view"),
+                name.alias("member"),
                 F.lit(header).alias("header"),
                 F.concat_ws(",", *fields).alias("line"),
             )
         )
     lines = frames[0].unionByName(frames[1]).unionByName(frames[2])
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        year, month, view = pdf["YEAR"][0], pdf["MONTH"][0], pdf["view"][0]
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-            text = "\n".join([pdf["header"][0], *pdf["line"]])
-            z.writestr(f"{month} {year}/{view}_{month}{year[2:]}.csv", text)
-            z.writestr(f"{month} {year}/{view}_ytd_{month}{year[2:]}.csv", text)
-        name = f"{year}-{month}-{view}.zip"
-        return pd.DataFrame({"archive": [name], "content": [buffer.getvalue()]})
-
-    return lines.groupBy("YEAR", "MONTH", "view").applyInPandas(
-        pack, "archive string, content binary"
-    )
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+                for member, part in batch.groupby("member"):
+                    z.writestr(f"2000/{member}", "\n".join([part["header"].iloc[0], *part["line"]]))
+            name = f"{uuid.uuid4().hex}.zip"
+            yield pd.DataFrame({"archive": [name], "content": [buffer.getvalue()]})
+
+    return lines.mapInPandas(pack, "archive string, content binary")
 
 
 @query(
