@@ -19,7 +19,6 @@ from railyard.functions import (
     first_not_null,
     first_truthy,
     format_period,
-    join_nonblank,
     month_end,
     parse_dd_mon_yy,
     parse_fra_date,
@@ -329,18 +328,25 @@ def norm_carrier_census(
 def norm_waybills(
     slices: DataFrame, reference_year: int | Column, ingested_at: Column | None = None
 ) -> DataFrame:
-    """Waybill fields; values are taken as written, not rescaled."""
+    """Waybill fields; values are taken as written, not rescaled.
+
+    ``slices`` holds stripped fields, as ``slice_fixed_width`` returns them, so they are
+    not stripped again.
+    """
     r = _Raw(slices)
-    parse = {"int": safe_int, "float": safe_float, "text": blank_to_null}
+
+    def text(c: Column) -> Column:
+        return F.nullif(c, F.lit(""))
+
+    parse = {"int": safe_int, "float": safe_float, "text": text}
     fields = waybill_fields()
     columns = {name: parse[kind](r[name]) for name, _, _, kind in fields if kind in parse}
     columns["source"] = F.lit("stb_waybill")
     columns["snapshot_date"] = parse_mmddyy(r["waybill_date"], reference_year)
     columns["accounting_period"] = format_period(r["accounting_period"])
-    columns["stcc"] = strip(r["stcc"])
-    columns["interchange_states"] = join_nonblank(
-        *[r[name] for name, _, _, kind in fields if kind == "state"]
-    )
+    columns["stcc"] = r["stcc"]
+    states = [text(r[name]) for name, _, _, kind in fields if kind == "state"]
+    columns["interchange_states"] = text(F.concat_ws(",", *states))
     given = truthy(r["stcc"])
     return _finish(
         r, "waybill_shipments", columns, ["carloads", "snapshot_date"], ingested_at, given

@@ -100,12 +100,12 @@ def merge_partitions(
         return new_rows
     partition = _partition_name(spec)
     old = stored.where(partition.isin(sorted(shared)))
-    merged = dedup_keep_latest(batch.where(partition.isin(sorted(dirty))).unionByName(old))
+    in_dirty = partition.isin(sorted(dirty))
+    merged = dedup_keep_latest(batch.where(in_dirty).unionByName(old))
+    if touched - dirty:
+        merged = merged.unionByName(batch.where(~in_dirty))
     _write(merged, spec, f"{stage}/merged")
-    _write(batch.where(~partition.isin(sorted(dirty))), spec, f"{stage}/merged")
-    _write(
-        spark.read.schema(stored_schema(spec)).parquet(f"{stage}/merged"), spec, target
-    )
+    _write(spark.read.schema(stored_schema(spec)).parquet(f"{stage}/merged"), spec, target)
     return new_rows
 
 
