@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def typed(sql: str, kind: str, *columns: str) -> str:
+    """The statement with some columns cast, so that types agree as well as values."""
+    casts = ", ".join(f'CAST("{c}" AS {kind}) AS "{c}"' for c in columns)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
+
 def raw(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run a raw-view statement over the tables in ``sf_dir``."""
     for name in TABLE_NAMES:

@@ -50,14 +50,14 @@ def runs_per_day(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "recent_runs",
-    f"""SELECT run_id, started_at, success, total_records_written, [] AS sources_succeeded,
-        [] AS sources_failed FROM ({R.RUNS}) ORDER BY started_at DESC, run_id DESC LIMIT 20""",
+    f"""SELECT run_id, started_at, success, total_records_written, 0 AS sources_succeeded,
+        0 AS sources_failed FROM ({R.RUNS}) ORDER BY started_at DESC, run_id DESC LIMIT 20""",
 )
 def recent_runs(spark: SparkSession, d: str) -> DataFrame:
     none = F.array().cast("array<string>")
-    return report.recent_runs(
-        runs(spark, d).withColumns({"sources_succeeded": none, "sources_failed": none})
-    )
+    lists = ["sources_succeeded", "sources_failed"]
+    recent = report.recent_runs(runs(spark, d).withColumns({c: none for c in lists}))
+    return recent.withColumns({c: F.size(c) for c in lists})
 
 
 @query("carloads_by_railroad", f"SELECT railroad, sum(carloads) AS carloads FROM ({CARS_SQL}) GROUP BY 1")
@@ -310,13 +310,17 @@ def ingest_counters(spark: SparkSession, d: str) -> DataFrame:
 # --- samples and display ---------------------------------------------------------
 
 
-@query("sample_rows", "SELECT 100 AS \"rows\"")
+@query("sample_rows", "SELECT least(count(*), 100) AS \"rows\" FROM lineitem")
 def sample_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = report.sample_rows(raw(spark, d, "SELECT * FROM lineitem"), 100)
     return rows.agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("sample_rows_per_file", "SELECT 5 AS \"rows\", 0 AS first_index, 4 AS last_index")
+@query(
+    "sample_rows_per_file",
+    """SELECT least(count(*), 5) AS "rows", CAST(0 AS BIGINT) AS first_index,
+        least(count(*), 5) - 1 AS last_index FROM lineitem""",
+)
 def sample_rows_per_file(spark: SparkSession, d: str) -> DataFrame:
     files = spark.read.parquet(f"{d}/lineitem.parquet")
     return (

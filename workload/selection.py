@@ -29,7 +29,7 @@ from workload.normalising import (
     _waybill_sql,
     border,
 )
-from workload.registry import query, raw
+from workload.registry import query, raw, typed
 
 # Months in which more lines than average were shipped count as published.
 RELEASES = """
@@ -47,6 +47,10 @@ FROM orders
 """
 
 
+_YM = ("year", "month")
+_ASOF_INTS = (*_YM, "release_year", "release_month")
+
+
 def _asof_sql(limit: int | None) -> str:
     inside = "" if limit is None else f"AND (q.year IS NULL OR r.year > q.year - {limit})"
     return f"""
@@ -61,13 +65,13 @@ def _asof_sql(limit: int | None) -> str:
     """
 
 
-@query("asof_release", _asof_sql(None))
+@query("asof_release", typed(_asof_sql(None), "INTEGER", *_ASOF_INTS))
 def asof_release(spark: SparkSession, d: str) -> DataFrame:
     releases = raw(spark, d, RELEASES)
     return backfill.asof_release(raw(spark, d, REQUESTS), releases)
 
 
-@query("asof_release_limited", _asof_sql(1))
+@query("asof_release_limited", typed(_asof_sql(1), "INTEGER", *_ASOF_INTS))
 def asof_release_limited(spark: SparkSession, d: str) -> DataFrame:
     releases = raw(spark, d, RELEASES)
     return backfill.asof_release(raw(spark, d, REQUESTS), releases, max_years=1)
@@ -78,8 +82,12 @@ _WANTED = "SELECT DISTINCT year(o_orderdate) AS year, month(o_orderdate) AS mont
 
 @query(
     "missing_partitions",
-    f"SELECT * FROM ({_WANTED}) w WHERE NOT EXISTS (SELECT 1 FROM ({RELEASES}) r "
-    "WHERE r.year = w.year AND r.month = w.month)",
+    typed(
+        f"SELECT * FROM ({_WANTED}) w WHERE NOT EXISTS (SELECT 1 FROM ({RELEASES}) r "
+        "WHERE r.year = w.year AND r.month = w.month)",
+        "INTEGER",
+        *_YM,
+    ),
 )
 def missing_partitions(spark: SparkSession, d: str) -> DataFrame:
     return backfill.missing_partitions(raw(spark, d, _WANTED), raw(spark, d, RELEASES))
@@ -87,7 +95,11 @@ def missing_partitions(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "except_months",
-    f"SELECT year, month FROM ({_WANTED}) EXCEPT SELECT year, month FROM ({RELEASES})",
+    typed(
+        f"SELECT year, month FROM ({_WANTED}) EXCEPT SELECT year, month FROM ({RELEASES})",
+        "INTEGER",
+        *_YM,
+    ),
 )
 def except_months(spark: SparkSession, d: str) -> DataFrame:
     return backfill.except_months(raw(spark, d, _WANTED), raw(spark, d, RELEASES))
@@ -124,9 +136,13 @@ def parse_targets(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "select_targets",
-    f"""SELECT r.* FROM ({RELEASES}) r WHERE EXISTS (SELECT 1 FROM orders
-        WHERE o_totalprice > 499000 AND year(o_orderdate) = r.year
-          AND month(o_orderdate) = r.month)""",
+    typed(
+        f"""SELECT r.* FROM ({RELEASES}) r WHERE EXISTS (SELECT 1 FROM orders
+            WHERE o_totalprice > 499000 AND year(o_orderdate) = r.year
+              AND month(o_orderdate) = r.month)""",
+        "INTEGER",
+        *_YM,
+    ),
 )
 def select_targets(spark: SparkSession, d: str) -> DataFrame:
     releases = raw(spark, d, RELEASES)
@@ -139,8 +155,12 @@ def select_targets(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "order_releases",
-    f"""SELECT DISTINCT year(o_orderdate) AS year, month(o_orderdate) AS month, url
-        FROM ({R.LINKS}) WHERE o_orderkey % 7 <> 0""",
+    typed(
+        f"""SELECT DISTINCT year(o_orderdate) AS year, month(o_orderdate) AS month, url
+            FROM ({R.LINKS}) WHERE o_orderkey % 7 <> 0""",
+        "INTEGER",
+        *_YM,
+    ),
 )
 def order_releases(spark: SparkSession, d: str) -> DataFrame:
     releases = backfill.parse_releases(raw(spark, d, R.LINKS))
@@ -194,7 +214,7 @@ def filter_members(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "pick_member",
     f"""
-    SELECT kind, year, month, view, member FROM (
+    SELECT kind, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, view, member FROM (
       SELECT *, row_number() OVER (PARTITION BY kind, year, month, view ORDER BY
         CASE WHEN kind = 'monthly' THEN length(member) ELSE 0 END,
         CASE WHEN kind = 'monthly' THEN member END, member DESC) AS pick
@@ -254,7 +274,8 @@ GROUP BY 1, 2, 3
 @query(
     "recover_from_ytd",
     f"""
-    SELECT p.year, p.month, p.view, p.ytd_month IS NOT NULL AS recovered,
+    SELECT CAST(p.year AS INTEGER) AS year, CAST(p.month AS INTEGER) AS month, p.view,
+      p.ytd_month IS NOT NULL AS recovered,
       count(r.o_orderkey) AS "rows"
     FROM ({_PLAN_SQL}) p LEFT JOIN ({_YTD_ROWS.format(_YTD)}) r
       ON r.member = p.ytd_member AND CAST(r."YEAR" AS INTEGER) = p.year
