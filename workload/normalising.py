@@ -477,7 +477,9 @@ def lookup_geo_label(spark: SparkSession, d: str) -> DataFrame:
         d,
         "SELECT c_custkey, 'N' || CAST(c_nationkey AS STRING) AS country_code FROM customer",
     )
-    labels = spark.sql(
+    labels = raw(
+        spark,
+        d,
         "SELECT 'N' || CAST(n_nationkey AS STRING) AS code, n_name AS label "
         "FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'"
     )

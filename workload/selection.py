@@ -146,7 +146,9 @@ def parse_targets(spark: SparkSession, d: str) -> DataFrame:
 )
 def select_targets(spark: SparkSession, d: str) -> DataFrame:
     releases = raw(spark, d, RELEASES)
-    dear = spark.sql(
+    dear = raw(
+        spark,
+        d,
         "SELECT CAST(year(o_orderdate) AS STRING) || '-' || lpad(CAST(month(o_orderdate) AS "
         "STRING), 2, '0') AS token FROM orders WHERE o_totalprice > 499000"
     )
