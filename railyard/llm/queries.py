@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from railyard.llm import bpe
+from railyard.llm import bpe, linededup, mixing
 from railyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +24,84 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
+@_register
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    weights = mixing.cyclic_weights(docs, "source", (3, 1, 2))
+    return mixing.taken_words(docs, weights)
+
+
+ORACLES["op3_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS draw
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, 2.0 * source_size AS cap,
+         row_number() OVER (ORDER BY source_size / w, source) AS i
+  FROM s),
+f AS (
+  SELECT *, (1.5 * (SELECT sum(source_size) FROM s)
+             - coalesce(sum(cap) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM o),
+l AS (SELECT coalesce((SELECT level FROM f WHERE level * w <= cap ORDER BY i LIMIT 1), 1e300) AS level),
+t AS (SELECT source, source_size, CAST(least(cap, l.level * w) AS DOUBLE) AS target FROM f, l),
+g AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole
+  FROM t),
+r AS (
+  SELECT d.*, g.source_size, g.target, g.whole, g.target - g.whole * g.source_size AS goal,
+         sum(size) OVER (PARTITION BY d.source ORDER BY draw) AS upto,
+         sum(size) OVER (PARTITION BY d.source, draw) AS same
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN (goal - (upto - same)) * 2 > same THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
+
+@_register
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of 50 words or more that stand earlier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs, report=True)
+
+
+ORACLES["op9_linededup"] = r"""
+WITH a AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents),
+b AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body
+  FROM a),
+c AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM b WHERE words > 0),
+w AS (
+  SELECT doc_id, min(pos) OVER f AS p, max(pos) OVER f AS q, sum(words) OVER f AS held, list(body) OVER f AS name
+  FROM c WINDOW f AS (PARTITION BY doc_id ORDER BY upto - words RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION
+  SELECT doc_id, min(pos) OVER k, max(pos) OVER k, sum(words) OVER k, list(body) OVER k
+  FROM c WINDOW k AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+r AS (
+  SELECT doc_id, p, q, rank() OVER (PARTITION BY name ORDER BY doc_id NULLS LAST, p) AS nth FROM w WHERE held >= 50),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, q + 1)) AS pos FROM r WHERE nth > 1),
+kept AS (
+  SELECT a.doc_id, string_agg(line, chr(10) ORDER BY a.pos) FILTER (gone.pos IS NULL) AS text,
+         count(*) AS lines, count(gone.pos) AS removed_lines
+  FROM a LEFT JOIN gone ON a.doc_id = gone.doc_id AND a.pos = gone.pos
+  GROUP BY a.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       CAST(coalesce(lines, 0) AS BIGINT) AS lines, CAST(coalesce(removed_lines, 0) AS BIGINT) AS removed_lines
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
