@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import bpe, linededup, mixing
+from railyard.llm import bpe, linededup, mixing, simhash
 from railyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,9 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '')
        CAST(coalesce(lines, 0) AS BIGINT) AS lines, CAST(coalesce(removed_lines, 0) AS BIGINT) AS removed_lines
 FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+
+@_register
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
