@@ -108,3 +108,70 @@ def byte_slices(texts: list[bytes] | list[str], limit: int = 2_000_000) -> Itera
         size += len(t)
     if at < len(texts):
         yield at, len(texts)
+
+
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    train: Column,
+    rows_per_class: int,
+    max_chars: int,
+    key: str = "doc_id",
+    text: str = "text",
+) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """A bounded sample of labelled texts for fitting, and all training rows of each class.
+
+    Of each class (0 and 1) the ``rows_per_class`` ids with the least hash, without texts
+    above ``max_chars``: at most twice that many rows come to the driver, however large the
+    tables are. ``train`` is a condition on the labels' rows. Rows with a null id or label
+    are left out; an id with both labels counts as 1; of equal ids one text is read.
+    """
+    rows = labels.where(train & labels[key].isNotNull() & labels[label].isin(0, 1))
+    rows = rows.groupBy(labels[key].alias("id")).agg(F.max(labels[label]).cast("int").alias("y"))
+    rows = staged(rows, "labels")
+    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    order = F.xxhash64("id"), F.col("id")
+    picked = rows.where("y = 0").orderBy(*order).limit(rows_per_class)
+    picked = picked.unionByName(rows.where("y = 1").orderBy(*order).limit(rows_per_class))
+    texts = docs.select(docs[key].alias("doc"), docs[text].alias("text")).where(F.length("text") <= max_chars)
+    found = texts.join(F.broadcast(picked), F.col("doc") == F.col("id")).dropDuplicates(["id"])
+    sample = found.select("id", "text", "y").toPandas().sort_values("id")
+    return list(zip(sample["text"], sample["y"].astype(int), strict=True)), counts
+
+
+def class_weights(ys: np.ndarray, counts: dict[int, int]) -> np.ndarray:
+    """Weights that give a sample the class shares of all training rows."""
+    weights = np.ones(len(ys))
+    for y in (0, 1):
+        if (ys == y).any():
+            weights[ys == y] = max(counts.get(y, 0), 1) / (ys == y).sum()
+    return weights / weights.mean() if len(ys) else weights
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Weights and, last, the intercept of a logistic regression, by Newton steps.
+
+    ``y`` may be probabilities. Meant for few columns.
+    """
+    full = np.column_stack([x, np.ones(len(x))])
+    keep = np.append(np.full(x.shape[1], ridge), 1e-6) * max(len(x), 1)
+    beta = np.zeros(full.shape[1])
+
+    def loss(b: np.ndarray) -> float:
+        z = full @ b
+        return float(weights @ (np.logaddexp(0, z) - y * z) + 0.5 * keep @ (b * b))
+
+    now = loss(beta)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(full @ beta, -40, 40)))
+        slope = full.T @ (weights * (p - y)) + keep * beta
+        curve = (full * (weights * p * (1 - p))[:, None]).T @ full + np.diag(keep + 1e-9)
+        step, scale = np.linalg.solve(curve, slope), 1.0
+        while scale > 1e-4 and loss(beta - scale * step) > now:
+            scale /= 2
+        beta = beta - scale * step
+        before, now = now, loss(beta)
+        if before - now < 1e-9 * (1 + abs(now)):
+            break
+    return beta

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from railyard.llm import bpe, linededup, mixing, simhash
-from railyard.llm.common import table
+from railyard.llm import bpe, linededup, mixing, quality, simhash
+from railyard.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +112,18 @@ FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
+
+
+def _predicted(scored: DataFrame, folds: int, out: int) -> DataFrame:
+    held_out = F.coalesce(fold(F.col("doc_id"), folds) == out, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@_register
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels, fold(labels["doc_id"], 5) != 0)
+    return _predicted(quality.score_quality(docs, model), 5, 0)
