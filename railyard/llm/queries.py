@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import bpe, linededup, mixing, quality, simhash
+from railyard.llm import bpe, linededup, mixing, quality, simhash, toxicity
 from railyard.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = quality.fit_quality(docs, labels, fold(labels["doc_id"], 5) != 0)
     return _predicted(quality.score_quality(docs, model), 5, 0)
+
+
+@_register
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs, labels, fold(labels["doc_id"], 4) != 2)
+    return _predicted(toxicity.score_toxicity(docs, model), 4, 2)
