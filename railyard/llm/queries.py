@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import bpe, linededup, mixing, quality, simhash, toxicity
+from railyard.llm import bpe, linededup, mixing, quality, simhash, sketch, toxicity
 from railyard.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = toxicity.fit_toxicity(docs, labels, fold(labels["doc_id"], 4) != 2)
     return _predicted(toxicity.score_toxicity(docs, model), 4, 2)
+
+
+@_register
+def op1_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of every document and of its edited text."""
+    return sketch.fingerprint_edits(table(spark, sf_dir, "documents"))
