@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from railyard.llm import bpe, chat, linededup, mixing, quality, sharding, simhash, sketch, toxicity
+from railyard.llm import bpe, chat, linededup, mixing, neighbours, quality, sharding, simhash, sketch, toxicity
 from railyard.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,9 @@ FROM l GROUP BY conv_id
 def op7_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
