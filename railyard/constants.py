@@ -210,3 +210,8 @@ def waybill_fields() -> list[tuple[str, int, int, str]]:
     """The waybill layout as (name, start, end, kind) tuples."""
     rows = (line.split() for line in WAYBILL_LAYOUT.strip().splitlines())
     return [(name, int(start), int(end), kind) for name, start, end, kind in rows]
+
+# The publisher's names of monthly, cumulative and legacy archive members.
+MONTHLY_MEMBER = r"(?i)^dot([123])_(0[1-9]|1[0-2])(\d{2})\.csv$"
+CUMULATIVE_MEMBER = r"(?i)^dot([123])_ytd_(0[1-9]|1[0-2])(\d{2})\.csv$"
+LEGACY_MEMBER = r"(?i)^TransBorder_\d+_(\d{2})(\d{2})\s*\((\d)\)\.csv$"

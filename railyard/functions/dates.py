@@ -75,6 +75,7 @@ def release_month(c: Column) -> tuple[Column, Column]:
     The month is the first one, in calendar order, whose full or three-letter
     English name occurs in the file name; both are null when none does.
     """
+    # Fixed value: where the publisher keeps its archives.
     shape = r"(?i)transborder-raw/(\d{4})/([^/]+)\.zip$"
     name = F.lower(F.regexp_extract(c, shape, 2))
     month = F.lit(None).cast("int")

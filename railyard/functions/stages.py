@@ -16,3 +16,12 @@ def evaluate_once(df: DataFrame, *columns: Column | str) -> DataFrame:
     """
     staged = df.select(F.struct(*columns).alias("_row"))
     return staged.select(F.inline(F.array("_row")))
+
+
+def evaluate_beside(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df`` with more columns, each evaluated once per row.
+
+    Like :func:`evaluate_once` for the new columns only: those of ``df`` can still be
+    pruned, and filters on them still move to the scan.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))

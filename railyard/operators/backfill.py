@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from railyard.constants import CUMULATIVE_MEMBER, LEGACY_MEMBER, MONTHLY_MEMBER
 from railyard.functions import release_month, strip
 from railyard.sources.archives import classify_view
 
@@ -65,7 +66,7 @@ def missing_partitions(
 
 def except_months(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     """Distinct requested months minus the stored ones."""
-    return wanted.select("year", "month").exceptAll(stored.select("year", "month")).distinct()
+    return wanted.select("year", "month").subtract(stored.select("year", "month"))
 
 
 def parse_releases(links: DataFrame, url: str = "url") -> DataFrame:
@@ -126,11 +127,6 @@ def asof_release(
     )
 
 
-_MONTHLY = r"(?i)^dot([123])_(0[1-9]|1[0-2])(\d{2})\.csv$"
-_CUMULATIVE = r"(?i)^dot([123])_ytd_(0[1-9]|1[0-2])(\d{2})\.csv$"
-_LEGACY = r"(?i)^TransBorder_\d+_(\d{2})(\d{2})\s*\((\d)\)\.csv$"
-
-
 def register_members(members: DataFrame) -> DataFrame:
     """Adds (kind, year, month, view) to the members that hold border-trade data.
 
@@ -151,8 +147,8 @@ def register_members(members: DataFrame) -> DataFrame:
             ),
         )
 
-    monthly_view = F.concat(F.lit("dot"), F.regexp_extract(base, _MONTHLY, 1))
-    ytd_view = F.concat(F.lit("dot"), F.regexp_extract(base, _CUMULATIVE, 1))
+    monthly_view = F.concat(F.lit("dot"), F.regexp_extract(base, MONTHLY_MEMBER, 1))
+    ytd_view = F.concat(F.lit("dot"), F.regexp_extract(base, CUMULATIVE_MEMBER, 1))
     if "header" in members.columns:
         legacy_view = F.when(
             F.col("header").isNotNull(), classify_view(F.col("header").cast("string"))
@@ -160,9 +156,9 @@ def register_members(members: DataFrame) -> DataFrame:
     else:
         legacy_view = F.lit(None).cast("string")
     found = F.coalesce(
-        named(_MONTHLY, "monthly", monthly_view, 2, 3),
-        named(_CUMULATIVE, "ytd", ytd_view, 2, 3),
-        named(_LEGACY, "monthly", legacy_view, 1, 2),
+        named(MONTHLY_MEMBER, "monthly", monthly_view, 2, 3),
+        named(CUMULATIVE_MEMBER, "ytd", ytd_view, 2, 3),
+        named(LEGACY_MEMBER, "monthly", legacy_view, 1, 2),
     )
     kept = [c for c in members.columns if c not in ("kind", "year", "month", "view")]
     tagged = members.select(*kept, found.alias("_f")).where("_f.view IS NOT NULL")

@@ -35,9 +35,9 @@ from railyard.functions import (
     truthy,
     year_end,
 )
-from railyard.functions.stages import evaluate_once
+from railyard.functions.stages import evaluate_beside
 from railyard.functions.text import extract_unit
-from railyard.schemas import is_valid, table
+from railyard.schemas import constrained_columns, is_valid, table
 
 
 class _Raw:
@@ -69,32 +69,44 @@ def _finish(
     given: Column | None = None,
     checks: dict[str, Column] | None = None,
     valid_only: bool = True,
+    parsed: tuple[str, ...] = (),
 ) -> DataFrame:
     """Project to the table's schema and keep complete, valid rows.
 
     ``given`` is a predicate on raw columns and reaches the scan.  ``present`` names
     typed columns that must not be null, ``checks`` typed flags that must be true.
 
-    The typed columns are one stage: otherwise the optimiser would push the filters
-    below it and every parse in a filter would run a second time.
+    The columns that the filters read, and those in ``parsed``, which share work with
+    them, are one stage: otherwise the optimiser would push the filters below it and
+    every parse in a filter would run a second time.  All other columns, ``raw_record``
+    too, stand outside: what a query does not ask for is neither built nor read, and
+    its predicates on them go down to the scan.
     """
     spec = table(name)
     columns = dict(columns)
     if "raw_record" in spec.columns:
         columns["raw_record"] = raw.record
     columns["ingested_at"] = F.current_timestamp() if ingested_at is None else ingested_at
-    typed = [columns[f.name].cast(f.dataType).alias(f.name) for f in spec.schema.fields]
-    flags = [c.alias(flag) for flag, c in (checks or {}).items()]
     rows = raw.df if given is None else raw.df.where(given)
-    out = evaluate_once(rows, *typed, *flags)
+    ruled = constrained_columns(name) if valid_only else []
+    stage = [f for f in spec.schema.fields if f.name in {*present, *ruled, *parsed}]
+    early = {f.name: f"__typed_{i}" for i, f in enumerate(stage)}
+    typed = [columns[f.name].cast(f.dataType).alias(early[f.name]) for f in stage]
+    flags = [c.alias(flag) for flag, c in (checks or {}).items()]
+    out = evaluate_beside(rows, *typed, *flags) if typed or flags else rows
+    final = [
+        F.col(early[f.name]).alias(f.name)
+        if f.name in early
+        else columns[f.name].cast(f.dataType).alias(f.name)
+        for f in spec.schema.fields
+    ]
     keep = F.lit(True)
     for column in present:
-        keep = keep & F.col(column).isNotNull()
+        keep = keep & F.col(early[column]).isNotNull()
     for flag in checks or {}:
         keep = keep & F.coalesce(F.col(flag), F.lit(False))
-    if valid_only:
-        keep = keep & is_valid(name)
-    return out.where(keep).select(*spec.columns)
+    out = out.where(keep).select(*final)
+    return out.where(is_valid(name)) if valid_only else out
 
 
 def _reported(parsed: Column, run_date: date | None, as_of: date) -> Column:
@@ -397,6 +409,7 @@ def norm_transborder(
         ingested_at,
         given,
         valid_only=valid_only,
+        parsed=("year", "month"),
     )
 
 

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import logging
-import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_VIEWS
@@ -19,8 +18,8 @@ from railyard.session import path_exists, work_dir
 from railyard.sinks.store import merge_year_partitions, write_run_summary, write_table
 from railyard.sources import archives as zips
 from railyard.sources.border import parse_csv_lines
-from railyard.sources.fixed_width import short_lines, slice_fixed_width
-from railyard.sources.store_scan import scan_table, table_path
+from railyard.sources.fixed_width import is_short, slice_fixed_width
+from railyard.sources.store_scan import stored_partitions, table_path
 
 log = logging.getLogger(__name__)
 
@@ -34,98 +33,73 @@ class Fetched:
     error: str | None = None
 
 
-@dataclass
-class JobResult:
-    run_id: str
-    success: bool = True
-    total_records: int = 0
-    source_results: dict[str, int] = field(default_factory=dict)
-    failed_sources: list[str] = field(default_factory=list)
-    errors: list[str] = field(default_factory=list)
-    output_paths: list[str] = field(default_factory=list)
-    duration_seconds: float = 0.0
-
-
 Source = Callable[[SparkSession, date | None], Fetched]
 
 
-def run_id(now: datetime | None = None) -> str:
-    """A run's name; the random tail keeps two runs of one second apart."""
-    stamp = (now or datetime.now(UTC)).strftime("run_%Y%m%d_%H%M%S")
-    return f"{stamp}_{uuid4().hex[:6]}"
+def new_run_name(at: datetime) -> str:
+    """``run_`` and the start in UTC, with random letters for runs that start together."""
+    return f"run_{at:%Y%m%d_%H%M%S}_{uuid4().hex[:6]}"
 
 
-def resolve_sources(registry: dict[str, Source], names: list[str] | None) -> dict[str, Source]:
-    """The named sources, all when ``names`` is None; a wrong name is an error."""
-    if names is None:
-        return dict(registry)
-    if not names:
-        raise ValueError("No sources specified; name at least one or leave the argument out")
-    unknown = [n for n in names if n not in registry]
-    if unknown:
-        raise ValueError(f"Unknown source '{unknown[0]}'. Available: {', '.join(sorted(registry))}")
-    return {n: registry[n] for n in names}
+def choose(registry: dict[str, Source], wanted: Iterable[str] | None = None) -> list[str]:
+    """The sources to run in registry order: those in ``wanted``, or all."""
+    if wanted is None:
+        return list(registry)
+    asked = set(wanted)
+    if strangers := sorted(asked - registry.keys()):
+        raise ValueError(f"not in the registry: {', '.join(strangers)}")
+    if not asked:
+        raise ValueError("an empty selection runs nothing; pass None for every source")
+    return [name for name in registry if name in asked]
 
 
 def run_ingest(
     spark: SparkSession,
     registry: dict[str, Source],
     root: str,
-    names: list[str] | None = None,
+    names: Iterable[str] | None = None,
     snapshot_date: date | None = None,
-) -> JobResult:
-    """Fetch, normalise and write each source; one failing source does not stop the rest.
+) -> Row:
+    """Fetch, normalise and write each source; returns the run's row of the run table.
 
-    A source that reports failure still gets written whatever it returned.
+    Sources are independent: an exception marks its source as failed and the next one
+    goes on.  A source may also report a failure and still hand over frames, which are
+    written.
     """
-    began, started = time.monotonic(), datetime.now(UTC)
-    result = JobResult(run_id(started))
-    chosen = resolve_sources(registry, names)
-    succeeded = []
-    for name, fetch in chosen.items():
+    attempted = choose(registry, names)
+    began = datetime.now(UTC)
+    problems: dict[str, str] = {}
+    written: dict[str, int] = {}
+    for name in attempted:
         try:
-            fetched = fetch(spark, snapshot_date)
+            fetched = registry[name](spark, snapshot_date)
             if not fetched.success:
-                _fail(result, name, fetched.error or f"Source {name} reported failure")
-            written = 0
-            for target, df in fetched.tables.items():
-                rows = write_table(spark, df, root, target, snapshot_date)
-                if rows:
-                    result.output_paths.append(table_path(root, target))
-                written += rows
-            result.source_results[name] = written
-            result.total_records += written
-            if fetched.success:
-                succeeded.append(name)
+                problems[name] = fetched.error or "the source says that it failed"
+            for target, frame in fetched.tables.items():
+                count = write_table(spark, frame, root, target, snapshot_date)
+                written[target] = written.get(target, 0) + count
         except Exception as exc:
             log.exception("source %s failed", name)
-            _fail(result, name, str(exc))
-    summary = {
-        "run_id": result.run_id,
-        "started_at": started,
+            problems[name] = str(exc) or type(exc).__name__
+    run = {
+        "run_id": new_run_name(began),
+        "started_at": began,
         "finished_at": datetime.now(UTC),
-        "success": result.success,
-        "sources_attempted": list(chosen),
-        "sources_succeeded": succeeded,
-        "sources_failed": result.failed_sources,
-        "total_records_written": result.total_records,
-        "errors": result.errors,
-        "output_paths": result.output_paths,
+        "success": not problems,
+        "sources_attempted": attempted,
+        "sources_succeeded": [n for n in attempted if n not in problems],
+        "sources_failed": list(problems),
+        "total_records_written": sum(written.values()),
+        "errors": [f"{n}: {why}" for n, why in problems.items()],
+        "output_paths": [table_path(root, t) for t, count in written.items() if count],
     }
-    write_run_summary(spark, summary, root)
-    result.duration_seconds = time.monotonic() - began
-    return result
-
-
-def _fail(result: JobResult, name: str, message: str) -> None:
-    result.success = False
-    result.failed_sources.append(name)
-    result.errors.append(f"{name}: {message}")
+    write_run_summary(spark, run, root)
+    return Row(**run)
 
 
 def stored_months(spark: SparkSession, root: str, name: str = "transborder_freight") -> DataFrame:
-    """(year, month) that the store has; answered from partition folders."""
-    keys = scan_table(spark, root, name, with_partitions=True)
+    """(year, month) that the store has, from its partition folders."""
+    keys = stored_partitions(spark, root, name)
     return keys.select(F.col("p_year").alias("year"), F.col("p_month").alias("month")).distinct()
 
 
@@ -139,14 +113,15 @@ def backfill_transborder(
 ) -> tuple[int, DataFrame]:
     """Load the missing months found in ``archives`` (archive, content).
 
-    Returns the rows written and a report (archive, year, month, view, status) of
-    members that were recovered from a cumulative view, absent or unrecoverable.
+    Each month and view is read from one member, whatever the number of archives that hold
+    it.  Returns the rows written and a report (year, month, view, status) of members that
+    were recovered from a cumulative view, absent or unrecoverable.
     """
     stage = work_dir(spark, "border")
     zips.list_members(archives).write.parquet(f"{stage}/members")
     members = spark.read.parquet(f"{stage}/members")
     known = backfill.prefer_outer_members(backfill.register_members(members))
-    picked = backfill.pick_member(known, by=["archive"])
+    picked = backfill.pick_member(known)
     monthly = picked.where("kind = 'monthly'")
     months = monthly.select("year", "month").distinct()
     if tokens:
@@ -158,17 +133,17 @@ def backfill_transborder(
     zips.scan_chosen_members(archives, wanted).write.parquet(f"{stage}/lines")
     lines = spark.read.parquet(f"{stage}/lines")
     rows = parse_csv_lines(lines, wanted)
-    key = ["archive", "year", "month", "view"]
+    key = ["year", "month", "view"]
     unreadable = lines.where("error IS NOT NULL").select("archive", "member").distinct()
     gaps = wanted.join(unreadable, ["archive", "member"], "left_semi").select(*key)
     ytd = picked.where("kind = 'ytd'")
-    plan = backfill.find_recovery(gaps, ytd, by=["archive"])
-    chosen = plan.select("archive", F.col("ytd_member").alias("member")).distinct()
-    spares = ytd.join(chosen, ["archive", "member"], "left_semi")
+    plan = backfill.find_recovery(gaps, ytd)
+    chosen = plan.select("year", "view", F.col("ytd_month").alias("month")).distinct()
+    spares = ytd.join(chosen, key, "left_semi")
     zips.scan_chosen_members(archives, spares).write.parquet(f"{stage}/spare_lines")
     spare_lines = spark.read.parquet(f"{stage}/spare_lines")
     spare_rows = parse_csv_lines(spare_lines, spares)
-    recovered, lost = backfill.recover_from_ytd(gaps, spares, spare_rows, by=["archive"])
+    recovered, lost = backfill.recover_from_ytd(gaps, spares, spare_rows)
     raw = union_all(rows, recovered).drop("archive", "member")
     written = write_table(
         spark,
@@ -176,14 +151,10 @@ def backfill_transborder(
         root,
         "transborder_freight",
     )
-    bad_spares = spare_lines.where("error IS NOT NULL").select(
-        "archive", F.col("member").alias("ytd_member")
-    )
-    lost = lost.unionByName(
-        plan.join(bad_spares.distinct(), ["archive", "ytd_member"], "left_semi").select(*key)
-    )
+    bad_spares = spare_lines.where("error IS NOT NULL").select(F.col("member").alias("ytd_member"))
+    lost = lost.unionByName(plan.join(bad_spares.distinct(), "ytd_member", "left_semi").select(*key))
     every_view = (
-        wanted.select("archive", "year", "month")
+        wanted.select("year", "month")
         .distinct()
         .select("*", F.explode(F.array(*[F.lit(v) for v in BORDER_VIEWS])).alias("view"))
     )
@@ -206,7 +177,8 @@ def backfill_waybills(
     """Load one frame of record lines per sample year; returns counters per sample.
 
     Each sample holds several waybill years and is merged into all of them.  Without
-    ``force`` a sample is skipped once its own year exists.
+    ``force`` a sample is skipped once its own year exists.  Short lines are counted in the
+    pass that writes the others.
     """
     out: dict[int, dict[str, int]] = {}
     for sample, lines in samples.items():
@@ -214,8 +186,10 @@ def backfill_waybills(
         if not force and path_exists(spark, folder):
             out[sample] = {"written": 0, "dropped": 0, "skipped": 1}
             continue
-        records = normalize.norm_waybills(slice_fixed_width(lines), sample, ingested_at)
+        seen = Observation(f"sample {sample}")
+        short = F.count_if(is_short(F.col("line"))).alias("dropped")
+        cut = slice_fixed_width(lines.observe(seen, short))
+        records = normalize.norm_waybills(cut, sample, ingested_at)
         written = merge_year_partitions(spark, records, root, "waybill_shipments")
-        dropped = short_lines(lines).first()["dropped"]
-        out[sample] = {"written": written, "dropped": int(dropped), "skipped": 0}
+        out[sample] = {"written": written, "dropped": int(seen.get["dropped"]), "skipped": 0}
     return out

@@ -245,6 +245,13 @@ def violations(name: str) -> list[tuple[str, Column]]:
     return out
 
 
+def constrained_columns(name: str) -> list[str]:
+    """The columns that the table's constraints read."""
+    spec = table(name)
+    wide = [f.name for f in spec.schema.fields if isinstance(f.dataType, DecimalType)]
+    return [*spec.non_negative, *(column for column, _, _ in spec.ranges), *wide]
+
+
 def is_valid(name: str) -> Column:
     """True for rows that satisfy every constraint of the table."""
     ok = F.lit(True)

@@ -30,17 +30,27 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` decides where; only when it is unset (tests, local
-    runs) is a temporary folder of this machine used.
+    ``spark.checkpoint.dir`` decides where. A local master, whose executors share this
+    machine's disk, may do without; on a cluster a missing setting is an error, as every
+    executor would write to a disk of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if "root" not in _LOCAL_WORK:
             _LOCAL_WORK["root"] = tempfile.TemporaryDirectory(prefix="railyard-")
         root = _LOCAL_WORK["root"].name
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that is no longer read."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on whatever file system its scheme names."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from railyard.functions import partition_keys
 from railyard.operators.dedup import dedup_keep_latest
 from railyard.schemas import RUN_SCHEMA, TABLES, Table, table
-from railyard.session import path_exists, work_dir
-from railyard.sources.store_scan import scan_table, stored_schema, table_path
+from railyard.session import path_exists, remove_dir, work_dir
+from railyard.sources.store_scan import scan_table, stored_partitions, stored_schema, table_path
 
 
 def _keyed(df: DataFrame, spec: Table, run_date: date | None) -> DataFrame:
@@ -83,6 +83,7 @@ def merge_partitions(
     The batch and the merged partitions are written to the work folder first, so the
     input is evaluated once, and the final step only copies: if publishing is
     interrupted, the complete partitions are still there and the step can be repeated.
+    Stored files are read strictly: a corrupt one fails the merge and nothing is replaced.
     """
     spec = table(name)
     target = table_path(root, name)
@@ -92,13 +93,14 @@ def merge_partitions(
         return 0
     batch = spark.read.schema(stored_schema(spec)).parquet(f"{stage}/batch")
     touched = _partition_names(batch, spec)
-    stored = scan_table(spark, root, name, with_partitions=True)
-    shared = touched & _partition_names(stored, spec)
+    shared = touched & _partition_names(stored_partitions(spark, root, name), spec)
     dirty = touched if dedup_first_write else shared
     if not dirty:
         _write(batch, spec, target)
+        remove_dir(spark, stage)
         return new_rows
     partition = _partition_name(spec)
+    stored = scan_table(spark, root, name, with_partitions=True, skip_corrupt=False)
     old = stored.where(partition.isin(sorted(shared)))
     in_dirty = partition.isin(sorted(dirty))
     merged = dedup_keep_latest(batch.where(in_dirty).unionByName(old))
@@ -106,6 +108,7 @@ def merge_partitions(
         merged = merged.unionByName(batch.where(~in_dirty))
     _write(merged, spec, f"{stage}/merged")
     _write(spark.read.schema(stored_schema(spec)).parquet(f"{stage}/merged"), spec, target)
+    remove_dir(spark, stage)
     return new_rows
 
 
@@ -183,22 +186,25 @@ def export_compacted(
 ) -> DataFrame:
     """De-duplicate each table into its own compact dataset; returns its statistics.
 
-    Tables without rows are skipped.  Files have advisory size: one file per table
-    would pull tens of millions of rows through a single task.
+    Tables without rows are skipped, and what an earlier export left of them is removed.
+    Stored files are read strictly.  Files have advisory size: one file per table would
+    pull tens of millions of rows through a single task.  Rows are counted in the
+    writing stage.
     """
     written = []
     for name in names or TABLES:
-        if not path_exists(spark, table_path(root, name)):
-            continue
-        rows = dedup_keep_latest(scan_table(spark, root, name))
-        seen = Observation(f"export {name}")
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         target = f"{out.rstrip('/')}/{name}"
-        counted.hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(
-            target
-        )
-        if seen.get["rows"]:
+        rows = 0
+        if path_exists(spark, table_path(root, name)):
+            kept = dedup_keep_latest(scan_table(spark, root, name, skip_corrupt=False))
+            seen = Observation(f"export {name}")
+            counted = kept.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows"))
+            counted.write.mode("overwrite").option("compression", "zstd").parquet(target)
+            rows = seen.get["rows"]
+        if rows:
             written.append(name)
+        elif path_exists(spark, target):
+            remove_dir(spark, target)
     return export_stats(spark, out, written)
 
 

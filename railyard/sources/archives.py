@@ -73,7 +73,8 @@ def scan_archive_members(
                 rows = _archive_lines(archive, content, ends, require_data)
                 yield from _in_batches(rows)
 
-    return archives.select("archive", "content").mapInPandas(run, _LINES)
+    # All lines of an archive leave one task; what follows is spread over the cluster.
+    return archives.select("archive", "content").mapInPandas(run, _LINES).hint("rebalance")
 
 
 def scan_chosen_members(archives: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -161,21 +162,23 @@ def _archive_lines(
                 yield (archive, None, None, None, None, f"no data member ({'/'.join(ends)})")
             for name in names:
                 yield from _member_lines(archive, name, zf, name)
-    except zipfile.BadZipFile as exc:
+    except Exception as exc:  # also encrypted or unknown compression in the directory
         yield (archive, None, None, None, None, f"archive unreadable: {exc}")
 
 
 def _named_lines(archive: str, content: bytes, names: list[str]) -> Iterator[tuple]:
-    with zipfile.ZipFile(io.BytesIO(content)) as outer:
-        opened: dict[str, zipfile.ZipFile] = {}
-        for full in names:
-            parent, mark, name = full.partition("!/")
-            if not mark:
-                yield from _member_lines(archive, full, outer, full)
-                continue
-            if parent not in opened:
-                opened = {parent: zipfile.ZipFile(io.BytesIO(outer.read(parent)))}
-            yield from _member_lines(archive, full, opened[parent], name)
+    """Lines of the named members; whatever cannot be opened is an error of each of them."""
+    opened: dict[str, zipfile.ZipFile] = {}
+    for full in names:
+        parent, mark, name = full.partition("!/")
+        try:
+            outer = opened.setdefault("", zipfile.ZipFile(io.BytesIO(content)))
+            if mark and parent not in opened:
+                opened = {"": outer, parent: zipfile.ZipFile(io.BytesIO(outer.read(parent)))}
+        except Exception as exc:
+            yield (archive, full, None, None, None, f"archive unreadable: {exc}")
+            continue
+        yield from _member_lines(archive, full, opened[parent if mark else ""], name if mark else full)
 
 
 def _member_lines(
@@ -187,19 +190,48 @@ def _member_lines(
     except Exception as exc:
         yield (archive, label, None, None, None, f"member unreadable: {exc}")
         return
+    csv = name.lower().endswith(".csv")
     with zf.open(name) as f:
-        number, pending = 0, b""
+        number, inside = 0, False
+        pending: list[bytes] = []
         for line in f:
             if number == 0 and not pending:
                 line = line.removeprefix(codecs.BOM_UTF8)
-            pending += line
+            pending.append(line)
             # A quoted CSV field may hold line breaks: wait for its closing quote.
-            if name.lower().endswith(".csv") and pending.count(b'"') % 2:
+            inside = csv and _ends_quoted(line, inside)
+            if inside:
                 continue
-            yield (archive, label, number, pending.rstrip(b"\r\n"), encoding, None)
-            number, pending = number + 1, b""
+            yield (archive, label, number, b"".join(pending).rstrip(b"\r\n"), encoding, None)
+            number, pending = number + 1, []
         if pending:
-            yield (archive, label, number, pending.rstrip(b"\r\n"), encoding, None)
+            yield (archive, label, number, b"".join(pending).rstrip(b"\r\n"), encoding, None)
+
+
+def _ends_quoted(line: bytes, inside: bool) -> bool:
+    """Whether a quoted field is open at the end of a line.
+
+    A quote opens a field only as its first byte; inside, two quotes are one of the text.
+    """
+    at, size = 0, len(line)
+    if not inside and b'"' not in line:
+        return False
+    while at < size:
+        if inside:
+            at = line.find(b'"', at)
+            if at < 0:
+                return True
+            if line[at + 1 : at + 2] == b'"':
+                at += 2
+                continue
+            inside, at = False, at + 1
+        elif line[at : at + 1] == b'"' and (at == 0 or line[at - 1 : at] == b","):
+            inside, at = True, at + 1
+        else:
+            at = line.find(b",", at) + 1
+            if not at:
+                return False
+    return inside
 
 
 def _encoding(zf: zipfile.ZipFile, name: str) -> str:

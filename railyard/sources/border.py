@@ -2,76 +2,94 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_COLUMNS, BORDER_VIEWS
 from railyard.functions import raw_json, view_tag
+from railyard.sources.archives import filter_members
 
-_MAX_FIELDS = 64
+_BOM = "\ufeff"
 
 
 def scan_transborder_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of all dot1/dot2/dot3 CSV files below ``path``, tagged with their view.
+    """Rows of all monthly dot1/dot2/dot3 CSV files below ``path``, tagged with their view.
 
-    Each view is one CSV scan with its own schema, because a single scan binds
-    columns by position; the views are then united by name.
+    Columns are found by the names in each file's own header.  Cumulative files
+    (``_ytd_``) and resource forks are left out: their rows stand in monthly files.
     """
-    views = [
-        scan_view(spark, path, view, f"[dD][oO][tT]{view[-1]}_*.csv") for view in BORDER_VIEWS
-    ]
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), views)
-    return united.select(*BORDER_COLUMNS, "source_file", "raw_record")
+    return scan_view(spark, path, "dot1", "[dD][oO][tT][123]_*.csv")
 
 
 def scan_view(spark: SparkSession, path: str, view: str, pattern: str) -> DataFrame:
-    """Rows of the CSV files of one view, found by file name pattern.
+    """Rows of the CSV files found by file name pattern, each bound by its own header.
 
     The tag is the file's own when its name starts with a view, else ``view``.
+
+    A header is a line with a field named TRDTYPE.  One text scan finds the headers, one row
+    for each file, and how many fields the widest has; the CSV scan reads that many, and
+    rows meet the header of their file by an equality join on its path.
     """
-    columns = BORDER_VIEWS[view].split(",")
-    tag = F.lower(view_tag(F.col("_metadata.file_name")))
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    file = F.col("_metadata.file_path").alias("file")
+    named = _names(F.col("value"))
+    headers = (
+        reader.text(path)
+        .select(file, "value")
+        .where(F.contains("value", F.lit("TRDTYPE")))
+        .select("file", named.alias("names"))
+        .where(F.array_contains("names", "TRDTYPE"))
+    )
+    width = headers.agg(F.max(F.size("names")).alias("n")).first()["n"] or 1
+    cells = [f"c{i}" for i in range(width)]
+    tag = F.lower(view_tag(F.element_at(F.split("file", "/"), -1)))
     tag = F.when(tag.isin(list(BORDER_VIEWS)), tag).otherwise(F.lit(view))
-    return (
-        spark.read.schema(", ".join(f"{c} string" for c in columns))
-        .option("header", "true")
-        .option("enforceSchema", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
+    rows = (
+        reader.schema(", ".join(f"{c} string" for c in cells))
         .csv(path)
-        .select(*[_blank(F.col(c)).alias(c) for c in columns], tag.alias("source_file"))
-        .withColumn("raw_record", raw_json(*columns))
+        .select(file, F.array(*cells).alias("values"))
     )
+    monthly = filter_members(rows.withColumn("member", F.col("file")))
+    heads = headers.groupBy(F.col("file").alias("of")).agg(F.first("names").alias("names"))
+    bound = monthly.join(heads, F.col("file") == F.col("of"))
+    at = F.array_position("names", F.lit("TRDTYPE")).cast("int")
+    is_header = F.regexp_replace(F.trim(F.get("values", at - 1)), f"^{_BOM}", "") == "TRDTYPE"
+    picked = bound.where(~F.coalesce(is_header, F.lit(False))).select(
+        *[_pick(c) for c in BORDER_COLUMNS], tag.alias("source_file")
+    )
+    return picked.withColumn("raw_record", raw_json(*BORDER_COLUMNS))
+
+
+def _names(header: Column) -> Column:
+    """The column names in a header line."""
+    bare = F.regexp_replace(header, f"^{_BOM}", "")
+    return F.transform(F.split(bare, ","), lambda x: F.trim(F.trim(x), F.lit('"')))
+
+
+def _pick(column: str) -> Column:
+    """The value under a name; null where the header lacks the name."""
+    at = F.array_position("names", F.lit(column)).cast("int")
+    return F.when(at > 0, _blank(F.get("values", at - 1))).alias(column)
 
 
 def parse_csv_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
     """Border-trade rows from member lines, each bound to its own member's header.
 
     ``lines`` has (archive, member, line_no, line, encoding), ``headers`` has
-    (archive, member, header, view).  Columns are found by name, whatever their order.
-    The result keeps ``archive`` and ``member``.
+    (archive, member, header, view).  Columns are found by name, whatever their order and
+    number; the widest header is counted first.  The result keeps ``archive`` and ``member``.
     """
-    names = F.transform(
-        F.split(_decoded(F.col("header"), F.lit("UTF-8")), ","), lambda x: F.trim(x)
-    )
+    names = _names(_decoded(F.col("header"), F.lit("UTF-8")))
     known = headers.select("archive", "member", "view", names.alias("names"))
-    schema = ", ".join(f"c{i} string" for i in range(_MAX_FIELDS))
+    width = known.agg(F.max(F.size("names")).alias("n")).first()["n"] or 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
     text = _decoded(F.col("line"), F.col("encoding"))
     fields = F.from_csv(text, F.lit(schema)).alias("f")
     body = lines.where("line_no > 0 AND line IS NOT NULL AND octet_length(line) > 0")
     kept = ["archive", "member", "names", "view"]
     parsed = body.join(known, ["archive", "member"]).select(*kept, fields)
-    values = parsed.select(
-        *kept, F.array(*[f"f.c{i}" for i in range(_MAX_FIELDS)]).alias("values")
-    )
-
-    def pick(column: str) -> Column:
-        at = F.array_position("names", F.lit(column)).cast("int")
-        return F.when(at > 0, _blank(F.get("values", at - 1))).alias(column)
-
-    picked = [pick(c) for c in BORDER_COLUMNS]
+    values = parsed.select(*kept, F.array(*[f"f.c{i}" for i in range(width)]).alias("values"))
+    picked = [_pick(c) for c in BORDER_COLUMNS]
     rows = values.select("archive", "member", *picked, F.col("view").alias("source_file"))
     return rows.withColumn("raw_record", raw_json(*BORDER_COLUMNS))
 

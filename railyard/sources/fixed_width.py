@@ -51,9 +51,14 @@ def slice_fixed_width(
     return rows.select(*kept, *[field(s, e).alias(name) for name, s, e, _ in layout])
 
 
+def is_short(line: Column, width: int = WAYBILL_WIDTH) -> Column:
+    """True for a line with fewer bytes than a record."""
+    return F.octet_length(_record(line)) < width
+
+
 def short_lines(lines: DataFrame, line: str = "line", width: int = WAYBILL_WIDTH) -> DataFrame:
     """(lines, dropped): how many lines there are and how many are too short."""
-    too_short = F.octet_length(_record(F.col(line))) < width
+    too_short = is_short(F.col(line), width)
     return lines.agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(too_short).alias("dropped")
     )

@@ -10,30 +10,36 @@ from railyard.functions import strip, strip_thousands
 from railyard.functions.stages import evaluate_once
 from railyard.sources.feeds import unescape
 
+# Fixed value: a count as releases print it.
 _INTEGER = r"^\d[\d,]*$"
 _RECORD_LINES = 6
-_TITLE_LINES = 8
-_PAGES = 4
 
+# How a release page words its week and its last day.
+WEEK = r"Week\s+(\d+),\s+(\d{4})"
+ENDED = r"Ended\s+([A-Za-z]+ \d{1,2}, \d{4})"
 
-def parse_release_pages(pages: DataFrame) -> DataFrame:
+
+def parse_release_pages(
+    pages: DataFrame, max_pages: int | None = 4, title_lines: int | None = 8
+) -> DataFrame:
     """Table rows of each release page; ``pages`` has (doc_id, page_no, text).
 
-    A page counts when one of its first eight non-empty lines is a region title and
-    week, year and end date are found.  Records are six lines each, from the first
+    A page counts when one of its first ``title_lines`` non-empty lines is a region title
+    (None: any line) and week, year and end date are found.  Records are six lines each, from the first
     line after "This Week" that is followed by an integer, until the first record
-    whose second line is not one.  Only pages 0-3 of a release carry tables.
+    whose second line is not one.  The feed's tables stand on the first ``max_pages`` pages of a release; later
+    pages repeat figures in running text (None: every page is read).
     """
     title = "^(" + "|".join(t.replace(".", r"\.") for t in RELEASE_REGIONS) + r")\d*$"
     region_of = F.create_map(*[F.lit(x) for pair in RELEASE_REGIONS.items() for x in pair])
     lines = F.filter(F.transform(F.split("text", r"\r\n|\n|\r"), strip), lambda x: x != "")
-    ended = F.regexp_extract("text", r"Ended\s+([A-Za-z]+ \d{1,2}, \d{4})", 1)
-    week = r"Week\s+(\d+),\s+(\d{4})"
-    titled = F.get(
-        F.filter(F.slice("lines", 1, _TITLE_LINES), lambda x: x.rlike(title)), F.lit(0)
-    )
+    ended = F.regexp_extract("text", ENDED, 1)
+    week = WEEK
+    top = F.slice("lines", 1, title_lines) if title_lines is not None else F.col("lines")
+    wanted = F.lit(True) if max_pages is None else F.col("page_no").between(0, max_pages - 1)
+    titled = F.get(F.filter(top, lambda x: x.rlike(title)), F.lit(0))
     split = evaluate_once(
-        pages.where(F.col("page_no").between(0, _PAGES - 1)),
+        pages.where(wanted),
         "doc_id",
         "page_no",
         "text",

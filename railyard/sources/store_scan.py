@@ -24,10 +24,16 @@ def stored_schema(spec: Table) -> StructType:
 
 
 def scan_table(
-    spark: SparkSession, root: str, name: str, with_partitions: bool = False
+    spark: SparkSession,
+    root: str,
+    name: str,
+    with_partitions: bool = False,
+    skip_corrupt: bool = True,
 ) -> DataFrame:
-    """Every readable Parquet file of a table, at any depth; corrupt files are skipped.
+    """The Parquet files of a table, at any depth.
 
+    Reports skip corrupt files; whoever rewrites what it reads must not, and sets
+    ``skip_corrupt`` to False: a corrupt file then fails the job.
     Partition columns (``p_*``) stay in the plan for pruning and are dropped from
     the result unless asked for.  A table that was never written is empty.
     """
@@ -40,12 +46,26 @@ def scan_table(
         df = (
             spark.read.schema(schema)
             .option("pathGlobFilter", "*.parquet")
-            .option("ignoreCorruptFiles", "true")
+            .option("ignoreCorruptFiles", str(skip_corrupt).lower())
             .parquet(path)
         )
     return df if with_partitions else df.select(*spec.columns)
 
 
+def stored_partitions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The partition columns of every partition that has files, from the listing alone."""
+    spec = table(name)
+    path = table_path(root, name)
+    kinds = {k: "string" if k == "p_source" else "int" for k in spec.partition_columns}
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"{k} {t}" for k, t in kinds.items()))
+    found = [
+        F.url_decode(F.regexp_extract("path", f"/{k}=([^/]+)/", 1)).cast(t).alias(k)
+        for k, t in kinds.items()
+    ]
+    return list_files(spark, path).select(*found).distinct()
+
+
 def scan_files(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A table kept in foreign ``year=/month=/day=`` folders.
 

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from railyard.constants import BORDER_COLUMNS
 from railyard.operators import dedup, filters, profile, report
 from railyard.operators import normalize as N
 from railyard.plans import jobs
@@ -170,17 +171,43 @@ def test_jobs_isolate_failures_and_summarise(spark, feed, tmp_path):
     }
     jobs.log.disabled = True
     result = jobs.run_ingest(spark, registry, root)
-    assert not result.success and result.failed_sources == ["soft", "broken"]
-    assert result.source_results == {"good": 1, "soft": 1, "unset": 0}
+    assert not result["success"] and result["sources_failed"] == ["soft", "broken"]
+    assert result["total_records_written"] == 2
     (tmp_path / "pipeline_runs" / "broken.json").write_text("{not json")
     (run,) = store_scan.scan_run_summaries(spark, root).collect()
-    assert run["run_id"] == result.run_id and run["sources_succeeded"] == ["good", "unset"]
+    assert run["run_id"] == result["run_id"] and run["sources_succeeded"] == ["good", "unset"]
     assert run["total_records_written"] == 2 and len(run["errors"]) == 2
-    with pytest.raises(ValueError, match="Unknown source"):
-        jobs.resolve_sources(registry, ["typo"])
+    with pytest.raises(ValueError, match="extra, typo"):
+        jobs.choose(registry, ["typo", "good", "extra"])
     with pytest.raises(ValueError):
-        jobs.resolve_sources(registry, [])
-    assert len({jobs.run_id() for _ in range(50)}) == 50
+        jobs.choose(registry, [])
+    assert jobs.choose(registry, ["unset", "good"]) == ["good", "unset"]
+    at = datetime(2031, 1, 1)
+    assert len({jobs.new_run_name(at) for _ in range(50)}) == 50
+
+
+def test_a_merge_over_a_damaged_file_fails(spark, feed, tmp_path):
+    root = str(tmp_path)
+    census = N.norm_carrier_census(feed(*[{"dot_number": str(i)} for i in range(5)]), AS_OF, ingested_at=stamp(1))
+    store.merge_year_partitions(spark, census, root, "motor_carrier_census")
+    (victim,) = (tmp_path / "freight" / "motor_carrier_census").rglob("*.parquet")
+    whole = victim.read_bytes()
+    victim.write_bytes(whole[: len(whole) // 2])
+    (victim.parent / f".{victim.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="."):
+        store.merge_year_partitions(spark, census.limit(1), root, "motor_carrier_census")
+    assert victim.exists()
+    with pytest.raises(Exception, match="."):
+        store.export_compacted(spark, root, str(tmp_path / "out"), ["motor_carrier_census"])
+    assert store_scan.scan_table(spark, root, "motor_carrier_census").count() == 0
+
+
+def test_reports_read_only_what_they_need(spark, feed):
+    raw = feed({c: "1" for c in [*BORDER_COLUMNS, "source_file"]})
+    plan = report.value_by_mode(N.norm_transborder(raw).where("source_file = 'dot1'"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in text and "CANPROV" not in text.split("LogicalRDD")[0]
+    assert text.index("source_file") > text.index("Generate")
 
 
 def test_stream_keeps_days_whole_and_skips_seen_files(spark, feed, tmp_path):

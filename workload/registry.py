@@ -12,8 +12,6 @@ ORACLES: dict[str, str] = {}
 
 TABLE_NAMES = "region nation customer supplier part orders lineitem events pages".split()
 
-FACTS = {"lineitem", "orders", "events"}
-
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, when SQL can express it, the SQL that must agree."""
@@ -36,17 +34,8 @@ def typed(sql: str, kind: str, *columns: str) -> str:
 
 
 def raw(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a raw-view statement over the tables in ``sf_dir``.
-
-    A fact table stored in fewer splits than there are cores is spread first, since
-    parsing is what costs; with more splits nothing is moved.
-    """
-    cores = spark.sparkContext.defaultParallelism
+    """Run a raw-view statement over the tables in ``sf_dir``."""
     for name in TABLE_NAMES:
-        if name not in sql:
-            continue
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        if name in FACTS and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        df.createOrReplaceTempView(name)
+        if name in sql:
+            spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
     return spark.sql(sql)
