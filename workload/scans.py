@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -65,14 +66,15 @@ def zip_lines(lines: DataFrame) -> DataFrame:
     """Pack text lines into zip archives, one per batch of rows."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for i, batch in enumerate(batches):
+        for batch in batches:
             buffer = io.BytesIO()
             half = len(batch) // 2
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr("readme.pdf", "not data")
                 z.writestr("a/PU1.DAT", "\r\n".join(batch["line"][:half]))
                 z.writestr("a/pu2.txt", "\n".join(batch["line"][half:]))
-            yield pd.DataFrame({"archive": [f"batch{i}.zip"], "content": [buffer.getvalue()]})
+            name = f"batch-{uuid.uuid4().hex}.zip"
+            yield pd.DataFrame({"archive": [name], "content": [buffer.getvalue()]})
 
     return lines.select("line").mapInPandas(pack, "archive string, content binary")
 
@@ -93,22 +95,31 @@ FROM ({BORDER_SQL})
 """
 
 
+def _land(df: DataFrame, folder: str, stem: str) -> None:
+    """Write ``df`` as CSV files with headers, named as the publisher names them."""
+    spark = df.sparkSession
+    df.write.option("header", "true").csv(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    base = path(folder)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [s.getPath() for s in fs.listStatus(base) if s.getPath().getName().startswith("part-")]
+    for i, part in enumerate(parts):
+        fs.rename(part, path(folder, f"{stem}{i:04d}.csv"))
+
+
 @query("scan_transborder_csv", _CSV_SQL)
 def scan_transborder_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly files, dot2 with its columns exchanged, beside a cumulative one of dot1."""
     path = work_dir(spark, "border-csv")
     rows = raw(spark, d, R.BORDER)
     for view, header in BORDER_VIEWS.items():
         names = header.split(",")
+        names = [*names[1:], names[0]] if view == "dot2" else names
         one = rows.where(F.col("source_file") == view).select(*names)
-        one.write.option("header", "true").csv(f"{path}/{view}-parts")
-    # Spark names its files itself; the view is read from the folder's files by pattern.
-    scanned = [
-        border.scan_view(spark, f"{path}/{view}-parts", view, "*.csv") for view in BORDER_VIEWS
-    ]
-    united = scanned[0]
-    for other in scanned[1:]:
-        united = united.unionByName(other, allowMissingColumns=True)
-    return drop_payload_columns(N.norm_transborder(united))
+        _land(one, f"{path}/{view}", f"{view}_")
+        if view == "dot1":
+            _land(one, f"{path}/{view}-ytd", f"{view}_ytd_")
+    return drop_payload_columns(N.norm_transborder(border.scan_transborder_csv(spark, path)))
 
 
 _HEADERS = """

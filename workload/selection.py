@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
-from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -102,7 +101,8 @@ def missing_partitions(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def except_months(spark: SparkSession, d: str) -> DataFrame:
-    return backfill.except_months(raw(spark, d, _WANTED), raw(spark, d, RELEASES))
+    wanted = raw(spark, d, _WANTED)
+    return backfill.except_months(wanted.unionByName(wanted), raw(spark, d, RELEASES))
 
 
 _TOKENS = """
@@ -369,35 +369,43 @@ def backfill_waybills(spark: SparkSession, d: str) -> DataFrame:
 
 
 def border_archives(spark: SparkSession, d: str) -> DataFrame:
-    """Zip archives of monthly CSV members, one archive per batch of rows.
+    """Zip archives of monthly CSV members, one archive per month.
 
-    Spark builds the CSV lines; a batch only bundles the ones it holds.
+    Spark builds the CSV lines. The data of May's dot1 member is damaged, and June's archive
+    has a cumulative dot1 member that holds May; every March archive comes twice.
     """
-    rows = raw(spark, d, R.BORDER).where("VALUE IS NOT NULL AND MONTH <> '13'")
+    rows = raw(spark, d, R.BORDER)
+    month = F.when(F.col("MONTH") == "13", "01").otherwise(F.col("MONTH"))
+    rows = rows.select("*", F.col("YEAR").alias("y"), month.alias("m"))
+    short = F.right("YEAR", F.lit(2))
     frames = []
     for view, header in BORDER_VIEWS.items():
         fields = [F.coalesce(F.col(c), F.lit("")) for c in header.split(",")]
         one = rows.where(F.col("source_file") == view)
-        name = F.concat(F.lit(f"{view}_"), "MONTH", F.right("YEAR", F.lit(2)), F.lit(".csv"))
-        frames.append(
-            one.select(
-                name.alias("member"),
-                F.lit(header).alias("header"),
-                F.concat_ws(",", *fields).alias("line"),
-            )
-        )
-    lines = frames[0].unionByName(frames[1]).unionByName(frames[2])
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-                for member, part in batch.groupby("member"):
-                    z.writestr(f"2000/{member}", "\n".join([part["header"].iloc[0], *part["line"]]))
-            name = f"{uuid.uuid4().hex}.zip"
-            yield pd.DataFrame({"archive": [name], "content": [buffer.getvalue()]})
-
-    return lines.mapInPandas(pack, "archive string, content binary")
+        line = [F.lit(header).alias("header"), F.concat_ws(",", *fields).alias("line")]
+        name = F.concat(F.lit(f"{view}_"), "m", short, F.lit(".csv")).alias("member")
+        frames.append(one.select("y", "m", name, *line))
+        if view == "dot1":
+            ytd = F.concat(F.lit("dot1_ytd_06"), short, F.lit(".csv")).alias("member")
+            frames.append(one.where("m IN ('05', '06')").select("y", F.lit("06").alias("m"), ytd, *line))
+    lines = reduce(lambda a, b: a.unionByName(b), frames)
+
+    def pack(month: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+            for member, part in rows.groupby("member"):
+                z.writestr(f"{month[0]}/{member}", "\n".join([part["header"].iloc[0], *part["line"]]))
+            infos = {i.filename.rpartition("/")[2]: i for i in z.infolist()}
+        content = bytearray(buffer.getvalue())
+        for member, info in infos.items():
+            # Two digits of year mean 20yy, so only these can be found in the cumulative one.
+            if member.startswith("dot1_05") and month[0] >= "2000":
+                content[info.header_offset + 30 + len(info.filename) + 8] ^= 0xFF
+        copies = 2 if month[1] == "03" else 1
+        names = [f"{month[0]}-{month[1]}-{i}.zip" for i in range(copies)]
+        return pd.DataFrame({"archive": names, "content": [bytes(content)] * copies})
+
+    return lines.groupBy("y", "m").applyInPandas(pack, "archive string, content binary")
 
 
 @query(
