@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +40,35 @@ def stems(word: str) -> list[str]:
     return [word[:k] for k in range(_SHORTEST, min(len(word), _LONGEST) + 1)] + [word + "$"]
 
 
+def _code(stem: str) -> int:
+    """A stem's 64-bit code: bags of codes are a tenth of the size of bags of strings."""
+    return xxhash.xxh64_intdigest(stem.encode("utf-8"))
+
+
+def _bag(words: set[str]) -> np.ndarray:
+    """Sorted distinct codes of all stems of some words."""
+    return np.unique(np.array([_code(s) for w in words for s in stems(w)], dtype=np.uint64))
+
+
+def _counts(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, and in how many bags each lies."""
+    return np.unique(np.concatenate(bags) if bags else np.zeros(0, np.uint64), return_counts=True)
+
+
+def _lookup(codes: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The counts of some codes, 0 where the table lacks them."""
+    if not len(table[0]):
+        return np.zeros(len(codes))
+    at = np.minimum(np.searchsorted(table[0], codes), len(table[0]) - 1)
+    return np.where(table[0][at] == codes, table[1][at], 0).astype(float)
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Feature numbers of stems, pattern voters, and the classifier's weights."""
+    """Feature numbers of stems (by their codes), the classifier's weights, its calibration,
+    and how often each voter says toxic of toxic and of clean texts."""
 
-    stem_ids: dict[str, int]
+    stem_ids: dict[int, int]
     weights: np.ndarray
     calibration: tuple[float, float]
     accuracies: dict[str, tuple[float, float]]
@@ -63,36 +87,26 @@ def _gain(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
 
 
 def _learned_lexicon(
-    bags: list[set[str]], y: np.ndarray, most: int, least_gain: float = 32.0, least_lift: float = 20.0
-) -> list[str]:
-    """Stems that mark class 1, each for texts that the stems before it leave unexplained."""
+    bags: list[np.ndarray], y: np.ndarray, most: int, least_gain: float = 32.0, least_lift: float = 20.0
+) -> list[int]:
+    """Codes of stems that mark class 1, best first, none for the same texts as one before."""
     n1, n0 = max(y.sum(), 1), max((1 - y).sum(), 1)
-    ones: Counter[str] = Counter()
-    for bag, label in zip(bags, y, strict=True):
-        if label:
-            ones.update(bag)
-    often = {s for s, n in ones.items() if n >= 3}
-    zeros: Counter[str] = Counter()
-    for bag, label in zip(bags, y, strict=True):
-        if not label:
-            zeros.update(bag & often)
-    names = sorted(often)
-    a = np.array([ones[s] for s in names], dtype=float)
-    b = np.array([zeros[s] for s in names], dtype=float)
+    codes, a = _counts([b for b, label in zip(bags, y, strict=True) if label])
+    codes, a = codes[a >= 3], a[a >= 3].astype(float)
+    b = _lookup(codes, _counts([b for b, label in zip(bags, y, strict=True) if not label]))
     gains = _gain(a, b, n1, n0)
     lift = ((a + 0.5) / n1) / ((b + 0.5) / n0)
     fit = (gains >= least_gain) & (lift >= least_lift)
-    order = [names[i] for i in np.argsort(-gains, kind="stable") if fit[i]][: 40 * most]
-    carriers: dict[str, set[int]] = {s: set() for s in order}
-    for i in np.flatnonzero(y):
-        for s in bags[i] & carriers.keys():
-            carriers[s].add(int(i))
-    chosen: list[str] = []
-    for s in order:
-        # A stem that stands in the same texts as one already chosen says nothing new.
-        twin = any(len(carriers[s] & carriers[c]) > 0.9 * len(carriers[s]) and (s.startswith(c[:3])) for c in chosen)
-        if not twin:
-            chosen.append(s)
+    ranked = np.lexsort((codes, -gains))
+    order = codes[ranked][fit[ranked]][: 40 * most]
+    carriers: dict[int, set[int]] = {c: set() for c in order.tolist()}
+    for i in np.flatnonzero(y).tolist():
+        for c in np.intersect1d(bags[i], order, assume_unique=True).tolist():
+            carriers[c].add(i)
+    chosen: list[int] = []
+    for c in order.tolist():
+        if not any(len(carriers[c] & carriers[k]) > 0.9 * len(carriers[c]) for k in chosen):
+            chosen.append(c)
         if len(chosen) == most:
             break
     return chosen
@@ -153,9 +167,9 @@ def _soft_logistic(rows: list[np.ndarray], width: int, y: np.ndarray, w: np.ndar
     return beta
 
 
-def _vote(bag: set[str], plain: str, lexicons: list[set[str]], patterns: list[re.Pattern]) -> list[int]:
+def _vote(bag: set[int], plain: str, lexicons: list[list[int]], patterns: list[re.Pattern]) -> list[int]:
     """Lexicon and pattern voters say toxic or nothing; the last says clean if all are silent."""
-    hits = [int(bool(bag & lex)) for lex in lexicons]
+    hits = [int(not bag.isdisjoint(lex)) for lex in lexicons]
     hits += [int(bool(p.search(plain))) for p in patterns]
     return [*hits, 1 if any(hits) else -1]
 
@@ -164,7 +178,7 @@ def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     train: Column,
-    rows_per_class: int = 3_000,
+    rows_per_class: int = 2_000,
     max_chars: int = 60_000,
     learned_voters: int = 48,
     features: int = 1_500,
@@ -184,14 +198,15 @@ def fit_toxicity(
     sample, counts = labelled_sample(docs, labels, label, train, rows_per_class, max_chars, key, text)
     plains = [t.lower() if t else "" for t, _ in sample]
     y = np.array([v for _, v in sample], dtype=float)
-    words = [set(_WORDS.findall(p)) for p in plains]
-    bags = [{s for w in ws for s in stems(w)} for ws in words]
-    lexicons = {name: {w + "$" for w in text.split()} for name, text in LEXICONS.items()}
-    for s in _learned_lexicon(bags, y, learned_voters) if 0 < y.sum() < len(y) else []:
-        lexicons[f"stem {s}"] = {s}
+    bags = [_bag(set(_WORDS.findall(p))) for p in plains]
+    lexicons = {name: [_code(w + "$") for w in listed.split()] for name, listed in LEXICONS.items()}
+    for c in _learned_lexicon(bags, y, learned_voters) if 0 < y.sum() < len(y) else []:
+        lexicons[f"stem {c:016x}"] = [c]
     patterns = {name: re.compile(p) for name, p in PATTERNS.items()}
     sets, regexes = list(lexicons.values()), list(patterns.values())
-    votes = np.array([_vote(b, p, sets, regexes) for b, p in zip(bags, plains, strict=True)], dtype=int)
+    listed = np.array(sorted({c for lex in sets for c in lex}), np.uint64)
+    found = [set(np.intersect1d(b, listed, assume_unique=True).tolist()) for b in bags]
+    votes = np.array([_vote(f, p, sets, regexes) for f, p in zip(found, plains, strict=True)], dtype=int)
     votes = votes.reshape(len(sample), len(sets) + len(regexes) + 1)
     w = class_weights(y, counts)
     prior = float(np.clip(np.average(y, weights=w) if len(y) else 0.1, 0.01, 0.99))
@@ -200,28 +215,24 @@ def fit_toxicity(
     known = np.where(np.arange(len(y)) % 2 == 0, y, np.nan)
     post, table, _ = label_model(votes, shown, known)
 
-    soft: Counter[str] = Counter()
-    plain_count: Counter[str] = Counter()
-    for bag, p in zip(bags, post, strict=True):
-        plain_count.update(bag)
-        if p >= 0.5:
-            soft.update(bag)
-    names = sorted(s for s, n in plain_count.items() if n >= 5)
+    every = _counts(bags)
+    codes, n = every[0][every[1] >= 5], every[1][every[1] >= 5].astype(float)
     n1, n0 = max(float((post >= 0.5).sum()), 1.0), max(float((post < 0.5).sum()), 1.0)
-    a = np.array([soft[s] for s in names], dtype=float)
-    b = np.array([plain_count[s] for s in names], dtype=float) - a
-    gains = np.abs(_gain(np.minimum(a, n1), np.minimum(b, n0), n1, n0)) if names else np.zeros(0)
-    best = [names[i] for i in np.argsort(-gains, kind="stable")[:features] if gains[i] > 12]
-    best += [s for lex in sets for s in sorted(lex) if s not in best]
-    stem_ids = {s: i for i, s in enumerate(dict.fromkeys(best))}
-    rows = [np.array(sorted(stem_ids[s] for s in bag & stem_ids.keys()), dtype=int) for bag in bags]
+    a = _lookup(codes, _counts([b for b, p in zip(bags, post, strict=True) if p >= 0.5]))
+    gains = np.abs(_gain(a, n - a, n1, n0))
+    ranked = np.lexsort((codes, -gains))
+    best = codes[ranked][gains[ranked] > 12][:features].tolist()
+    stem_ids = {c: i for i, c in enumerate(dict.fromkeys([*best, *(c for lex in lexicons.values() for c in lex)]))}
+    chosen = np.array(sorted(stem_ids), np.uint64)
+    rows = [
+        np.array([stem_ids[c] for c in np.intersect1d(b, chosen, assume_unique=True).tolist()], dtype=int) for b in bags
+    ]
     beta = _soft_logistic(rows, len(stem_ids), post, w)
-    for s in (s for name in LEXICONS for s in lexicons[name]):
-        # An insult that the sample lacks weighs as much as its kind's voter deserves.
-        i = stem_ids[s]
-        if plain_count[s] == 0:
-            j = list(lexicons).index(next(name for name in LEXICONS if s in lexicons[name]))
-            beta[i] = 0.5 * float(np.log(table[1][j][2] / table[0][j][2]))
+    for j, name in enumerate(LEXICONS):
+        for c in lexicons[name]:
+            if not _lookup(np.array([c], np.uint64), every)[0]:
+                # An insult that the sample lacks weighs as much as its kind's voter deserves.
+                beta[stem_ids[c]] = 0.5 * float(np.log(table[1][j][2] / table[0][j][2]))
     z = np.array([beta[r].sum() + beta[-1] for r in rows])
     if 0 < y.sum() < len(y):
         slope, base = fit_logistic((z / 4)[:, None], y, w)
@@ -246,7 +257,7 @@ class _Scorer:
         for w in set(_WORDS.findall((text or "").lower())):
             hit = known.get(w)
             if hit is None:
-                hit = known[w] = tuple(ids[s] for s in stems(w) if s in ids)
+                hit = known[w] = tuple(ids[c] for c in map(_code, stems(w)) if c in ids)
             if hit:
                 found.update(hit)
         z = self.model.weights[sorted(found)].sum() + self.model.weights[-1]
