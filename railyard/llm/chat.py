@@ -16,7 +16,8 @@ ESCAPES = (("~", "~0"), ("<", "~1"), ("[", "~2"))
 #: Kinds of events, and what they do to a message: all but the delta start it anew.
 KINDS = ("message", "delta", "edit", "regenerate", "delete")
 
-_FIRST = -(2**63)
+#: Where null places go: first, with room for window arithmetic below.
+_FIRST = -(2**62)
 
 
 def escape(text: Column) -> Column:
