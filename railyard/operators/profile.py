@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, floor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -88,88 +90,109 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 _QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+_BINS = 1024
 
 
-def describe_numeric(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def describe_numeric(df: DataFrame, bins: int = _BINS) -> DataFrame:
     """Per numeric column: count, mean, sample deviation, min, quartiles, max.
 
-    Quartiles are exact and interpolate linearly.  ``percentile`` would hold every
-    distinct value of a column in one buffer; here a first pass takes sketch cut
-    points around each quartile, a second counts rows between cut points, and only
-    rows of the buckets that hold a wanted rank are grouped by value and ranked.  The
-    cut points decide how little is ranked, never what the answer is.
+    Quartiles are exact and interpolate linearly.  One wide aggregate gives the moments of
+    all columns.  The wanted ranks are then closed in on by histograms, all columns at once:
+    each round counts, in ``bins`` bins, the values of the intervals that still hold a wanted
+    rank, and keeps the bins with one, down to the least and greatest value in them.  No
+    value is gathered anywhere; the driver holds at most six intervals a column.
     """
     columns = numeric_columns(df)
     if not columns:
         raise ValueError("no numeric column to describe")
-    slack = 2.0 / accuracy
-    probes = [p + d for _, p in _QUARTILES for d in (-slack, slack)]
-    cells = df.select(
-        _rows(
-            [
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                for c in columns
-            ]
-        )
-    ).where("v IS NOT NULL AND NOT isnan(v)")
-    facts = cells.groupBy("column").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.percentile_approx("v", probes, accuracy).alias("cuts"),
-    )
-    # One row per column of the table, so this side is small by construction.
-    cuts = F.broadcast(facts.select("column", "cuts"))
-    bucket = sum(
-        (F.col("v") >= F.get("cuts", F.lit(i))).cast("int") for i in range(len(probes))
-    )
-    placed = cells.join(cuts, "column").select("column", "v", bucket.alias("bucket"))
-    sizes = placed.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy("column").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    spans = sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
-
-    def wanted(name: str, p: float) -> list[Column]:
-        at = (F.col("count") - 1) * F.lit(p)
-        low = F.floor(at)
-        return [
-            F.struct(F.lit(f"{name}_lo").alias("what"), low.alias("rank")),
-            F.struct(F.lit(f"{name}_hi").alias("what"), F.ceil(at).alias("rank")),
+    values = {c: _value(df, c) for c in columns}
+    wide = df.agg(
+        *[
+            f(v).alias(f"{name}{i}")
+            for i, v in enumerate(values.values())
+            for name, f in (
+                ("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("lo", F.min), ("hi", F.max),
+            )
         ]
+    ).first()
+    at = {(c, p): (wide[f"n{i}"] - 1) * p for i, c in enumerate(columns) for _, p in _QUARTILES}
+    ranks = {c: sorted({r for _, p in _QUARTILES for r in (floor(at[c, p]), ceil(at[c, p]))}) for c in columns}
+    spans = [
+        (c, wide[f"lo{i}"], wide[f"hi{i}"], 0, ranks[c]) for i, c in enumerate(columns) if wide[f"n{i}"]
+    ]
+    found: dict[tuple[str, int], float] = {}
+    while spans := _settle(spans, found):
+        spans = _narrow(df, values, spans, bins)
+
+    def quartile(c: str, p: float) -> float:
+        low, high = found[c, floor(at[c, p])], found[c, ceil(at[c, p])]
+        return low if low == high else low + (high - low) * (at[c, p] - floor(at[c, p]))
+
+    rows = [
+        (
+            c, wide[f"n{i}"], wide[f"mean{i}"], wide[f"std{i}"], wide[f"lo{i}"],
+            *(quartile(c, p) if wide[f"n{i}"] else None for _, p in _QUARTILES), wide[f"hi{i}"],
+        )
+        for i, c in enumerate(columns)
+    ]
+    numbers = ", ".join(f"{c} double" for c in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"`column` string, count bigint, {numbers}")
 
-    ranks = facts.select(
-        "column", F.inline(F.array(*[s for name, p in _QUARTILES for s in wanted(name, p)]))
-    )
-    # At most six rows per column of the table on either side.
-    targets = ranks.join(spans, "column").where("rank >= base AND rank < base + n")
-    targets = targets.select("column", "bucket", "what", (F.col("rank") - F.col("base")).alias("k"))
-    hot = F.broadcast(targets.select("column", "bucket").distinct())
-    values = (
-        placed.join(hot, ["column", "bucket"], "left_semi")
-        .groupBy("column", "bucket", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ordered = W.partitionBy("column", "bucket").orderBy("v")
-    running = F.sum("n").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = values.withColumn("upto", running)
-    hits = ranked.join(F.broadcast(targets), ["column", "bucket"]).where(
-        "k >= upto - n AND k < upto"
-    )
-    picked = hits.groupBy("column").pivot("what", _picks()).agg(F.max("v"))
 
-    def quartile(name: str, p: float) -> Column:
-        at = (F.col("count") - 1) * F.lit(p)
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        return (low + (high - low) * (at - F.floor(at))).alias(name)
+def _value(df: DataFrame, name: str) -> Column:
+    """The column as a double, NaN as null."""
+    v = F.col(name).cast("double")
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        v = F.when(~F.isnan(name), v)
+    return v
 
-    return facts.join(picked, "column").select(
-        "column", "count", "mean", "std", "min", *[quartile(n, p) for n, p in _QUARTILES], "max"
-    )
+
+# (column, least value, greatest value, rows below, wanted ranks)
+_Span = tuple[str, float, float, int, list[int]]
+
+
+def _settle(spans: list[_Span], found: dict[tuple[str, int], float]) -> list[_Span]:
+    """Note the ranks of intervals that hold one value; the others stay open."""
+    for column, low, high, _, ranks in spans:
+        if low == high:
+            found.update(dict.fromkeys([(column, r) for r in ranks], low))
+    return [s for s in spans if s[1] != s[2]]
 
 
-def _picks() -> list[str]:
-    return [f"{name}_{end}" for name, _ in _QUARTILES for end in ("lo", "hi")]
+def _bin(v: Column, low: float, high: float, bins: int) -> Column:
+    """The bin of a value; infinite ones have the outer bins to themselves."""
+    a, z = max(low, -_LARGEST) / 2, min(high, _LARGEST) / 2
+    inner = F.floor((v / 2 - a) / (z - a) * (bins - 3)) + 1 if z > a else F.lit(1)
+    inside = F.least(F.greatest(inner, F.lit(1)), F.lit(bins - 2))
+    return F.when(v == float("-inf"), 0).when(v == float("inf"), bins - 1).otherwise(inside).cast("int")
+
+
+_LARGEST = 1.7976931348623157e308
+
+
+def _narrow(df: DataFrame, values: dict[str, Column], spans: list[_Span], bins: int) -> list[_Span]:
+    """One histogram round over all open intervals."""
+    entries = []
+    for i, (column, low, high, _, _) in enumerate(spans):
+        v = F.when(values[column].between(low, high), values[column])
+        entries.append(F.struct(F.lit(i).alias("span"), v.alias("v"), _bin(v, low, high, bins).alias("bin")))
+    cells = df.select(_rows(entries)).where("v IS NOT NULL")
+    table = cells.groupBy("span", "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    upto = F.sum("n").over(W.partitionBy("span").orderBy("bin"))
+    table = table.withColumn("before", upto - F.col("n"))
+    inner = F.lit(False)
+    for i, (_, _, _, base, ranks) in enumerate(spans):
+        for r in ranks:
+            held = (F.col("before") <= r - base) & (F.lit(r - base) < F.col("before") + F.col("n"))
+            inner = inner | ((F.col("span") == i) & held)
+    out = []
+    for r in table.where(inner).collect():
+        column, _, _, base, ranks = spans[r["span"]]
+        low = base + r["before"]
+        out.append((column, r["low"], r["high"], low, [k for k in ranks if low <= k < low + r["n"]]))
+    return out
 
 
 def table_shape(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from railyard.functions import raw_json, truthy
+from railyard.functions import truthy
 
 _ITEMS = "array<struct<title:string,link:string>>"
 
@@ -17,12 +17,20 @@ def scan_json_feed(
     """All pages of a feed of flat JSON objects, every value as text.
 
     A page is one file holding an array (``multiline``) or one object per line.
-    ``raw_record`` keeps the requested fields of the object as JSON.
+    ``raw_record`` is the whole object as it stands in the page, fields that ``columns``
+    does not name included.
     """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if multiline:
+        text = F.trim(F.regexp_replace("value", "^\ufeff", ""), F.lit(" \t\r\n"))
+        array = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+        pages = reader.option("wholetext", "true").text(path)
+        objects = pages.select(F.explode(F.from_json(array, "array<string>")).alias("raw_record"))
+    else:
+        lines = reader.text(path).where(F.trim("value") != "")
+        objects = lines.select(F.col("value").alias("raw_record"))
     schema = StructType([StructField(c, StringType()) for c in columns])
-    reader = spark.read.schema(schema).option("multiLine", str(multiline).lower())
-    pages = reader.json(path)
-    return pages.withColumn("raw_record", raw_json(*columns))
+    return objects.withColumn("f", F.from_json("raw_record", schema)).select("f.*", "raw_record")
 
 
 def explode_observations(payloads: DataFrame, series: DataFrame) -> DataFrame:
@@ -134,27 +142,23 @@ def scan_feed_items(
     without a link cannot shift its neighbours' links.  ``fallback`` is the link of a
     feed with no such item (the archive page's first link), null by default.
     """
-    text = F.regexp_extract_all("xml", F.lit(r"(?s)<item(?:\s[^>]*)?>(.*?)</item>"), F.lit(1))
-    items = F.transform(text, lambda x: F.struct(_tag(x, "title"), _tag(x, "link")))
+    doc = F.from_xml("xml", f"channel struct<item:{_ITEMS}>, item {_ITEMS}")
+    none = F.array().cast(_ITEMS)
+    parsed = feeds.select("feed_id", doc.alias("doc")).select(
+        "feed_id",
+        F.concat(F.coalesce("doc.channel.item", none), F.coalesce("doc.item", none)).alias("items"),
+    )
     wanted = F.filter(
-        items.cast(_ITEMS),
-        lambda i: F.contains(F.lower(i["title"]), F.lit(phrase)) & truthy(i["link"]),
+        "items", lambda i: F.contains(F.lower(i["title"]), F.lit(phrase)) & truthy(i["link"])
     )
     first = F.get(wanted, F.lit(0))
-    return feeds.select(
+    return parsed.select(
         "feed_id",
         first["title"].alias("title"),
         F.coalesce(first["link"], F.lit(fallback)).alias("link"),
     ).where(F.col("link").isNotNull())
 
 
-def _tag(item, name: str):
-    """Text of the first ``name`` element of an item, entities and CDATA resolved."""
-    body = F.regexp_extract(item, rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}>", 1)
-    cdata = F.regexp_extract(body, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1)
-    return F.when(cdata != "", cdata).otherwise(unescape(body)).alias(name)
-
-
 def unescape(c):
     """Resolve the character entities that occur in feeds and links."""
     for entity, char in (

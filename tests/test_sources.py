@@ -221,3 +221,10 @@ def test_views_by_header(spark):
     df = spark.createDataFrame([(v, h) for v, h in BORDER_VIEWS.items()], "v string, h string")
     got = df.select("v", archives.classify_view(F.col("h")).alias("g")).collect()
     assert all(r["v"] == r["g"] for r in got)
+
+
+def test_json_feed_keeps_whole_objects(spark, tmp_path):
+    (tmp_path / "p1.json").write_text('[{"a": 1.50, "extra": {"b": [1]}},\n {"a": null}]')
+    (tmp_path / "p2.json").write_text('{"a": "x", "more": true}')
+    rows = {r["a"]: json.loads(r["raw_record"]) for r in feeds.scan_json_feed(spark, str(tmp_path), ["a", "z"]).collect()}
+    assert rows == {"1.5": {"a": 1.5, "extra": {"b": [1]}}, None: {"a": None}, "x": {"a": "x", "more": True}}

@@ -243,22 +243,28 @@ def _profile_sql(table: str, columns: list[tuple[str, str, bool]]) -> str:
         "lineitem",
         [
             ("l_orderkey", "bigint", False),
+            ("l_partkey", "bigint", False),
+            ("l_suppkey", "bigint", False),
             ("l_linenumber", "int", False),
             ("l_quantity", "double", False),
+            ("l_extendedprice", "double", False),
+            ("l_discount", "double", False),
+            ("l_tax", "double", False),
             ("l_returnflag", "string", True),
+            ("l_linestatus", "string", True),
             ("l_shipdate", "timestamp_ntz", False),
         ],
     ),
 )
 def profile_columns(spark: SparkSession, d: str) -> DataFrame:
     census = profile.profile_columns(raw(spark, d, R.CENSUS))
-    lines = raw(spark, d, "SELECT * FROM lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
-    )
+    lines = raw(spark, d, "SELECT * FROM lineitem")
     return census.unionByName(profile.profile_columns(lines))
 
 
-_NUMERIC = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax"]
+_NUMERIC = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+]
 
 
 @query(
@@ -274,7 +280,7 @@ _NUMERIC = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_ta
     ),
 )
 def describe_numeric(spark: SparkSession, d: str) -> DataFrame:
-    stats = profile.describe_numeric(raw(spark, d, "SELECT * FROM lineitem").select(*_NUMERIC))
+    stats = profile.describe_numeric(raw(spark, d, "SELECT * FROM lineitem"))
     digits = {"mean": 4, "std": 4, "q25": 6, "q50": 6, "q75": 6}
     return stats.withColumns({c: F.round(c, n) for c, n in digits.items()})
 

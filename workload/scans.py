@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.constants import BORDER_VIEWS
+from railyard.constants import BORDER_VIEWS, WAYBILL_WIDTH, waybill_fields
 from railyard.operators import lookups
 from railyard.operators import normalize as N
 from railyard.operators.report import drop_payload_columns
@@ -34,32 +34,21 @@ from workload.registry import query, raw
 def scan_json_feed(spark: SparkSession, d: str) -> DataFrame:
     path = work_dir(spark, "feed")
     columns = ["reportkey", "incident_type", "date", "totaldamagecost", "statename"]
-    raw(spark, d, R.INCIDENTS).select(*columns).write.json(path)
+    raw(spark, d, R.INCIDENTS).write.json(path)
     rows = feeds.scan_json_feed(spark, path, columns, multiline=False)
     keyed = F.contains("raw_record", F.lit('"reportkey"')).cast("int")
     return rows.select(*columns, keyed.alias("keyed"))
 
 
-_SLICES_SQL = f"""
-SELECT trim(substr(line, 1, 6)) AS waybill_date, trim(substr(line, 11, 4)) AS carloads,
-  trim(substr(line, 36, 5)) AS stcc, trim(substr(line, 64, 9)) AS transit_charges,
-  trim(substr(line, 110, 2)) AS interchange_state_2, trim(substr(line, 242, 6)) AS tail
-FROM ({R.WAYBILLS}) WHERE length(line) >= 247
-"""
+_CUTS = ", ".join(f"trim(substr(line, {a + 1}, {z - a})) AS {name}" for name, a, z, _ in waybill_fields())
+_SLICES_SQL = f"SELECT {_CUTS} FROM ({R.WAYBILLS}) WHERE length(line) >= {WAYBILL_WIDTH}"
 
 
 @query("scan_fixed_width", _SLICES_SQL)
 def scan_fixed_width(spark: SparkSession, d: str) -> DataFrame:
     path = work_dir(spark, "waybills")
     raw(spark, d, R.WAYBILLS).write.text(path)
-    return fixed_width.scan_fixed_width(spark, path).select(
-        "waybill_date",
-        "carloads",
-        "stcc",
-        "transit_charges",
-        "interchange_state_2",
-        F.col("expanded_trailer_container_count").alias("tail"),
-    )
+    return fixed_width.scan_fixed_width(spark, path)
 
 
 def zip_lines(lines: DataFrame) -> DataFrame:
