@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railyard.llm.common import staged
@@ -61,6 +62,14 @@ class _Cut:
         self.open = False
 
 
+def _nodes(spark: SparkSession, rows: list[tuple], fields: str) -> DataFrame:
+    """A table of nodes from the driver: one text literal that the executors parse."""
+    names = [f.split()[0] for f in fields.split(", ")]
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    kind = "array<struct<" + fields.replace(" ", ":").replace(",:", ",") + ">>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), kind)))
+
+
 def _coordinate(dim: str) -> Column:
     return F.element_at("dims", F.col(dim) + 1)
 
@@ -75,7 +84,7 @@ def _step(located: DataFrame, cuts: list[_Cut], bins: int) -> list:
         "of bigint, dim int, stage int, goal double, under bigint, lo_x double, hi_x double,"
         " lo_h bigint, hi_h bigint, lo_r bigint, hi_r bigint"
     )
-    state = F.broadcast(located.sparkSession.createDataFrame(rows, schema))
+    state = F.broadcast(_nodes(located.sparkSession, rows, schema))
     x = located.join(state, F.col("node") == F.col("of")).withColumn("x", _coordinate("dim"))
     x = x.where(
         "CASE stage WHEN 0 THEN x BETWEEN lo_x AND hi_x WHEN 1 THEN x = lo_x AND h BETWEEN lo_h AND hi_h"
@@ -101,7 +110,7 @@ def _step(located: DataFrame, cuts: list[_Cut], bins: int) -> list:
 def _descend(located: DataFrame, cuts: list[_Cut]) -> DataFrame:
     """Every row one level down: right if its coordinates are above its node's cut."""
     rows = [(c.node, c.dim, *c.cut) for c in cuts]
-    state = located.sparkSession.createDataFrame(rows, "of bigint, dim int, cut_x double, cut_h bigint, cut_r bigint")
+    state = _nodes(located.sparkSession, rows, "of bigint, dim int, cut_x double, cut_h bigint, cut_r bigint")
     x = _coordinate("dim")
     right = (x > F.col("cut_x")) | (
         (x == F.col("cut_x"))
@@ -159,7 +168,7 @@ def assign(points: DataFrame, dims: int, leaves: int, bins: int = BINS) -> DataF
         shape, order = below, list(below)
     number = "CASE node " + " ".join(f"WHEN {n} THEN {i}" for i, n in enumerate(order)) + " END"
     if len(order) > 256:
-        table = located.sparkSession.createDataFrame(list(zip(order, range(len(order)))), "of bigint, shard int")
+        table = _nodes(located.sparkSession, list(zip(order, range(len(order)), strict=True)), "of bigint, shard int")
         out = located.join(F.broadcast(table), F.col("node") == F.col("of"))
         return out.drop("node", "of")
     return located.withColumn("shard", F.expr(number).cast("int")).drop("node")
