@@ -18,10 +18,14 @@ def evaluate_once(df: DataFrame, *columns: Column | str) -> DataFrame:
     return staged.select(F.inline(F.array("_row")))
 
 
-def evaluate_beside(df: DataFrame, *columns: Column) -> DataFrame:
+def evaluate_beside(df: DataFrame, *columns: Column, at_a_time: int = 4) -> DataFrame:
     """``df`` with more columns, each evaluated once per row.
 
     Like :func:`evaluate_once` for the new columns only: those of ``df`` can still be
-    pruned, and filters on them still move to the scan.
+    pruned, and filters on them still move to the scan.  Each ``at_a_time`` columns are an
+    operator of their own, since the code of one operator is one method and the Java machine
+    compiles none above 8,000 bytes.
     """
-    return df.select("*", F.inline(F.array(F.struct(*columns))))
+    for i in range(0, len(columns), at_a_time):
+        df = df.select("*", F.inline(F.array(F.struct(*columns[i : i + at_a_time]))))
+    return df

@@ -360,8 +360,10 @@ def norm_waybills(
     states = [text(r[name]) for name, _, _, kind in fields if kind == "state"]
     columns["interchange_states"] = text(F.concat_ws(",", *states))
     given = truthy(r["stcc"])
+    numbers = tuple(name for name, _, _, kind in fields if kind in ("int", "float"))
+    present = ["carloads", "snapshot_date"]
     return _finish(
-        r, "waybill_shipments", columns, ["carloads", "snapshot_date"], ingested_at, given
+        r, "waybill_shipments", columns, present, ingested_at, given, parsed=numbers
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.constants import PY_WHITESPACE, WAYBILL_WIDTH, waybill_fields
+from railyard.functions.stages import evaluate_beside, evaluate_once
 
 
 _LATIN = "ISO-8859-1"
@@ -36,11 +37,12 @@ def slice_fixed_width(
     """
     layout = layout or waybill_fields()
     kept = keep or []
-    rows = lines.select(*kept, _record(F.col(line)).alias("_rec"))
+    # Both stages are evaluated once: filters above read their results, not their code.
+    rows = evaluate_once(lines, *kept, _record(F.col(line)).alias("_rec"))
     rows = rows.where(F.octet_length("_rec") >= width)
-    rows = rows.withColumn("_odd", F.col("_rec").cast("string").rlike("[^ -~]"))
-    decoded = F.translate(F.decode("_rec", _LATIN), _HIGH, "�" * len(_HIGH))
-    rows = rows.withColumn("_text", F.when(F.col("_odd"), decoded))
+    odd = F.col("_rec").cast("string").rlike("[^ -~]")
+    decoded = F.translate(F.decode("_rec", _LATIN), _HIGH, "\ufffd" * len(_HIGH))
+    rows = evaluate_once(rows, *kept, "_rec", odd.alias("_odd"), F.when(odd, decoded).alias("_text"))
 
     def field(start: int, end: int) -> Column:
         size = end - start
@@ -48,7 +50,8 @@ def slice_fixed_width(
         careful = F.btrim(F.substring("_text", start + 1, size), F.lit(PY_WHITESPACE))
         return F.when(F.col("_odd"), careful).otherwise(plain)
 
-    return rows.select(*kept, *[field(s, e).alias(name) for name, s, e, _ in layout])
+    fields = [field(s, e).alias(name) for name, s, e, _ in layout]
+    return evaluate_beside(rows, *fields, at_a_time=8).drop("_rec", "_odd", "_text")
 
 
 def is_short(line: Column, width: int = WAYBILL_WIDTH) -> Column:

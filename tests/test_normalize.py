@@ -191,3 +191,14 @@ def test_ocean(feed):
     assert rows["R1"]["snapshot_date"] == date(2031, 5, 9)
     assert rows["R1"]["trade_lane"] == "unknown" and rows["R1"]["container_type"] == "40GP"
     assert rows["R2"]["snapshot_date"] == RUN and rows["R2"]["rate_usd"] == 0.0
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    df = spark.createDataFrame([(waybill(),)], "line string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = N.norm_waybills(slice_fixed_width(df), 2024)._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 0 < max(sizes) < 8000
