@@ -83,12 +83,16 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
         .where("low <> high")
         .select("mark")
     )
-    near = found.join(shared, "mark", "left_semi")
+    # Written tables on the small side leave both sides of a join plain shuffles, which
+    # adaptive execution can split where a line or a window stands in very many places. They
+    # are merged at every size: the tables grow with the corpus and aren't for broadcasting.
+    shared = staged(shared, "shared-marks")
+    near = staged(found.join(shared.hint("merge"), "mark", "left_semi").drop("mark", "mark_pos"), "shared-windows")
     order = F.struct(F.col("key").isNull().alias("no_key"), "key", "digest", "first")
     origin = near.groupBy("name").agg(F.min(order).alias("origin"), F.max(order).alias("latest"))
-    origin = origin.where("origin < latest").select("name", "origin")
+    origin = staged(origin.where("origin < latest").select("name", "origin"), "window-origins")
     later = (
-        near.join(origin, "name")
+        near.join(origin.hint("merge"), "name")
         .where(order > F.col("origin"))
         .select("key", "digest", "first", "last")
         .distinct()
