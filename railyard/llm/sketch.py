@@ -141,7 +141,7 @@ def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[s
         yield ids, texts, nexts
 
 
-def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 4096) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 65_536) -> DataFrame:
     """Sketches of every text and of its edited text, and how near they are.
 
     The edited text takes from the next row in falling order of ``key`` (null last; equal keys
@@ -149,8 +149,8 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows of their own; other columns are left out. near_edited and near_next are likeness,
     inside_edited and inside_next the share of the text's own shingles.
 
-    Rows are dealt into ranges of about ``rows`` keys, cut at keys of the table, which a
-    shuffle of the keys alone finds. The row that starts a range is sent to the range below
+    Rows are dealt into ranges of at most about ``rows`` keys, four or more for each shuffle
+    partition, cut at keys of the table, which a shuffle of the keys alone finds. The row that starts a range is sent to the range below
     too, so each row meets its next one after a single shuffle of the texts.
     """
     spark = docs.sparkSession
@@ -158,7 +158,9 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "order", F.coalesce("doc_id", F.lit(-(2**63)))
     )
     ids = staged(keyed.select("order"), "ids")
-    parts = max(1, -(-ids.count() // rows))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = ids.count()
+    parts = max(1, min(total, max(4 * tasks, -(-total // rows))))
     tops = ids.repartitionByRange(parts, "order").groupBy(F.spark_partition_id()).agg(F.max("order").alias("top"))
     bounds = np.array(sorted(r["top"] for r in tops.collect()), dtype=np.int64)
 
@@ -180,8 +182,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
             F.xxhash64("text").alias("tie"),
         )
     )
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    sorted_rows = dealt.repartition(parts, "bucket").sortWithinPartitions(
+    sorted_rows = dealt.repartition(tasks, "bucket").sortWithinPartitions(
         "bucket", F.desc("guest"), F.desc("order"), "tie"
     )
 
