@@ -24,7 +24,7 @@ def scan_json_feed(
     if multiline:
         text = F.trim(F.regexp_replace("value", "^\ufeff", ""), F.lit(" \t\r\n"))
         array = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-        pages = reader.option("wholetext", "true").text(path)
+        pages = reader.text(path, wholetext=True)
         objects = pages.select(F.explode(F.from_json(array, "array<string>")).alias("raw_record"))
     else:
         lines = reader.text(path).where(F.trim("value") != "")
