@@ -25,7 +25,7 @@ _GAPS = regex.compile(r"\p{White_Space}+")
 _ODD_GAPS = regex.compile(r"[\x1c-\x1f]")
 
 #: Chunks whose ids a worker keeps between batches; more chunks only cost time.
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 400_000
 
 _NONE = np.iinfo(np.int64).max
 
