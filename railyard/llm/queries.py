@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from railyard.llm import bpe, chat, linededup, mixing, neighbours, quality, sharding, simhash, sketch, toxicity
+from railyard.llm import (
+    bpe, chat, linededup, mixing, neighbours, oddsketch, quality, sharding, simhash, sketch, toxicity,
+)
 from railyard.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +211,34 @@ def op7_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_register
+def op13_oddsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and near-duplicate component of every document."""
+    return oddsketch.near_duplicates(table(spark, sf_dir, "documents"), percent=85, words=5)
+
+
+ORACLES["op13_oddsketch"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+t AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (
+  SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+  WHERE 100 * p.c >= 85 * (x.n + y.n - p.c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(node, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.root),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
