@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railyard.llm import (
-    bpe, chat, linededup, mixing, neighbours, oddsketch, quality, sharding, simhash, sketch, toxicity,
+    bpe, chat, fptree, linededup, mixing, neighbours, oddsketch, phrases, quality, sharding, simhash, sketch, toxicity,
 )
 from railyard.llm.common import fold, table
 
@@ -242,3 +242,77 @@ c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+
+@_register
+def op12_fptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return fptree.rank_documents(docs, items, top=20)
+
+
+ORACLES["op12_fptree"] = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+s AS (SELECT count(*) AS n, CAST(sum(len(terms)) AS BIGINT) AS l FROM t WHERE len(terms) > 0),
+d AS (SELECT doc_id, 75 + (25 * len(terms) * s.n) // s.l AS m FROM t, s WHERE len(terms) > 0),
+f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM t) GROUP BY doc_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * s.n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY item_id, term),
+r AS (
+  SELECT q.item_id, f.doc_id,
+         CAST(sum(q.times * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * d.m))) AS BIGINT) AS score
+  FROM q JOIN w ON w.term = q.term JOIN f ON f.term = q.term JOIN d ON d.doc_id = f.doc_id
+  GROUP BY q.item_id, f.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+@_register
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), top=2000, least=30, longest=4)
+
+
+ORACLES["op11_phrases"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM w),
+g AS (
+  SELECT lang, k, array_to_string(words[at:at + k - 1], ' ') AS phrase
+  FROM i, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE at + k - 1 <= len(words)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k > 1 AND f >= 30),
+s AS (
+  SELECT lang, a AS longer, words, k, size, unnest(range(1, k - size + 2)) AS at
+  FROM c, (SELECT unnest([2, 3]) AS size) WHERE size < k),
+b AS (SELECT lang, array_to_string(words[at:at + size - 1], ' ') AS phrase, max(longer) AS longer FROM s GROUP BY 1, 2),
+o AS (
+  SELECT c.* FROM c LEFT JOIN b ON b.lang = c.lang AND b.phrase = c.phrase
+  WHERE b.longer IS NULL OR 100 * CAST(b.longer AS HUGEINT) < 80 * CAST(c.a AS HUGEINT)),
+u AS (SELECT lang, phrase, a, k, words, unnest(range(1, k)) AS cut FROM o),
+v AS (
+  SELECT u.lang, u.phrase, u.a, u.cut, x.f AS l, y.f AS r,
+         CAST((2000000 * CAST(u.a AS HUGEINT)) // (x.f + y.f) AS BIGINT) AS score
+  FROM u JOIN f x ON x.lang = u.lang AND x.k = u.cut AND x.phrase = array_to_string(u.words[1:u.cut], ' ')
+  JOIN f y ON y.lang = u.lang AND y.k = u.k - u.cut AND y.phrase = array_to_string(u.words[u.cut + 1:u.k], ' ')),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS best FROM v),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z WHERE best = 1)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, n.n, k.score
+FROM k JOIN n ON n.lang = k.lang WHERE k.rank <= 2000
+"""
