@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +23,16 @@ SAMPLES = BANDS * BAND_ROWS
 #: Bits of a parity bitmap.
 SKETCH_BITS = 512
 
-#: The chance that a linked pair's bitmaps differ in more bits than allowed.
-MISS = 1e-9
+#: The chance that the bitmaps of a pair just at the threshold differ in too many bits.
+MISS = 1e-7
 
 #: Members of a band's bucket up to which they are equal-joined; those of a larger bucket
 #: are compared chunk by chunk, which is exact too.
-JOINED_BUCKET = 48
+JOINED_BUCKET = 32
+
+#: Members of a chunk, and their shingles.
+CHUNK_ROWS, CHUNK_SHINGLES = 1024, 1_000_000
 
-_CHUNK = 256
 _PARTNERS = 24
 _FILTER_BITS = 1 << 24
 
@@ -87,21 +91,25 @@ def estimate(differing: float) -> float:
     return max(0.0, 1 + SKETCH_BITS / (4 * SAMPLES) * float(np.log1p(-share)))
 
 
+@lru_cache(maxsize=8)
 def allowed_bits(percent: int, miss: float = MISS) -> int:
-    """The most bits in which the bitmaps of texts at ``percent`` may differ.
+    """The most bits in which the bitmaps of linked texts differ, but for a chance of ``miss``.
 
-    Of the samples a binomial number agrees; each that doesn't flips one bit in either
-    bitmap, so no more bits than twice their number can differ.
+    A binomial number of samples differs at that similarity; each flips one bit of either
+    bitmap, and the number of odd bits after every flip is followed exactly.
     """
-    p, q, n = percent / 100, 1 - percent / 100, SAMPLES
-    if p >= 1:
-        return 0
-    chance, total, agree = q**n, 0.0, 0
-    while total + chance <= miss:
-        total += chance
-        chance *= (n - agree) / (agree + 1) * p / q
-        agree += 1
-    return min(2 * (n - agree), SKETCH_BITS)
+    p = percent / 100
+    odd = np.zeros(SKETCH_BITS + 1)
+    odd[0] = 1.0
+    places = np.arange(SKETCH_BITS + 1) / SKETCH_BITS
+    total = np.zeros(SKETCH_BITS + 1)
+    for differ in range(SAMPLES + 1):
+        total += math.comb(SAMPLES, differ) * p ** (SAMPLES - differ) * (1 - p) ** differ * odd
+        for _ in range(2):
+            up, down = odd * (1 - places), odd * places
+            odd = np.append(0.0, up[:-1]) + np.append(down[1:], 0.0)
+    above = np.cumsum(total[::-1])[::-1]  # chance of at least so many bits
+    return int(np.argmax(above <= miss)) - 1
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -209,73 +217,151 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int,
     return staged(rows.groupBy("a", "part").applyInArrow(check, "a bigint, b bigint"), "odd-links")
 
 
-def _chunk_pairs(crowd: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of large buckets that lie in different components and look alike.
+def _alike_matrix(left: tuple, right: tuple, percent: int) -> np.ndarray:
+    """Which pairs of two chunks (root, n, sketch) may be links between components."""
+    (ra, na, sa), (rb, nb, sb) = left, right
+    far = np.zeros((len(na), len(nb)), dtype=np.int64)
+    for k in range(sa.shape[1]):
+        far += np.bitwise_count(sa[:, k, None] ^ sb[:, k])
+    near = (far <= allowed_bits(percent)) & (ra[:, None] != rb)
+    return near & (100 * np.minimum(na[:, None], nb) >= percent * np.maximum(na[:, None], nb))
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many shingles each set of ``left`` has in common with each of ``right``.
 
-    A bucket's members are packed into chunks; pairs of chunks meet, not pairs of members,
-    and only the members whose bitmaps agree leave a task. ``crowd`` has entry, cnt, id,
-    root, n and sketch.
+    Products of 0/1 matrices over the shingles that both sides hold, some columns at a time.
     """
-    most = allowed_bits(percent)
-    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("cnt") / _CHUNK))
-    packed = crowd.groupBy("entry", chunk.alias("chunk")).agg(
-        F.collect_list(F.struct("id", "root", "n", "sketch")).alias("members")
+    values = [np.concatenate(side) for side in (left, right)]
+    rows = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (left, right)]
+    shared = np.intersect1d(*(np.unique(v) for v in values), assume_unique=True)
+    held = []
+    for value, row in zip(values, rows, strict=True):
+        at = np.searchsorted(shared, value)
+        at[at == len(shared)] = 0
+        known = shared[at] == value if len(shared) else np.zeros(len(value), dtype=bool)
+        order = np.argsort(at[known], kind="stable")
+        held.append((at[known][order], row[known][order]))
+    total = np.zeros((len(left), len(right)), dtype=np.int64)
+    for first in range(0, len(shared), columns):
+        sides = []
+        for (at, row), n in zip(held, total.shape, strict=True):
+            a, z = np.searchsorted(at, [first, first + columns])
+            part = np.zeros((n, columns), dtype=np.float32)
+            part[row[a:z], at[a:z] - first] = 1
+            sides.append(part)
+        total += (sides[0] @ sides[1].T).astype(np.int64)
+    return total
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the same nodes as all of them, without a circle."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.get(x, x)) != x:
+            above[x] = x = above.get(y, y)
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = top(x), top(y)
+        if p != q:
+            above[p] = q
+            out.append((x, y))
+    return out
+
+
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a cell's two chunks; a chunk that meets itself is both."""
+    side = rows.column("side").to_numpy()
+    if (side == 0).all():
+        return (np.arange(len(side)),) * 2
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
+
+def _crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links (a, b) between differently labelled members of large buckets.
+
+    A bucket's members are dealt to chunks, and every two chunks of a bucket meet in a cell,
+    as does each chunk with itself. A cell first compares bitmaps; members that agree with
+    one of another label meet again in the same cell with their texts, where all pairs
+    are counted exactly. No pair leaves a cell but the links that connect its members. Buckets with the
+    same members are compared once. ``crowd`` has entry, id and root.
+    """
+    about = crowd.join(reps.select("id", "n", "sketch"), "id")
+    sizes = about.groupBy("entry").agg(
+        F.count("*").alias("cnt"), F.sum("n").alias("shingles"), F.bit_xor(F.xxhash64("id")).alias("sign")
     )
-    packed = staged(packed, "odd-chunks")
-    left = packed.select("entry", F.col("chunk").alias("i"), F.col("members").alias("left"))
-    right = packed.select("entry", F.col("chunk").alias("j"), F.col("members").alias("right"))
-
-    def arrays(column: pa.Array) -> list[tuple]:
-        out = []
-        for k in range(len(column)):
-            part = column[k].values
-            maps = np.array(part.field("sketch").flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
-            out.append((*(part.field(f).to_numpy() for f in ("id", "root", "n")), maps.view(np.uint64).reshape(len(part), -1)))
-        return out
+    sizes = sizes.groupBy("cnt", "shingles", "sign").agg(F.min("entry").alias("entry"))
+    chunks = F.greatest(F.ceil(F.col("cnt") / CHUNK_ROWS), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    dealt = about.join(sizes.select("entry", chunks.alias("chunks")), "entry")
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
+        "entry",
+        F.least("chunk", "other").alias("i"),
+        F.greatest("chunk", "other").alias("j"),
+        F.when(F.col("chunk") <= F.col("other"), 0).otherwise(1).alias("side"),
+        "id", "root", "n", "sketch",
+    )
+
+    def sift(rows: pa.Table) -> pa.Table:
+        maps = rows.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)
+        root, n = (rows.column(c).to_numpy() for c in ("root", "n"))
+        left, right = _sides(rows)
+        near = _alike_matrix(*((root[x], n[x], maps[x]) for x in (left, right)), percent)
+        keep = np.union1d(left[near.any(axis=1)], right[near.any(axis=0)])
+        return rows.drop_columns(["n"]).take(pa.array(keep))
+
+    kinds = "entry bigint, i int, j int, side int, id bigint, root bigint, sketch array<bigint>"
+    held = staged(cells.groupBy("entry", "i", "j").applyInArrow(sift, kinds), "odd-cells")
+    wanted = held.select("id").distinct().join(reps, "id")
+    wanted = staged(wanted.select("id", "low", F.col("cls").alias("wanted_cls")), "odd-wanted")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for (ia, ra, na, sa), (ib, rb, nb, sb) in zip(arrays(batch.column(0)), arrays(batch.column(1)), strict=True):
-                far = np.zeros((len(ia), len(ib)), dtype=np.int64)
-                for k in range(sa.shape[1]):
-                    far += np.bitwise_count(sa[:, k, None] ^ sb[:, k])
-                near = (far <= most) & (ra[:, None] != rb)
-                near &= 100 * np.minimum(na[:, None], nb) >= percent * np.maximum(na[:, None], nb)
-                p, q = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(ia[p], ib[q])), pa.array(np.maximum(ia[p], ib[q]))], ["a", "b"]
-                )
+    def link(rows: pa.Table) -> pa.Table:
+        ids, root = (rows.column(c).to_numpy() for c in ("id", "root"))
+        sets = [shingle_set(np.frombuffer(t.as_py().encode("utf-8"), dtype=np.uint8), words) for t in rows.column("text")]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        left, right = _sides(rows)
+        both = common_counts([sets[x] for x in left], [sets[x] for x in right])
+        linked = 100 * both >= percent * (size[left][:, None] + size[right] - both)
+        p, q = np.nonzero(linked & (root[left][:, None] != root[right]))
+        found = _spanning(ids[left[p]], ids[right[q]])
+        return pa.table({c: pa.array([x[k] for x in found], pa.int64()) for k, c in enumerate("ab")})
 
-    met = left.join(right, "entry").where("i <= j").select("left", "right")
-    return met.repartition(F.rand(7)).mapInArrow(run, "a bigint, b bigint").distinct()
+    rows = held.drop("sketch").join(_texts(docs, wanted), "id")
+    return staged(rows.groupBy("entry", "i", "j").applyInArrow(link, "a bigint, b bigint"), "odd-links")
 
 
 def _edges(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """Edges between representatives that connect all that are linked.
 
     First each bucket's members are confirmed against its least member, a star that is linear
-    in the bucket. Then buckets whose members are all connected are done, and in the others
-    every pair that lies in different components so far is compared and confirmed.
+    in the bucket. Whoever is linked to a hub gets the label of the least such hub, and that
+    hub's own; so equal labels are connected. Buckets of one label are done, and in the others
+    every pair with different labels is compared and confirmed.
     """
     entries = reps.select("id", F.explode("bands").alias("entry"))
     counts = entries.groupBy("entry").agg(F.count("*").alias("cnt"), F.min("id").alias("hub")).where("cnt > 1")
     crowd = staged(entries.join(counts, "entry"), "odd-entries")
     star = crowd.where("id > hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     first = confirmed(_alike(star, reps, percent), reps, docs, percent, words)
-    so_far = staged(components(first), "odd-components")
+    hubs = first.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("hub"))
+    above = hubs.select(F.col("node").alias("of"), F.col("hub").alias("top"))
+    so_far = hubs.join(above, F.col("hub") == F.col("of"), "left")
+    so_far = staged(so_far.select("node", F.coalesce("top", "hub").alias("root")), "odd-labels")
     placed = crowd.join(so_far, crowd["id"] == so_far["node"], "left").withColumn("root", F.coalesce("root", "id"))
     split = placed.groupBy("entry").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     rest = staged(placed.drop("node").join(split.select("entry"), "entry"), "odd-rest")
-    if rest.isEmpty():
-        return first
     few = rest.where(F.col("cnt") <= JOINED_BUCKET)
     left = few.select("entry", "hub", F.col("id").alias("a"), F.col("root").alias("root_a"))
     right = few.select("entry", F.col("id").alias("b"), F.col("root").alias("root_b"))
     pairs = left.join(right, "entry").where("a < b AND a > hub AND root_a <> root_b").select("a", "b").distinct()
-    pairs = _alike(pairs, reps, percent)
-    many = rest.where(F.col("cnt") > JOINED_BUCKET).join(reps.select("id", "n", "sketch"), "id")
-    pairs = pairs.unionByName(_chunk_pairs(many, percent)).distinct()
-    return first.unionByName(confirmed(pairs, reps, docs, percent, words))
+    more = confirmed(_alike(pairs, reps, percent), reps, docs, percent, words)
+    many = rest.where(F.col("cnt") > JOINED_BUCKET).select("entry", "id", "root")
+    if not many.isEmpty():
+        more = more.unionByName(_crowd_links(many, reps, docs, percent, words))
+    return first.unionByName(more)
 
 
 def near_duplicates(
