@@ -1,96 +1,141 @@
-"""Zip archives: member listings and member lines.
+"""Zip archives of any size: member listings and member lines.
 
-Inflating is the one step Spark has no operator for.  It runs inside
-``mapInPandas``, one archive per row, streaming lines out in batches; which members
-are worth inflating is decided by DataFrame operators on the listing
-(:mod:`railyard.operators.backfill`).
+Inflating is the one step Spark has no operator for.  A listing reads the directory at an
+archive's end and gives one row for each member, with its place in the file; DataFrame
+operators (:mod:`railyard.operators.backfill`) decide which members are worth reading; then
+members, not archives, are dealt to tasks, and each task reads the byte ranges of its own.
+No archive's content is ever a value in a row.
 """
 
 from __future__ import annotations
 
+import bz2
 import codecs
-import io
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from itertools import groupby
+from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.functions import strip
+from railyard.session import work_dir
+from railyard.sources.ranged import Opener, list_files, open_file
 
 _LISTING = (
-    "archive string, member string, member_no int, inner boolean, header binary, error string"
+    "archive string, member string, member_no int, inner boolean, header binary, error string,"
+    " within string, name string, spot bigint, packed bigint, method int, crc bigint, locked boolean"
 )
 _LINES = "archive string, member string, line_no bigint, line binary, encoding string, error string"
+_SCHEMA = pa.schema(
+    [("archive", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.binary()),
+     ("encoding", pa.string()), ("error", pa.string())]
+)
 _BATCH_LINES = 20_000
 _CHUNK = 1 << 20
 
+#: Packed bytes of the members that one task reads, unless a single one has more.
+TASK_BYTES = 64 << 20
 
-def load_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, content) of every zip below ``path``."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.zip")
-        .load(path)
-        .select(F.col("path").alias("archive"), "content")
-    )
+#: What a damaged archive or member raises; a store that fails raises OSError and is no news
+#: about the data, so the task fails and is tried again.
+_DAMAGE = (zipfile.BadZipFile, zlib.error, NotImplementedError, EOFError, ValueError, struct.error, RuntimeError)
+
+
+def find_archives(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, length) of every zip below ``path``; nothing is read yet."""
+    return list_files(spark, path, "*.[zZ][iI][pP]").withColumnRenamed("path", "archive")
 
 
-def list_members(archives: DataFrame, header_suffix: str = ".csv") -> DataFrame:
-    """Every member of each archive, also those of archives inside archives.
+def list_members(
+    archives: DataFrame, header_suffix: str | None = ".csv", inner: bool = True, opener: Opener = open_file
+) -> DataFrame:
+    """Every member of each archive (column ``archive``: its path), also of archives inside.
 
     ``member_no`` is the order inside the archive; ``header`` is the first line of
-    members ending in ``header_suffix``.  An archive that cannot be opened gives one
+    members ending in ``header_suffix`` (None: no member's).  An archive that cannot be opened gives one
     row with an ``error``.  Members of an inner archive are named ``inner.zip!/member``.
+    The other columns say where a member lies; ``scan_chosen_members`` reads by them.  Only
+    directories and first lines are read, and with ``inner`` the archives inside.
     """
+    names = _names(_LISTING)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for archive, content in zip(batch["archive"], batch["content"], strict=True):
-                rows = _listing_rows(archive, content, header_suffix)
-                yield pd.DataFrame(rows, columns=_names(_LISTING))
+            for archive in batch.column(0).to_pylist():
+                for part in _portions(_listing_rows(archive, header_suffix, inner, opener), 10_000):
+                    columns = list(zip(*part, strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, _LISTING_TYPES, strict=True)], names
+                    )
 
-    return archives.select("archive", "content").mapInPandas(run, _LISTING)
+    return archives.select("archive").mapInArrow(run, _LISTING)
 
 
 def scan_archive_members(
-    archives: DataFrame, suffixes: Iterable[str], require_data: bool = False
+    archives: DataFrame, suffixes: Iterable[str], require_data: bool = False, opener: Opener = open_file
 ) -> DataFrame:
-    """Lines of all members with one of the ``suffixes``.
+    """Lines of all members with one of the ``suffixes``; inner archives are not opened.
 
     An unreadable archive or member gives one row with an ``error`` and no line; a
     member is either complete or an error, never cut short.  ``require_data`` makes an
     archive without such a member an error.  ``encoding`` is UTF-8 when the whole
     member is valid UTF-8 (a byte-order mark is removed), else ISO-8859-1.
     """
+    spark = archives.sparkSession
     ends = tuple(s.lower() for s in suffixes)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, content in zip(batch["archive"], batch["content"], strict=True):
-                rows = _archive_lines(archive, content, ends, require_data)
-                yield from _in_batches(rows)
-
-    # All lines of an archive leave one task; what follows is spread over the cluster.
-    return archives.select("archive", "content").mapInPandas(run, _LINES).hint("rebalance")
+    path = work_dir(spark, "members")
+    list_members(archives, None, False, opener).write.parquet(path)
+    listing = spark.read.parquet(path)
+    has_end = F.lit(False)
+    for end in ends:
+        has_end = has_end | F.lower("member").endswith(end)
+    data = F.col("member").isNotNull() & has_end & F.col("error").isNull()
+    lines = scan_chosen_members(listing.where(data), opener)
+    lost = listing.where(F.col("member").isNull())
+    errors = lost.select("archive", "member", "error")
+    if require_data:
+        none = f"no data member ({'/'.join(ends)})"
+        found = listing.groupBy("archive").agg(
+            F.max(F.coalesce(data, F.lit(False))).alias("found"), F.max(F.col("member").isNull()).alias("lost")
+        )
+        empty = archives.select("archive").join(found.where("found OR lost"), "archive", "left_anti")
+        errors = errors.unionByName(
+            empty.select("archive", F.lit(None).cast("string").alias("member"), F.lit(none).alias("error"))
+        )
+    nothing = {"line_no": "bigint", "line": "binary", "encoding": "string"}
+    errors = errors.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
+    # A member's lines leave one task; what follows is spread over the cluster.
+    return lines.unionByName(errors).hint("rebalance")
 
 
-def scan_chosen_members(archives: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Lines of the members named in ``chosen`` (archive, member) only.
+def scan_chosen_members(chosen: DataFrame, opener: Opener = open_file) -> DataFrame:
+    """Lines of the members in ``chosen``, rows of a listing.
 
-    The join carries one short list of member names to each archive's row.
+    Members are dealt to as many tasks as their bytes ask for, whichever archive they lie
+    in; those of one compressed inner archive stay together and are read in one go.
     """
-    wanted = chosen.groupBy("archive").agg(F.collect_set("member").alias("wanted"))
+    names = _names(_LISTING)[6:]
+    spark = chosen.sparkSession
+    path = work_dir(spark, "chosen")
+    chosen.select("archive", "member", "error", *names).write.parquet(path)
+    places = spark.read.parquet(path)
+    size, units = places.agg(F.sum("packed"), F.count_distinct("archive", F.coalesce("within", "member"))).first()
+    tasks = max(1, min(units, max(-(-(size or 0) // TASK_BYTES), spark.sparkContext.defaultParallelism)))
+    unit = F.xxhash64("archive", F.coalesce("within", "member"))
+    dealt = places.repartition(tasks, unit).sortWithinPartitions("archive", "within", "spot")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            columns = (batch["archive"], batch["content"], batch["wanted"])
-            for archive, content, names in zip(*columns, strict=True):
-                yield from _in_batches(_named_lines(archive, content, sorted(names)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for (archive, within), members in groupby(rows, lambda r: (r["archive"], r["within"])):
+            yield from _in_batches(_unit_lines(archive, within, members, opener))
 
-    return archives.join(wanted, "archive").mapInPandas(run, _LINES)
+    return dealt.mapInArrow(run, _LINES)
 
 
 def classify_view(header: Column) -> Column:
@@ -114,98 +159,187 @@ def filter_members(members: DataFrame) -> DataFrame:
     return members.where(F.lower(name).endswith(".csv") & ~junk & ~cumulative)
 
 
+_LISTING_TYPES = [
+    {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "bigint": pa.int64()}[
+        part.split()[1]
+    ]
+    for part in _LISTING.split(",")
+]
+
+
 def _names(ddl: str) -> list[str]:
     return [part.split()[0] for part in ddl.split(",")]
 
 
-def _listing_rows(archive: str, content: bytes, header_suffix: str) -> list[tuple]:
-    rows: list[tuple] = []
+def _portions(rows: Iterable, size: int) -> Iterator[list]:
+    held: list = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def _listing_rows(archive: str, header_suffix: str | None, inner: bool, opener: Opener) -> Iterator[tuple]:
+    number = 0
 
-    def add(zf: zipfile.ZipFile, prefix: str, inner: bool) -> None:
+    def rows(file: BinaryIO, zf: zipfile.ZipFile, prefix: str, within: str | None) -> Iterator[tuple]:
+        nonlocal number
         for info in zf.infolist():
-            name = info.filename
             if info.is_dir():
                 continue
+            name = info.filename
+            place = (within, name, info.header_offset, info.compress_size, info.compress_type, info.CRC, bool(info.flag_bits & 1))
             header, error = None, None
-            if name.lower().endswith(header_suffix):
+            if header_suffix is not None and name.lower().endswith(header_suffix):
                 try:
-                    with zf.open(info) as f:
-                        header = f.readline().rstrip(b"\r\n").removeprefix(codecs.BOM_UTF8)
-                except Exception as exc:
+                    header = _first_line(file, archive, place)
+                except _DAMAGE as exc:
                     error = f"member unreadable: {exc}"
-            rows.append((archive, prefix + name, len(rows), inner, header, error))
+            yield (archive, prefix + name, number, bool(prefix), header, error, *place)
+            number += 1
 
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as outer:
-            add(outer, "", False)
+    nowhere = (None,) * 7
+    with opener(archive) as file:
+        try:
+            outer = zipfile.ZipFile(file)
+        except _DAMAGE as exc:
+            yield (archive, None, number, False, None, f"archive unreadable: {exc}", *nowhere)
+            return
+        with outer:
+            yield from rows(file, outer, "", None)
             for info in outer.infolist():
-                if not info.filename.lower().endswith(".zip"):
+                if not inner or not info.filename.lower().endswith(".zip") or info.is_dir():
                     continue
                 try:
-                    with zipfile.ZipFile(io.BytesIO(outer.read(info))) as nested:
-                        add(nested, info.filename + "!/", True)
-                except Exception as exc:
-                    error = f"inner zip unreadable: {exc}"
-                    rows.append((archive, info.filename, len(rows), True, None, error))
-    except Exception as exc:
-        rows.append((archive, None, len(rows), False, None, f"archive unreadable: {exc}"))
-    return rows
-
-
-def _archive_lines(
-    archive: str, content: bytes, ends: tuple[str, ...], require_data: bool
-) -> Iterator[tuple]:
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-            names = [n for n in zf.namelist() if n.lower().endswith(ends)]
-            if require_data and not names:
-                yield (archive, None, None, None, None, f"no data member ({'/'.join(ends)})")
-            for name in names:
-                yield from _member_lines(archive, name, zf, name)
-    except Exception as exc:  # also encrypted or unknown compression in the directory
-        yield (archive, None, None, None, None, f"archive unreadable: {exc}")
-
-
-def _named_lines(archive: str, content: bytes, names: list[str]) -> Iterator[tuple]:
-    """Lines of the named members; whatever cannot be opened is an error of each of them."""
-    opened: dict[str, zipfile.ZipFile] = {}
-    for full in names:
-        parent, mark, name = full.partition("!/")
+                    with outer.open(info) as inside, zipfile.ZipFile(inside) as nested:
+                        yield from rows(inside, nested, info.filename + "!/", info.filename)
+                except _DAMAGE as exc:
+                    yield (archive, info.filename, number, True, None, f"inner zip unreadable: {exc}", *nowhere)
+                    number += 1
+
+
+def _inflated(file: BinaryIO, place: tuple) -> Iterator[bytes]:
+    """The bytes of the member at a place, chunk by chunk; damage raises at the latest at the end."""
+    _, name, spot, packed, method, crc, locked = place
+    if locked:
+        raise RuntimeError(f"{name} is encrypted")
+    file.seek(spot)
+    head = file.read(30)
+    if head[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("Bad magic number for file header")
+    file.seek(spot + 30 + sum(struct.unpack("<HH", head[26:30])))
+    if method == zipfile.ZIP_STORED:
+        unpack = None
+    elif method == zipfile.ZIP_DEFLATED:
+        unpack = zlib.decompressobj(-15)
+    elif method == zipfile.ZIP_BZIP2:
+        unpack = bz2.BZ2Decompressor()
+    else:
+        raise NotImplementedError(f"compression method {method}")
+    seen, left = 0, packed
+    while left:
+        raw = file.read(min(left, _CHUNK))
+        if not raw:
+            raise EOFError("the archive ends within the member")
+        left -= len(raw)
+        chunk = unpack.decompress(raw) if unpack else raw
+        seen = zlib.crc32(chunk, seen)
+        if chunk:
+            yield chunk
+    rest = unpack.flush() if method == zipfile.ZIP_DEFLATED else b""
+    if zlib.crc32(rest, seen) != crc:
+        raise zipfile.BadZipFile(f"Bad CRC-32 for file {name!r}")
+    if rest:
+        yield rest
+
+
+def _first_line(file: BinaryIO, archive: str, place: tuple) -> bytes:
+    line = b""
+    for chunk in _inflated(file, place):
+        head, end, _ = chunk.partition(b"\n")
+        line += head
+        if end:
+            break
+    return line.rstrip(b"\r\n").removeprefix(codecs.BOM_UTF8)
+
+
+@contextmanager
+def _unit(archive: str, within: str | None, opener: Opener) -> Iterator[BinaryIO]:
+    """An archive's file, or the stream of an archive inside it."""
+    with opener(archive) as file:
+        if within is None:
+            yield file
+        else:
+            with zipfile.ZipFile(file) as outer, outer.open(within) as inside:
+                yield inside
+
+
+def _unit_lines(archive: str, within: str | None, members: Iterator[dict], opener: Opener) -> Iterator[tuple]:
+    """(member, first line's number, lines, encoding, error) of the members of one unit.
+
+    Two passes, both in the order of the file: the first checks that a member inflates to its
+    end and finds its encoding, the second gives its lines. A stream inside an archive is
+    rewound once for all members, a plain file for each.
+    """
+    names = _names(_LISTING)[6:]
+    plain = within is None
+    for group in ([m] for m in members) if plain else (list(members),):
         try:
-            outer = opened.setdefault("", zipfile.ZipFile(io.BytesIO(content)))
-            if mark and parent not in opened:
-                opened = {"": outer, parent: zipfile.ZipFile(io.BytesIO(outer.read(parent)))}
-        except Exception as exc:
-            yield (archive, full, None, None, None, f"archive unreadable: {exc}")
-            continue
-        yield from _member_lines(archive, full, opened[parent if mark else ""], name if mark else full)
-
-
-def _member_lines(
-    archive: str, label: str, zf: zipfile.ZipFile, name: str
-) -> Iterator[tuple]:
-    """All lines of one member; a first pass checks that it inflates to its end."""
-    try:
-        encoding = _encoding(zf, name)
-    except Exception as exc:
-        yield (archive, label, None, None, None, f"member unreadable: {exc}")
-        return
-    csv = name.lower().endswith(".csv")
-    with zf.open(name) as f:
-        number, inside = 0, False
-        pending: list[bytes] = []
-        for line in f:
-            if number == 0 and not pending:
-                line = line.removeprefix(codecs.BOM_UTF8)
-            pending.append(line)
-            # A quoted CSV field may hold line breaks: wait for its closing quote.
-            inside = csv and _ends_quoted(line, inside)
-            if inside:
+            with _unit(archive, within, opener) as file:
+                good = []
+                for m in group:
+                    place = tuple(m[n] for n in names)
+                    try:
+                        good.append((m["member"], place, _encoding(file, place)))
+                    except _DAMAGE as exc:
+                        yield (archive, m["member"], 0, None, None, f"member unreadable: {exc}")
+                for member, place, encoding in good:
+                    number = 0
+                    for lines in _lines(_inflated(file, place), member.lower().endswith(".csv")):
+                        yield (archive, member, number, lines, encoding, None)
+                        number += len(lines)
+        except _DAMAGE as exc:
+            for m in group:
+                yield (archive, m["member"], 0, None, None, f"archive unreadable: {exc}")
+
+
+def _lines(chunks: Iterator[bytes], csv: bool) -> Iterator[list[bytes]]:
+    """The lines of a member, some at a time; a quoted CSV field may hold line breaks."""
+    rest, pending, inside, begun = b"", [], False, False
+
+    def done(line: bytes) -> bytes:
+        return line.rstrip(b"\r\n")
+
+    for chunk in chunks:
+        if not begun:
+            # The mark has three bytes; a chunk may be shorter.
+            chunk = rest + chunk
+            rest = b""
+            if len(chunk) < 3:
+                rest = chunk
                 continue
-            yield (archive, label, number, b"".join(pending).rstrip(b"\r\n"), encoding, None)
-            number, pending = number + 1, []
-        if pending:
-            yield (archive, label, number, b"".join(pending).rstrip(b"\r\n"), encoding, None)
+            chunk, begun = chunk.removeprefix(codecs.BOM_UTF8), True
+        *whole, rest = (rest + chunk).split(b"\n")
+        if not whole:
+            continue
+        if not csv or (not inside and not any(b'"' in x for x in whole)):
+            yield [done(x) for x in whole]
+            continue
+        out = []
+        for line in whole:
+            pending.append(line + b"\n")
+            inside = _ends_quoted(pending[-1], inside)
+            if not inside:
+                out.append(done(b"".join(pending)))
+                pending = []
+        if out:
+            yield out
+    last = b"".join(pending) + rest
+    if last and (begun or last != codecs.BOM_UTF8):
+        yield [done(last)]
 
 
 def _ends_quoted(line: bytes, inside: bool) -> bool:
@@ -234,16 +368,15 @@ def _ends_quoted(line: bytes, inside: bool) -> bool:
     return inside
 
 
-def _encoding(zf: zipfile.ZipFile, name: str) -> str:
+def _encoding(file: BinaryIO, place: tuple) -> str:
     decoder = codecs.getincrementaldecoder("utf-8")()
     valid = True
-    with zf.open(name) as f:
-        while chunk := f.read(_CHUNK):
-            if valid:
-                try:
-                    decoder.decode(chunk)
-                except UnicodeDecodeError:
-                    valid = False
+    for chunk in _inflated(file, place):
+        if valid:
+            try:
+                decoder.decode(chunk)
+            except UnicodeDecodeError:
+                valid = False
     if valid:
         try:
             decoder.decode(b"", final=True)
@@ -252,16 +385,20 @@ def _encoding(zf: zipfile.ZipFile, name: str) -> str:
     return "UTF-8" if valid else "ISO-8859-1"
 
 
-def _in_batches(rows: Iterable[tuple]) -> Iterator[pd.DataFrame]:
-    buffer: list[tuple] = []
-    for row in rows:
-        buffer.append(row)
-        if len(buffer) >= _BATCH_LINES:
-            yield _frame(buffer)
-            buffer = []
-    if buffer:
-        yield _frame(buffer)
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=_names(_LINES)).astype({"line_no": "Int64"})
+def _in_batches(portions: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    for archive, member, first, lines, encoding, error in portions:
+        for at in range(0, len(lines), _BATCH_LINES) if lines is not None else (None,):
+            part = [None] if at is None else lines[at : at + _BATCH_LINES]
+            numbers = [None] if at is None else range(first + at, first + at + len(part))
+            n = len(part)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([archive] * n, pa.string()),
+                    pa.array([member] * n, pa.string()),
+                    pa.array(numbers, pa.int64()),
+                    pa.array(part, pa.binary()),
+                    pa.array([encoding] * n, pa.string()),
+                    pa.array([error] * n, pa.string()),
+                ],
+                schema=_SCHEMA,
+            )

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_COLUMNS, BORDER_VIEWS
 from railyard.functions import raw_json, view_tag
 from railyard.sources.archives import filter_members
+from railyard.sources.ranged import Opener, list_files, open_file
 
 _BOM = "\ufeff"
 
@@ -21,43 +27,77 @@ def scan_transborder_csv(spark: SparkSession, path: str) -> DataFrame:
     return scan_view(spark, path, "dot1", "[dD][oO][tT][123]_*.csv")
 
 
-def scan_view(spark: SparkSession, path: str, view: str, pattern: str) -> DataFrame:
+def scan_view(
+    spark: SparkSession, path: str, view: str, pattern: str, opener: Opener = open_file
+) -> DataFrame:
     """Rows of the CSV files found by file name pattern, each bound by its own header.
 
     The tag is the file's own when its name starts with a view, else ``view``.
 
-    A header is a line with a field named TRDTYPE.  One text scan finds the headers, one row
-    for each file, and how many fields the widest has; the CSV scan reads that many, and
-    rows meet the header of their file by an equality join on its path.
+    A header is a first line with a field named TRDTYPE; a file without one has no rows.
+    Files are grouped by the header that the registry has for them, and each layout is one
+    CSV scan with its own schema: bodies are read once, and no row meets a header by a join.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    file = F.col("_metadata.file_path").alias("file")
-    named = _names(F.col("value"))
-    headers = (
-        reader.text(path)
-        .select(file, "value")
-        .where(F.contains("value", F.lit("TRDTYPE")))
-        .select("file", named.alias("names"))
-        .where(F.array_contains("names", "TRDTYPE"))
-    )
-    width = headers.agg(F.max(F.size("names")).alias("n")).first()["n"] or 1
-    cells = [f"c{i}" for i in range(width)]
-    tag = F.lower(view_tag(F.element_at(F.split("file", "/"), -1)))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    # One row for each file, as many as the scans below list.
+    for row in header_registry(spark, path, pattern, opener).collect():
+        names = tuple(row["names"])
+        if "TRDTYPE" in names:
+            layouts.setdefault(names, []).append(row["path"])
+    scans = [_scan_layout(spark, names, files, view) for names, files in sorted(layouts.items())]
+    if not scans:
+        empty = ", ".join(f"{c} string" for c in [*BORDER_COLUMNS, "source_file", "raw_record"])
+        return spark.createDataFrame([], empty)
+    return reduce(DataFrame.unionByName, scans)
+
+
+def header_registry(
+    spark: SparkSession, path: str, pattern: str = "*.csv", opener: Opener = open_file
+) -> DataFrame:
+    """(path, names) of each monthly CSV file; only first lines are read, in tasks."""
+    files = filter_members(list_files(spark, path, pattern).withColumn("member", F.col("path")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [_first_line(opener, p) for p in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.string())], ["path", "head"])
+
+    spread = files.select("path").repartition(spark.sparkContext.defaultParallelism, "path")
+    heads = spread.mapInArrow(run, "path string, head string")
+    return heads.select("path", _names(F.col("head")).alias("names"))
+
+
+def _first_line(opener: Opener, path: str) -> str:
+    line = b""
+    with opener(path) as file:
+        while chunk := file.read(1 << 14):
+            head, end, _ = chunk.partition(b"\n")
+            line += head
+            if end:
+                break
+    line = line.rstrip(b"\r")
+    try:
+        return line.decode("utf-8")
+    except UnicodeDecodeError:
+        return line.decode("latin-1")
+
+
+def _scan_layout(spark: SparkSession, names: tuple[str, ...], files: list[str], view: str) -> DataFrame:
+    """The rows of files that share a header; of equal names the first column counts."""
+    cells = [f"c{i}" for i in range(len(names))]
+    # A path given to a reader is a pattern, so a file's own special characters are escaped.
+    plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in sorted(files)]
+    rows = spark.read.schema(", ".join(f"{c} string" for c in cells)).csv(plain)
+    tag = F.lower(view_tag(F.element_at(F.split("_metadata.file_path", "/"), -1)))
     tag = F.when(tag.isin(list(BORDER_VIEWS)), tag).otherwise(F.lit(view))
-    rows = (
-        reader.schema(", ".join(f"{c} string" for c in cells))
-        .csv(path)
-        .select(file, F.array(*cells).alias("values"))
-    )
-    monthly = filter_members(rows.withColumn("member", F.col("file")))
-    heads = headers.groupBy(F.col("file").alias("of")).agg(F.first("names").alias("names"))
-    bound = monthly.join(heads, F.col("file") == F.col("of"))
-    at = F.array_position("names", F.lit("TRDTYPE")).cast("int")
-    is_header = F.regexp_replace(F.trim(F.get("values", at - 1)), f"^{_BOM}", "") == "TRDTYPE"
-    picked = bound.where(~F.coalesce(is_header, F.lit(False))).select(
-        *[_pick(c) for c in BORDER_COLUMNS], tag.alias("source_file")
-    )
-    return picked.withColumn("raw_record", raw_json(*BORDER_COLUMNS))
+    first = F.regexp_replace(F.trim(f"c{names.index('TRDTYPE')}"), f"^{_BOM}", "")
+    body = rows.where(F.coalesce(first != "TRDTYPE", F.lit(True)))
+    picked = [
+        (_blank(F.col(f"c{names.index(c)}")) if c in names else F.lit(None).cast("string")).alias(c)
+        for c in BORDER_COLUMNS
+    ]
+    found = body.select(*picked, tag.alias("source_file"))
+    return found.withColumn("raw_record", raw_json(*BORDER_COLUMNS))
 
 
 def _names(header: Column) -> Column:

@@ -2,37 +2,108 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from railyard.functions import truthy
+from railyard.sources.ranged import Opener, list_files, open_file
 
 _ITEMS = "array<struct<title:string,link:string>>"
 
 
 def scan_json_feed(
-    spark: SparkSession, path: str, columns: list[str], multiline: bool = True
+    spark: SparkSession, path: str, columns: list[str], multiline: bool = True, opener: Opener = open_file
 ) -> DataFrame:
     """All pages of a feed of flat JSON objects, every value as text.
 
     A page is one file holding an array (``multiline``) or one object per line.
     ``raw_record`` is the whole object as it stands in the page, fields that ``columns``
-    does not name included.
+    does not name included.  A page of any size is read piece by piece and never is a value
+    itself; one that ends within a value is an error.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
     if multiline:
-        text = F.trim(F.regexp_replace("value", "^\ufeff", ""), F.lit(" \t\r\n"))
-        array = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-        pages = reader.text(path, wholetext=True)
-        objects = pages.select(F.explode(F.from_json(array, "array<string>")).alias("raw_record"))
+        objects = _page_objects(spark, path, opener)
     else:
-        lines = reader.text(path).where(F.trim("value") != "")
+        lines = spark.read.option("recursiveFileLookup", "true").text(path).where(F.trim("value") != "")
         objects = lines.select(F.col("value").alias("raw_record"))
     schema = StructType([StructField(c, StringType()) for c in columns])
     return objects.withColumn("f", F.from_json("raw_record", schema)).select("f.*", "raw_record")
 
 
+def _page_objects(spark: SparkSession, path: str, opener: Opener) -> DataFrame:
+    """(raw_record) of every object of all pages below ``path``; pages are dealt to tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page in batch.column(0).to_pylist():
+                held, size = [], 0
+                with opener(page) as file:
+                    for text in json_objects(iter(lambda: file.read(_PIECE), b""), page):
+                        held.append(text)
+                        size += len(text)
+                        if size >= _PIECE:
+                            yield _text_batch(held)
+                            held, size = [], 0
+                if held:
+                    yield _text_batch(held)
+
+    pages = list_files(spark, path).select("path")
+    spread = pages.repartition(spark.sparkContext.defaultParallelism, "path")
+    return spread.mapInArrow(run, "raw_record string")
+
+
+_PIECE = 1 << 20
+
+#: A string, closed or not, or a bracket: all that decides where an object ends.
+_TOKEN = re.compile(rb'"(?:[^"\\]++|\\.)*+("?)|[{}\[\]]', re.DOTALL)
+
+
+def _text_batch(texts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string())], ["raw_record"])
+
+
+def json_objects(pieces: Iterator[bytes], name: str = "page") -> Iterator[bytes]:
+    """The objects of an array, or those that follow one another, from the pieces of a text.
+
+    No more is held than the object at hand and one piece. Elements that aren't objects are
+    passed over.
+    """
+    rest, at, depth, start, top = b"", 0, 0, -1, None
+    for piece in pieces:
+        rest, at = rest[max(at if start < 0 else start, 0) :] + piece, at - max(at if start < 0 else start, 0)
+        if start >= 0:
+            start = 0
+        if top is None:
+            bare = rest.removeprefix(b"\xef\xbb\xbf").lstrip()
+            if not bare or len(rest) < 3:
+                continue
+            top = 1 if bare.startswith(b"[") else 0
+        while token := _TOKEN.search(rest, at):
+            first = rest[token.start()]
+            if first == 34 and not token[1]:
+                at = token.start()  # the string goes on in the next piece
+                break
+            at = token.end()
+            if first in b"{[":
+                if depth == top and first == 123:
+                    start = token.start()
+                depth += 1
+            elif first in b"}]":
+                depth -= 1
+                if start >= 0 and depth == top:
+                    yield rest[start:at]
+                    start = -1
+        else:
+            at = len(rest)
+    if depth or start >= 0 or (top is None and rest.strip(b"\xef\xbb\xbf \t\r\n")):
+        raise ValueError(f"{name} ends within a value")
+
+
 def explode_observations(payloads: DataFrame, series: DataFrame) -> DataFrame:
     """One row per usable observation of each series document.
 
@@ -112,6 +183,21 @@ def failed_routes(payloads: DataFrame) -> DataFrame:
     )
 
 
+class AllRoutesFailed(ValueError):
+    """No route of a run gave a usable response."""
+
+
+def check_routes(payloads: DataFrame) -> int:
+    """The number of failed routes; an error if responses came and every one failed.
+
+    One aggregate over the responses, before anything of the run is written.
+    """
+    responses, failed = failed_routes(payloads).first()
+    if responses and failed == responses:
+        raise AllRoutesFailed(f"all {responses} routes failed")
+    return failed
+
+
 _RATE_FIELDS = [
     "route",
     "tradeRoute",

@@ -1,8 +1,12 @@
 import io
 import json
+import tempfile
+import tracemalloc
 import zipfile
 from datetime import date
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_VIEWS
@@ -34,9 +38,18 @@ def make_zip(members: dict[str, bytes | str]) -> bytes:
     return buffer.getvalue()
 
 
+_FOLDERS = []
+
+
 def archive_frame(spark, zips: dict[str, bytes]):
-    rows = [(k, bytearray(v)) for k, v in zips.items()]
-    return spark.createDataFrame(rows, "archive string, content binary")
+    """(archive) of the zips, written to a new folder."""
+    _FOLDERS.append(tempfile.TemporaryDirectory())
+    rows = []
+    for name, content in zips.items():
+        path = Path(_FOLDERS[-1].name, name)
+        path.write_bytes(content)
+        rows.append((f"file:{path}",))
+    return spark.createDataFrame(rows, "archive string")
 
 
 def test_release_page(spark):
@@ -140,6 +153,10 @@ def test_feed_items_and_links(spark):
     assert urls == ["https://h/2026-railtraffic.pdf", "https://h/first.PDF", "/a/old.pdf"]
 
 
+def file_name(row) -> str:
+    return row["archive"].rpartition("/")[2]
+
+
 def test_archive_lines(spark):
     latin = "1,caf\xe9".encode("latin-1")
     zips = {
@@ -154,17 +171,78 @@ def test_archive_lines(spark):
     zips["broken.zip"] = bytes(broken)
     rows = archives.scan_archive_members(archive_frame(spark, zips), [".csv"], True).collect()
     good = [(r["member"], r["line_no"], bytes(r["line"]), r["encoding"]) for r in rows
-            if r["archive"] == "good.zip"]
+            if file_name(r) == "good.zip"]
     assert sorted(good) == [
         ("a.csv", 0, b"H1,H2", "UTF-8"),
         ("a.csv", 1, b'1,"two\nlines"', "UTF-8"),
         ("b.CSV", 0, b"H1", "ISO-8859-1"),
         ("b.CSV", 1, latin, "ISO-8859-1"),
     ]
-    errors = {r["archive"]: r["error"] for r in rows if r["error"]}
+    errors = {file_name(r): r["error"] for r in rows if r["error"]}
     assert set(errors) == {"bad.zip", "none.zip", "broken.zip"}
     assert "unreadable" in errors["broken.zip"] and "no data member" in errors["none.zip"]
-    assert len([r for r in rows if r["archive"] == "broken.zip"]) == 1
+    assert len([r for r in rows if file_name(r) == "broken.zip"]) == 1
+
+
+def test_archive_beyond_two_gigabytes_spreads_over_tasks(spark, tmp_path):
+    path = tmp_path / "large.ZIP"
+    with open(path, "wb") as f:
+        f.truncate(5 * 2**29)  # a hole before the first member takes no disk
+    with zipfile.ZipFile(path, "a", zipfile.ZIP_DEFLATED) as z:
+        for i in range(50):
+            z.writestr(f"m{i:02}.txt", "".join(f"{i};{j}\r\n" for j in range(300)))
+        z.writestr("no.pdf", "x")
+        z.writestr("packed.txt", "bz\ntwo", zipfile.ZIP_BZIP2)
+        z.writestr("odd.txt", "lz", zipfile.ZIP_LZMA)
+    found = archives.find_archives(spark, str(tmp_path))
+    assert [r["length"] > 2**31 for r in found.collect()] == [True]
+    rows = archives.scan_archive_members(found, [".txt"]).collect()
+    want = {(f"m{i:02}.txt", j, f"{i};{j}".encode()) for i in range(50) for j in range(300)}
+    want |= {("packed.txt", 0, b"bz"), ("packed.txt", 1, b"two")}
+    assert {(r["member"], r["line_no"], bytes(r["line"])) for r in rows if not r["error"]} == want
+    assert [(r["member"], "compression method" in r["error"]) for r in rows if r["error"]] == [("odd.txt", True)]
+    listing = spark.createDataFrame(archives.list_members(found).collect(), archives._LISTING)
+    lines = archives.scan_chosen_members(listing.where("name like 'm%'"))
+    used = lines.select("member", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(used) == 50 and len({r["task"] for r in used}) > 1
+
+
+def test_members_of_inner_archives(spark):
+    bodies = {f"d{i}.csv": "H\n" + "".join(f"{i},{j}\n" for j in range(40_000 * (i == 1) + 5)) for i in range(4)}
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body in bodies.items():
+            z.writestr(name, body)
+    outer = io.BytesIO()
+    with zipfile.ZipFile(outer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("top.csv", "T\n1")
+        z.writestr("in/side.zip", inner.getvalue())
+        z.writestr("broken.zip", b"no zip")
+        z.writestr("folder/", b"")
+    listing = archives.list_members(archive_frame(spark, {"o.zip": outer.getvalue()})).collect()
+    names = {r["member"]: (r["member_no"], r["inner"], r["header"] and bytes(r["header"])) for r in listing if not r["error"]}
+    assert names == {"top.csv": (0, False, b"T"), "in/side.zip": (1, False, None), "broken.zip": (2, False, None)} | {
+        f"in/side.zip!/d{i}.csv": (3 + i, True, b"H") for i in range(4)
+    }
+    assert [r["member"] for r in listing if r["error"]] == ["broken.zip"]
+    chosen = spark.createDataFrame([r for r in listing if r["within"]], archives._LISTING)
+    rows = archives.scan_chosen_members(chosen).orderBy("member", "line_no").collect()
+    got = {}
+    for r in rows:
+        got[r["member"]] = got.get(r["member"], "") + bytes(r["line"]).decode() + "\n"
+    assert got == {f"in/side.zip!/{n}": b for n, b in bodies.items()}
+
+
+def test_quoted_fields_over_chunks(monkeypatch):
+    body = b'a,"x\ny""\n",b\n1,2\n"open'
+    for size in range(1, len(body) + 1):
+        chunks = [body[i : i + size] for i in range(0, len(body), size)]
+        got = [line for lines in archives._lines(iter(chunks), True) for line in lines]
+        assert got == [b'a,"x\ny""\n",b', b"1,2", b'"open'], size
+    marked = b"\xef\xbb\xbfa\r\nb"
+    for size in range(1, len(marked) + 1):
+        chunks = [marked[i : i + size] for i in range(0, len(marked), size)]
+        assert [x for xs in archives._lines(iter(chunks), False) for x in xs] == [b"a", b"b"]
 
 
 def csv_row(names: list[str], **values: str) -> str:
@@ -223,6 +301,31 @@ def test_views_by_header(spark):
     assert all(r["v"] == r["g"] for r in got)
 
 
+def test_json_page_in_pieces():
+    page = b'[{"a":1},{"b":"}{\\"]"} , 5, "x{", [ {"no":1} ], {"c":{"d":[1,{}]}}]'
+    objects = [b'{"a":1}', b'{"b":"}{\\"]"}', b'{"c":{"d":[1,{}]}}']
+    for size in range(1, len(page) + 1):
+        pieces = [page[i : i + size] for i in range(0, len(page), size)]
+        assert list(feeds.json_objects(iter(pieces))) == objects
+    for broken in (b'[{"a":1}', b'[{"a":"x', b'{"a":1'):
+        with pytest.raises(ValueError, match="ends within a value"):
+            list(feeds.json_objects(iter([broken])))
+    # Memory doesn't grow with the page.
+    held = 0
+
+    def endless():
+        yield b"["
+        for i in range(30_000):
+            yield b'{"k":%d,"t":"' % i + b"x" * 1000 + b'"},'
+        yield b"{}]"
+
+    tracemalloc.start()
+    count = sum(1 for _ in feeds.json_objects(endless()))
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 30_001 and held < 2_000_000
+
+
 def test_json_feed_keeps_whole_objects(spark, tmp_path):
     (tmp_path / "p1.json").write_text('[{"a": 1.50, "extra": {"b": [1]}},\n {"a": null}]')
     (tmp_path / "p2.json").write_text('{"a": "x", "more": true}')

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,18 @@ def scan_json_feed(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(*columns, keyed.alias("keyed"))
 
 
+@query("scan_json_pages", f"SELECT * FROM ({R.INCIDENTS})")
+def scan_json_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every column of a feed whose pages hold arrays over many lines."""
+    path = work_dir(spark, "pages")
+    rows = raw(spark, d, R.INCIDENTS)
+    page = F.pmod(F.xxhash64(*rows.columns), F.lit(64))
+    objects = F.collect_list(F.to_json(F.struct(*rows.columns), {"pretty": "true"}))
+    pages = rows.groupBy(page.alias("page")).agg(objects.alias("o"))
+    pages.select(F.concat(F.lit("["), F.array_join("o", ",\n"), F.lit("\n]")).alias("value")).write.text(path)
+    return feeds.scan_json_feed(spark, path, rows.columns).drop("raw_record")
+
+
 _CUTS = ", ".join(f"trim(substr(line, {a + 1}, {z - a})) AS {name}" for name, a, z, _ in waybill_fields())
 _SLICES_SQL = f"SELECT {_CUTS} FROM ({R.WAYBILLS}) WHERE length(line) >= {WAYBILL_WIDTH}"
 
@@ -51,26 +64,37 @@ def scan_fixed_width(spark: SparkSession, d: str) -> DataFrame:
     return fixed_width.scan_fixed_width(spark, path)
 
 
-def zip_lines(lines: DataFrame) -> DataFrame:
-    """Pack text lines into zip archives, one per batch of rows."""
+def land(folder: str, name: str, content: bytes) -> str:
+    """Write a file into the shared folder, as a task does; its path."""
+    store, inner = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
+    store.create_dir(inner)
+    with store.open_output_stream(f"{inner}/{name}") as file:
+        file.write(content)
+    return f"{folder}/{name}"
+
+
+def zip_lines(lines: DataFrame, folder: str) -> DataFrame:
+    """Pack text lines into zip archives, one per batch of rows; (archive) of each."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             buffer = io.BytesIO()
             half = len(batch) // 2
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr("readme.pdf", "not data")
                 z.writestr("a/PU1.DAT", "\r\n".join(batch["line"][:half]))
                 z.writestr("a/pu2.txt", "\n".join(batch["line"][half:]))
-            name = f"batch-{uuid.uuid4().hex}.zip"
-            yield pd.DataFrame({"archive": [name], "content": [buffer.getvalue()]})
+            yield pd.DataFrame({"archive": [land(folder, f"batch-{part}-{number}.zip", buffer.getvalue())]})
 
-    return lines.select("line").mapInPandas(pack, "archive string, content binary")
+    return lines.select("line").mapInPandas(pack, "archive string")
 
 
 @query("scan_archive_members", f"SELECT line FROM ({R.WAYBILLS})")
 def scan_archive_members(spark: SparkSession, d: str) -> DataFrame:
-    packed = zip_lines(raw(spark, d, R.WAYBILLS))
+    folder = work_dir(spark, "zips")
+    zip_lines(raw(spark, d, R.WAYBILLS), folder).write.format("noop").mode("overwrite").save()
+    packed = archives.find_archives(spark, folder)
     members = archives.scan_archive_members(packed, (".txt", ".dat", ".asc"), require_data=True)
     return members.where("error IS NULL").select(F.col("line").cast("string").alias("line"))
 
@@ -217,6 +241,16 @@ def unwrap_rate_payload(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "failed_routes",
+    f"""SELECT count(*) AS responses, count(*) FILTER (l_orderkey % 47 = 0) AS failed FROM ({_RATE_PAYLOADS})""",
+)
+def failed_routes(spark: SparkSession, d: str) -> DataFrame:
+    payloads = raw(spark, d, _RATE_PAYLOADS)
+    failed = feeds.check_routes(payloads)
+    return feeds.failed_routes(payloads).where(F.col("failed") == failed)
+
+
 # --- release pages ---------------------------------------------------------------
 
 _PAGE_ROWS = """

@@ -27,8 +27,10 @@ from workload.normalising import (
     TARIFFS_SQL,
     _waybill_sql,
     border,
+    number_sql,
 )
 from workload.registry import query, raw, typed
+from workload.scans import land
 
 # Months in which more lines than average were shipped count as published.
 RELEASES = """
@@ -305,7 +307,7 @@ def filter_table_name(spark: SparkSession, d: str) -> DataFrame:
     store.write_day_partitions(border(spark, d), root, "transborder_freight")
     tariffs = raw(spark, d, R.TARIFFS).drop("_cents", "_size")
     store.write_day_partitions(N.norm_tariffs(tariffs, AS_OF, RUN), root, "rail_tariff_rates")
-    files = filters.filter_table_name(store_scan.list_files(spark, root), "transborder")
+    files = filters.filter_table_name(store_scan.list_files(spark, root, "*.parquet"), "transborder")
     return files.select(F.regexp_extract("path", "/freight/([^/]+)/", 1).alias("table")).distinct()
 
 
@@ -354,6 +356,29 @@ def run_ingest(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "run_ingest_rejects",
+    f"""
+    WITH typed AS (
+      SELECT {number_sql("VALUE")} AS v, {number_sql("SHIPWT")} AS w, TRY_CAST(MONTH AS BIGINT) AS m FROM ({R.BORDER}))
+    SELECT 'stored' AS what, count(*) FILTER (w IS NULL OR w >= 0) AS "rows" FROM typed WHERE v IS NOT NULL AND m <= 12
+    UNION ALL
+    SELECT 'transborder_freight: ship_weight_kg must be >= 0', count(*) FILTER (w < 0)
+    FROM typed WHERE v IS NOT NULL AND m <= 12
+    """,
+)
+def run_ingest_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """A run stores the valid rows and keeps the others with their reasons."""
+    root = work_dir(spark, "ingest")
+    rows = N.norm_transborder(raw(spark, d, R.BORDER), valid_only=False)
+    jobs.run_ingest(spark, {"border": lambda _s, _d: jobs.Fetched({"transborder_freight": rows})}, root)
+    count = F.count(F.lit(1)).alias("rows")
+    stored = store_scan.scan_table(spark, root, "transborder_freight").agg(count)
+    why = F.concat_ws(": ", "table", F.array_join("reasons", "; "))
+    rejects = store.scan_rejects(spark, root).groupBy(why.alias("what")).agg(count)
+    return stored.select(F.lit("stored").alias("what"), "rows").unionByName(rejects)
+
+
 @query(
     "backfill_waybills",
     f"""SELECT year(snapshot_date) AS "year", count(*) AS "rows",
@@ -368,8 +393,8 @@ def backfill_waybills(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def border_archives(spark: SparkSession, d: str) -> DataFrame:
-    """Zip archives of monthly CSV members, one archive per month.
+def border_archives(spark: SparkSession, d: str, folder: str) -> DataFrame:
+    """(archive) of zip archives of monthly CSV members in ``folder``, one per month.
 
     Spark builds the CSV lines. The data of May's dot1 member is damaged, and June's archive
     has a cumulative dot1 member that holds May; every March archive comes twice.
@@ -403,9 +428,9 @@ def border_archives(spark: SparkSession, d: str) -> DataFrame:
                 content[info.header_offset + 30 + len(info.filename) + 8] ^= 0xFF
         copies = 2 if month[1] == "03" else 1
         names = [f"{month[0]}-{month[1]}-{i}.zip" for i in range(copies)]
-        return pd.DataFrame({"archive": names, "content": [bytes(content)] * copies})
+        return pd.DataFrame({"archive": [land(folder, n, bytes(content)) for n in names]})
 
-    return lines.groupBy("y", "m").applyInPandas(pack, "archive string, content binary")
+    return lines.groupBy("y", "m").applyInPandas(pack, "archive string")
 
 
 @query(
@@ -414,9 +439,9 @@ def border_archives(spark: SparkSession, d: str) -> DataFrame:
         FROM ({BORDER_SQL}) GROUP BY 1, 2""",
 )
 def backfill_transborder(spark: SparkSession, d: str) -> DataFrame:
-    path, root = work_dir(spark, "zips"), work_dir(spark, "backfill")
-    border_archives(spark, d).write.parquet(path)
-    jobs.backfill_transborder(spark, spark.read.parquet(path), root)
+    folder, root = work_dir(spark, "zips"), work_dir(spark, "backfill")
+    border_archives(spark, d, folder).write.format("noop").mode("overwrite").save()
+    jobs.backfill_transborder(spark, zips.find_archives(spark, folder), root)
     rows = store_scan.scan_table(spark, root, "transborder_freight")
     return rows.groupBy("snapshot_date", "source_file").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("value_usd").alias("value_usd")
