@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from railyard.constants import CENSUS_COLUMNS, COUNTRY_CODES, MODE_LABELS, waybill_fields
@@ -501,3 +501,15 @@ def route_feeds_to_carloadings(
     if "tariffs" in feeds:
         out["rail_tariff_rates"] = norm_tariffs(feeds["tariffs"], as_of, run_date, ingested_at)
     return out
+
+
+def count_feeds(feeds: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """The same feeds, and a counter ``raw`` of each feed's rows before any filter.
+
+    The counters fill in on the pass that writes the tables made from the feeds; tasks that
+    run a second time for a lost executor count twice. Counting needs every raw row, so
+    filters of the normalisers stay above the count.
+    """
+    seen = {name: Observation(f"feed {name}") for name in feeds}
+    counted = {name: df.observe(seen[name], F.count(F.lit(1)).alias("raw")) for name, df in feeds.items()}
+    return counted, seen

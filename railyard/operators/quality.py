@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from railyard.schemas import is_valid, violations
+from railyard.schemas import violations
+from railyard.session import work_dir
 
 
 def with_reasons(df: DataFrame, name: str) -> DataFrame:
@@ -16,8 +17,18 @@ def with_reasons(df: DataFrame, name: str) -> DataFrame:
 
 
 def quarantine(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their reasons)."""
-    return df.where(is_valid(name)), with_reasons(df, name).where(~is_valid(name))
+    """(valid rows, rejected rows with their reasons).
+
+    Both leave one evaluation: a staged write with a folder for each, which they are read
+    from.
+    """
+    spark = df.sparkSession
+    stage = work_dir(spark, f"checked-{name}")
+    checked = with_reasons(df, name).withColumn("_rejected", F.size("reject_reasons") > 0)
+    checked.write.partitionBy("_rejected").parquet(stage)
+    rows = spark.read.schema(checked.schema).parquet(stage)
+    valid = rows.where("NOT _rejected").drop("_rejected", "reject_reasons")
+    return valid, rows.where("_rejected").drop("_rejected")
 
 
 def ingest_counters(

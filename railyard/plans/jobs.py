@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import logging
+from collections import defaultdict
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
+from threading import Lock
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_VIEWS
 from railyard.operators import backfill, normalize
 from railyard.operators.dedup import union_all
+from railyard.operators.quality import quarantine
+from railyard.schemas import TABLES, constrained_columns
 from railyard.session import path_exists, work_dir
-from railyard.sinks.store import merge_year_partitions, write_run_summary, write_table
+from railyard.sinks.store import merge_year_partitions, write_rejects, write_run_summary, write_table
 from railyard.sources import archives as zips
 from railyard.sources.border import parse_csv_lines
 from railyard.sources.fixed_width import is_short, slice_fixed_width
@@ -59,30 +65,52 @@ def run_ingest(
     root: str,
     names: Iterable[str] | None = None,
     snapshot_date: date | None = None,
+    parallel: int = 4,
+    run_id: str | None = None,
 ) -> Row:
     """Fetch, normalise and write each source; returns the run's row of the run table.
 
-    Sources are independent: an exception marks its source as failed and the next one
-    goes on.  A source may also report a failure and still hand over frames, which are
-    written.
+    Sources are independent: an exception marks its source as failed and the others go on.
+    A source may also report a failure and still hand over frames, which are written.  Rows
+    that break a constraint of their table are kept aside with their reasons, under the run's
+    name (``scan_rejects``).
+
+    Up to ``parallel`` sources run at once, each in a thread, a job group and, where the
+    scheduler is fair, a pool of its own; ``cancel_source`` stops one of them.  Two
+    sources of one table write one after the other.
     """
     attempted = choose(registry, names)
     began = datetime.now(UTC)
-    problems: dict[str, str] = {}
-    written: dict[str, int] = {}
-    for name in attempted:
+    run_id = run_id or new_run_name(began)
+    locks = defaultdict(Lock, {name: Lock() for name in TABLES})
+
+    def load(name: str) -> tuple[dict[str, int], str | None]:
+        context = spark.sparkContext
+        context.setJobGroup(f"{run_id}/{name}", f"ingest {name}", interruptOnCancel=True)
+        context.setLocalProperty("spark.scheduler.pool", name)
+        written: dict[str, int] = {}
         try:
             fetched = registry[name](spark, snapshot_date)
-            if not fetched.success:
-                problems[name] = fetched.error or "the source says that it failed"
             for target, frame in fetched.tables.items():
-                count = write_table(spark, frame, root, target, snapshot_date)
-                written[target] = written.get(target, 0) + count
+                with locks[target]:
+                    written[target] = _load_table(spark, frame, root, target, name, run_id, snapshot_date)
+            problem = None if fetched.success else fetched.error or "the source says that it failed"
         except Exception as exc:
             log.exception("source %s failed", name)
-            problems[name] = str(exc) or type(exc).__name__
+            problem = str(exc) or type(exc).__name__
+        return written, problem
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        # Each thread starts from the caller's own local properties.
+        waiting = [pool.submit(inheritable_thread_target(spark)(load), name) for name in attempted]
+        results = dict(zip(attempted, (w.result() for w in waiting), strict=True))
+    problems = {name: problem for name, (_, problem) in results.items() if problem is not None}
+    written: dict[str, int] = {}
+    for counts, _ in results.values():
+        for target, count in counts.items():
+            written[target] = written.get(target, 0) + count
     run = {
-        "run_id": new_run_name(began),
+        "run_id": run_id,
         "started_at": began,
         "finished_at": datetime.now(UTC),
         "success": not problems,
@@ -97,6 +125,23 @@ def run_ingest(
     return Row(**run)
 
 
+def _load_table(
+    spark: SparkSession, frame: DataFrame, root: str, target: str, source: str, run_id: str, day: date | None
+) -> int:
+    """Write one table of one source, and set aside the rows that its constraints reject."""
+    if constrained_columns(target):
+        frame, rejects = quarantine(frame, target)
+        if not rejects.isEmpty():
+            count = write_rejects(rejects, root, target, run_id)
+            log.warning("source %s: %d rows of %s rejected", source, count, target)
+    return write_table(spark, frame, root, target, day)
+
+
+def cancel_source(spark: SparkSession, run_id: str, name: str) -> None:
+    """Stop what a running source is doing; the run notes it as failed and goes on."""
+    spark.sparkContext.cancelJobGroup(f"{run_id}/{name}")
+
+
 def stored_months(spark: SparkSession, root: str, name: str = "transborder_freight") -> DataFrame:
     """(year, month) that the store has, from its partition folders."""
     keys = stored_partitions(spark, root, name)
@@ -111,10 +156,10 @@ def backfill_transborder(
     force: bool = False,
     ingested_at: Column | None = None,
 ) -> tuple[int, DataFrame]:
-    """Load the missing months found in ``archives`` (archive, content).
+    """Load the missing months found in ``archives`` (archive: the path of a zip).
 
     Each month and view is read from one member, whatever the number of archives that hold
-    it.  Returns the rows written and a report (year, month, view, status) of members that
+    it; of an archive only the directory and the members chosen are read.  Returns the rows written and a report (year, month, view, status) of members that
     were recovered from a cumulative view, absent or unrecoverable.
     """
     stage = work_dir(spark, "border")
@@ -130,7 +175,7 @@ def backfill_transborder(
     wanted = monthly.join(months, ["year", "month"], "left_semi")
     wanted.write.parquet(f"{stage}/wanted")
     wanted = spark.read.parquet(f"{stage}/wanted")
-    zips.scan_chosen_members(archives, wanted).write.parquet(f"{stage}/lines")
+    zips.scan_chosen_members(wanted).write.parquet(f"{stage}/lines")
     lines = spark.read.parquet(f"{stage}/lines")
     rows = parse_csv_lines(lines, wanted)
     key = ["year", "month", "view"]
@@ -140,7 +185,7 @@ def backfill_transborder(
     plan = backfill.find_recovery(gaps, ytd)
     chosen = plan.select("year", "view", F.col("ytd_month").alias("month")).distinct()
     spares = ytd.join(chosen, key, "left_semi")
-    zips.scan_chosen_members(archives, spares).write.parquet(f"{stage}/spare_lines")
+    zips.scan_chosen_members(spares).write.parquet(f"{stage}/spare_lines")
     spare_lines = spark.read.parquet(f"{stage}/spare_lines")
     spare_rows = parse_csv_lines(spare_lines, spares)
     recovered, lost = backfill.recover_from_ytd(gaps, spares, spare_rows)

@@ -44,15 +44,71 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop client."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a work folder that is no longer read."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on whatever file system its scheme names."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     return bool(fs.exists(hadoop_path))
+
+
+def same_store(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether two paths lie in one file system, so that a folder can be moved."""
+    return _file_system(spark, a)[0].getUri().equals(_file_system(spark, b)[0].getUri())
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all: written aside, then renamed."""
+    fs, hadoop_path = _file_system(spark, path)
+    aside = hadoop_path.suffix(".new")
+    out = fs.create(aside, True)
+    out.writeBytes(text)
+    out.close()
+    fs.rename(aside, hadoop_path)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a note, or None where there is none."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    source = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def leaf_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The partition folders ``depth`` levels below ``path``, as relative paths."""
+    fs, hadoop_path = _file_system(spark, path)
+    found = [""]
+    for _ in range(depth):
+        below = []
+        for folder in found:
+            here = hadoop_path if not folder else spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hadoop_path, folder)
+            for status in fs.listStatus(here):
+                name = status.getPath().getName()
+                if status.isDirectory() and not name.startswith(("_", ".")):
+                    below.append(f"{folder}/{name}".lstrip("/"))
+        found = below
+    return found
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to where another one may stand. A move cut short can be repeated."""
+    fs, old = _file_system(spark, target)
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), old):
+        raise OSError(f"{source} could not be moved to {target}")

@@ -11,6 +11,7 @@ a third of all rows is split into files of advisory size, and thin days share a
 from __future__ import annotations
 
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,16 @@ from pyspark.sql import functions as F
 from railyard.functions import partition_keys
 from railyard.operators.dedup import dedup_keep_latest
 from railyard.schemas import RUN_SCHEMA, TABLES, Table, table
-from railyard.session import path_exists, remove_dir, work_dir
+from railyard.session import (
+    leaf_folders,
+    path_exists,
+    read_note,
+    remove_dir,
+    replace_folder,
+    same_store,
+    work_dir,
+    write_note,
+)
 from railyard.sources.store_scan import scan_table, stored_partitions, stored_schema, table_path
 
 
@@ -80,36 +90,134 @@ def merge_partitions(
     identity.  One written for the first time keeps copies within the batch unless
     ``dedup_first_write`` is set.
 
-    The batch and the merged partitions are written to the work folder first, so the
-    input is evaluated once, and the final step only copies: if publishing is
-    interrupted, the complete partitions are still there and the step can be repeated.
-    Stored files are read strictly: a corrupt one fails the merge and nothing is replaced.
+    The merge is staged in the work folder (``stage_merge``) and then published by moving
+    whole partition folders (``publish_merge``): if that is interrupted, what isn't moved yet
+    is still there and the step can be repeated.
     """
-    spec = table(name)
-    target = table_path(root, name)
     stage = work_dir(spark, f"merge-{name}")
+    new_rows = stage_merge(spark, df, root, name, stage, run_date, dedup_first_write)
+    publish_merge(spark, root, name, stage)
+    remove_dir(spark, stage)
+    return new_rows
+
+
+#: In a partition folder: no identity stands in it twice.
+_MERGED = "_merged"
+
+
+def stage_merge(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    name: str,
+    stage: str,
+    run_date: date | None = None,
+    dedup_first_write: bool = False,
+) -> int:
+    """Write to ``stage`` the complete partitions that a merge will publish; returns new rows.
+
+    The batch is written first, so the input is evaluated once.  Of a stored partition that
+    an earlier merge has left without copies, only the rows whose digest may be in the batch,
+    by a filter of fixed size, are shuffled by their identity; the others are copied in
+    the tasks that read them.  Stored files are read strictly: a corrupt one fails the merge
+    and nothing is replaced.
+
+    A note in ``stage`` says that it is complete.  With such a note nothing is computed again.
+    """
+    done = read_note(spark, f"{stage}/{_STAGED}")
+    if done is not None:
+        return int(done.split()[0])
+    remove_dir(spark, stage)
+    spec = table(name)
     new_rows = _write(_keyed(df, spec, run_date), spec, f"{stage}/batch")
-    if not new_rows:
-        return 0
-    batch = spark.read.schema(stored_schema(spec)).parquet(f"{stage}/batch")
-    touched = _partition_names(batch, spec)
-    shared = touched & _partition_names(stored_partitions(spark, root, name), spec)
-    dirty = touched if dedup_first_write else shared
-    if not dirty:
-        _write(batch, spec, target)
-        remove_dir(spark, stage)
-        return new_rows
+    publish = "nothing"
+    if new_rows:
+        batch = spark.read.schema(stored_schema(spec)).parquet(f"{stage}/batch")
+        touched = _partition_names(batch, spec)
+        shared = touched & _partition_names(stored_partitions(spark, root, name), spec)
+        dirty = touched if dedup_first_write else shared
+        publish = "merged" if dirty else "batch"
+        if dirty:
+            _write_merged(spark, batch, root, spec, f"{stage}/merged", touched, shared, dirty)
+    write_note(spark, f"{stage}/{_STAGED}", f"{new_rows} {publish}")
+    return new_rows
+
+
+_STAGED = "_staged"
+
+
+def publish_merge(spark: SparkSession, root: str, name: str, stage: str) -> None:
+    """Put the staged partitions in place of those they are made from.
+
+    May be called again until it succeeds, and after that does nothing more.
+    """
+    spec = table(name)
+    target = table_path(root, name)
+    publish = read_note(spark, f"{stage}/{_STAGED}").split()[1]
+    if publish == "nothing":
+        return
+    source = f"{stage}/{publish}"
+    depth = len(spec.partition_columns)
+    if not same_store(spark, source, target):
+        # A folder can't be moved to another store: the rows are written once more.
+        folders = leaf_folders(spark, source, depth)
+        _write(spark.read.schema(stored_schema(spec)).parquet(source), spec, target)
+        marked = [f for f in folders if path_exists(spark, f"{source}/{f}/{_MERGED}")]
+        for folder in marked:
+            write_note(spark, f"{target}/{folder}/{_MERGED}", "")
+        return
+    for folder in leaf_folders(spark, source, depth):
+        replace_folder(spark, f"{source}/{folder}", f"{target}/{folder}")
+
+
+#: Bits of the filter of a batch's digests.
+_FILTER_BITS = 1 << 24
+
+
+def _digest(spec: Table) -> Column:
+    """A 64-bit digest of a row's identity; zeros of either sign are one value."""
+    parts = []
+    for f in spec.schema.fields:
+        if f.name != "ingested_at":
+            c = F.col(f.name)
+            parts.append(F.when(c == 0, F.lit(0.0)).otherwise(c) if f.dataType.typeName() == "double" else c)
+    return F.xxhash64(*parts)
+
+
+def _write_merged(
+    spark: SparkSession, batch: DataFrame, root: str, spec: Table, path: str, touched: set[str], shared: set[str], dirty: set[str]
+) -> None:
+    """The complete partitions ``touched`` by a batch; those in ``dirty`` without copies."""
     partition = _partition_name(spec)
-    stored = scan_table(spark, root, name, with_partitions=True, skip_corrupt=False)
-    old = stored.where(partition.isin(sorted(shared)))
-    in_dirty = partition.isin(sorted(dirty))
-    merged = dedup_keep_latest(batch.where(in_dirty).unionByName(old))
+    target = table_path(root, spec.name)
+    folders = {f: "/".join(unquote(p.partition("=")[2]) for p in f.split("/")) for f in leaf_folders(spark, target, len(spec.partition_columns))} if shared else {}
+    clean = {n for f, n in folders.items() if n in shared and path_exists(spark, f"{target}/{f}/{_MERGED}")}
+    stored = scan_table(spark, root, spec.name, with_partitions=True, skip_corrupt=False)
+    fresh = batch.where(partition.isin(sorted(dirty)))
+    old = stored.where(partition.isin(sorted(shared - clean)))
+    kept = None
+    if clean:
+        # No more rows than the filter has 64-bit words, however large the batch is.
+        bit = F.pmod(_digest(spec), F.lit(_FILTER_BITS))
+        words = (
+            fresh.select(bit.alias("_bit"))
+            .groupBy(F.shiftright("_bit", 6).alias("_word"))
+            .agg(F.expr("bit_or(shiftleft(1L, CAST(_bit % 64 AS INT)))").alias("_mask"))
+        )
+        known = stored.where(partition.isin(sorted(clean))).withColumn("_bit", bit)
+        hit = F.expr("shiftright(_bit, 6) = _word AND (shiftrightunsigned(_mask, CAST(_bit % 64 AS INT)) & 1L) = 1")
+        old = old.unionByName(known.join(F.broadcast(words), hit, "left_semi").drop("_bit"))
+        kept = known.join(F.broadcast(words), hit, "left_anti").drop("_bit")
+    merged = dedup_keep_latest(fresh.unionByName(old))
     if touched - dirty:
-        merged = merged.unionByName(batch.where(~in_dirty))
-    _write(merged, spec, f"{stage}/merged")
-    _write(spark.read.schema(stored_schema(spec)).parquet(f"{stage}/merged"), spec, target)
-    remove_dir(spark, stage)
-    return new_rows
+        merged = merged.unionByName(batch.where(~partition.isin(sorted(dirty))))
+    _write(merged, spec, path)
+    if kept is not None:
+        # Not laid out anew: each task writes on what it reads.
+        kept.write.mode("append").option("compression", "zstd").partitionBy(*spec.partition_columns).parquet(path)
+    for folder in leaf_folders(spark, path, len(spec.partition_columns)):
+        if "/".join(unquote(p.partition("=")[2]) for p in folder.split("/")) in dirty:
+            write_note(spark, f"{path}/{folder}/{_MERGED}", "")
 
 
 def merge_year_partitions(
@@ -175,10 +283,52 @@ def append_run_summaries(runs: DataFrame, root: str) -> None:
 
 
 def route_records(df: DataFrame, type_column: str = "record_type") -> dict[str, DataFrame]:
-    """One frame per known table, by record type; unknown types are left out."""
-    return {
-        name: df.where(F.col(type_column) == name).drop(type_column) for name in TABLES
-    }
+    """One frame per known table, by record type; unknown types are left out.
+
+    The rows are written once, a folder for each type, and every frame reads its own folder:
+    the input is evaluated a single time, however many tables there are and however often
+    they are read.
+    """
+    spark = df.sparkSession
+    stage = work_dir(spark, "routed")
+    known = df.where(F.col(type_column).isin(list(TABLES)))
+    known.hint("rebalance", F.col(type_column)).write.partitionBy(type_column).parquet(stage)
+    schema = df.drop(type_column).schema
+    out = {}
+    for name in TABLES:
+        folder = f"{stage}/{type_column}={name}"
+        found = path_exists(spark, folder)
+        out[name] = spark.read.schema(schema).parquet(folder) if found else spark.createDataFrame([], schema)
+    return out
+
+
+def rejects_path(root: str) -> str:
+    return f"{root.rstrip('/')}/freight_rejects"
+
+
+def write_rejects(rejects: DataFrame, root: str, name: str, run_id: str) -> int:
+    """Keep the rows that a run rejected, with their reasons; returns how many there are.
+
+    ``rejects`` has ``reject_reasons`` beside the table's columns. The rows of all tables
+    share one layout: run, table, reasons, and the record as JSON text.
+    """
+    columns = [c for c in rejects.columns if c != "reject_reasons"]
+    record = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    seen = Observation(f"rejects {name}")
+    rows = rejects.select(
+        F.lit(run_id).alias("run_id"), F.lit(name).alias("table"), F.col("reject_reasons").alias("reasons"), record.alias("record")
+    )
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").option("compression", "zstd").parquet(rejects_path(root))
+    return int(seen.get["rows"])
+
+
+def scan_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """(run_id, table, reasons, record) of every row that a run has rejected."""
+    schema = "run_id string, table string, reasons array<string>, record string"
+    if not path_exists(spark, rejects_path(root)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(rejects_path(root))
 
 
 def export_compacted(

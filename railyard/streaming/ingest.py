@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from railyard.sinks.store import merge_partitions
+from railyard.session import remove_dir
+from railyard.sinks.store import publish_merge, stage_merge
 
 
 def incremental_ingest(
@@ -29,12 +30,21 @@ def incremental_ingest(
     """Load every file not seen before and stop; returns the rows written.
 
     Every batch is merged into the partitions it touches: a day whose files arrive in
-    several batches ends up whole, and a replayed batch changes nothing.
+    several batches ends up whole.  The complete partitions of a batch are staged beside the
+    checkpoint under the batch's number.  A batch that Spark replays, because an attempt
+    ended between staging and the stream's own commit, is published from there: the same
+    rows again, not a merge of the batch with itself.
     """
     written: list[int] = []
-
-    def load(batch: DataFrame, _: int) -> None:
-        written.append(merge_partitions(batch.sparkSession, normalise(batch), root, name))
+    ledger = f"{checkpoint.rstrip('/')}-batches"
+
+    def load(batch: DataFrame, number: int) -> None:
+        here = batch.sparkSession
+        stage = f"{ledger}/{number}"
+        written.append(stage_merge(here, normalise(batch), root, name, stage))
+        publish_merge(here, root, name, stage)
+        # Only the last batch can come again.
+        remove_dir(here, f"{ledger}/{number - 1}")
 
     query = (
         spark.readStream.format(fmt)

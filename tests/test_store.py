@@ -1,6 +1,11 @@
+import json
+import math
 import random
 import statistics
+import time
 from datetime import date, datetime
+from pathlib import Path
+from threading import Timer
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +13,12 @@ from pyspark.sql import functions as F
 from railyard.constants import BORDER_COLUMNS
 from railyard.operators import dedup, filters, profile, report
 from railyard.operators import normalize as N
-from railyard.plans import jobs
+from railyard.plans import jobs, profiles
+from railyard.schemas import TABLES, table
+from railyard.session import path_exists
 from railyard.sinks import store
 from railyard.sources import store_scan
+from railyard.streaming import ingest
 from railyard.streaming.ingest import incremental_ingest
 
 AS_OF = date(2026, 7, 15)
@@ -243,3 +251,216 @@ def test_export_compacts_and_counts(spark, feed, tmp_path):
     assert stats[0]["bytes"] > 0
     assert store.write_csv_copy(cars(feed, ("2020-01-15", "A", "1")), root, "rail_carloadings")
     assert not store.write_csv_copy(cars(feed, ("x", "A", "1")), root, "waybill_shipments")
+
+
+def carriers(spark, rows, stamp="2024-05-01"):
+    """Carriers: (number, state, drivers, mileage year) as the table's rows."""
+    full = [("fmcsa", date(y, 12, 31), n, "A", st, 1, d, 10, y, datetime.fromisoformat(stamp)) for n, st, d, y in rows]
+    return spark.createDataFrame(full, table("motor_carrier_census").schema)
+
+
+def test_a_merge_shuffles_only_what_may_collide(spark, tmp_path):
+    root, name = str(tmp_path), "motor_carrier_census"
+    old = [(str(i), "TX", i, 2020 + i % 2) for i in range(400)]
+    assert store.merge_partitions(spark, carriers(spark, old + old[:5]), root, name) == 405
+    assert store_scan.scan_table(spark, root, name).count() == 405  # a first write keeps copies
+    again = [*old[:3], ("new", "TX", 1, 2020)]
+    assert store.merge_partitions(spark, carriers(spark, again, "2024-05-02"), root, name) == 4
+    rows = store_scan.scan_table(spark, root, name)
+    assert rows.where("year(snapshot_date) = 2020").count() == 201  # copies are gone where it was merged
+    assert rows.count() == 401
+    assert rows.where("ingested_at = TIMESTAMP '2024-05-02'").count() == 4
+    marked = store_scan.table_path(root, name) + "/p_year=2020/_merged"
+    assert path_exists(spark, marked)
+    # Now 2020 is known to hold no copies: only rows with a digest of the batch are shuffled.
+    assert store.merge_partitions(spark, carriers(spark, [("0", "TX", 0, 2020), ("x", None, None, 2020)], "2024-05-03"), root, name) == 2
+    rows = store_scan.scan_table(spark, root, name)
+    assert rows.count() == 402 and rows.where("ingested_at = TIMESTAMP '2024-05-03'").count() == 2
+    assert rows.dropDuplicates([c for c in rows.columns if c != "ingested_at"]).where("year(snapshot_date) = 2020").count() == 202
+    assert path_exists(spark, marked)
+
+
+def test_publishing_can_be_repeated(spark, tmp_path, monkeypatch):
+    root, name, stage = str(tmp_path / "store"), "motor_carrier_census", str(tmp_path / "stage")
+    store.merge_partitions(spark, carriers(spark, [("a", "TX", 1, y) for y in (2019, 2020, 2021)]), root, name)
+    batch = carriers(spark, [("b", "TX", 1, y) for y in (2019, 2020, 2021, 2022)])
+    assert store.stage_merge(spark, batch, root, name, stage) == 4
+    move, calls = store.replace_folder, []
+
+    def breaks(spark, source, target):
+        calls.append(source)
+        if len(calls) == 3:
+            raise OSError("lost the store")
+        move(spark, source, target)
+
+    monkeypatch.setattr(store, "replace_folder", breaks)
+    with pytest.raises(OSError):
+        store.publish_merge(spark, root, name, stage)
+    # Staged once, the batch is not computed again.
+    assert store.stage_merge(spark, batch.where("raise_error('evaluated') IS NULL"), root, name, stage) == 4
+    store.publish_merge(spark, root, name, stage)
+    store.publish_merge(spark, root, name, stage)
+    rows = store_scan.scan_table(spark, root, name)
+    assert rows.count() == 7 and rows.where("dot_number = 'b'").count() == 4
+    # To a store that folders can't be moved to, rows are written once more.
+    monkeypatch.setattr(store, "same_store", lambda *_: False)
+    store.merge_partitions(spark, carriers(spark, [("c", "TX", 1, 2019)]), root, name)
+    assert store_scan.scan_table(spark, root, name).count() == 8
+
+
+def test_a_replayed_batch_is_published_again(spark, tmp_path, monkeypatch):
+    root, landing, check = (str(tmp_path / x) for x in ("store", "landing", "check"))
+    name = "motor_carrier_census"
+    twice = [("a", "TX", 1, 2020)] * 2
+    carriers(spark, twice).write.parquet(landing)
+
+    def load() -> int:
+        return incremental_ingest(spark, landing, carriers(spark, []).schema, lambda b: b, root, name, check)
+
+    publish = ingest.publish_merge
+
+    def breaks(*args):
+        publish(*args)
+        raise RuntimeError("the driver is gone before the stream commits")
+
+    monkeypatch.setattr(ingest, "publish_merge", breaks)
+    with pytest.raises(Exception, match="the driver is gone"):
+        load()
+    monkeypatch.setattr(ingest, "publish_merge", publish)
+    assert load() == 2
+    # A merge of the batch with itself would have left one of the two.
+    assert store_scan.scan_table(spark, root, name).count() == 2
+    assert load() == 0
+    carriers(spark, [("b", "TX", 1, 2020)]).write.mode("append").parquet(landing)
+    assert load() == 1
+    assert store_scan.scan_table(spark, root, name).count() == 2
+
+
+def test_routed_rows_are_evaluated_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    rows = [("rail_carloadings", 1), ("ocean_freight_rates", 2), ("unheard_of", 3), ("rail_carloadings", 4), (None, 5)]
+    df = spark.createDataFrame(rows, "record_type string, n int").mapInArrow(counted, "record_type string, n int")
+    routed = store.route_records(df)
+    assert set(routed) == set(TABLES)
+    assert sorted(r["n"] for r in routed["rail_carloadings"].collect()) == [1, 4]
+    assert [r["n"] for r in routed["ocean_freight_rates"].collect()] == [2]
+    assert routed["rail_tariff_rates"].columns == ["n"] and routed["rail_tariff_rates"].count() == 0
+    assert calls.value == len(rows)
+
+
+def test_rejects_are_kept_with_their_reasons(spark, tmp_path):
+    root = str(tmp_path)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    frame = carriers(spark, [("a", "TX", 1, 2020), ("b", "TX", -1, 2020), ("c", None, -5, 2021)])
+    frame = frame.mapInArrow(counted, frame.schema)
+    result = jobs.run_ingest(spark, {"census": lambda _s, _d: jobs.Fetched({"motor_carrier_census": frame})}, root)
+    assert result["success"] and result["total_records_written"] == 1 and calls.value == 3
+    kept = store.scan_rejects(spark, root).orderBy("record").collect()
+    assert {r["run_id"] for r in kept} == {result["run_id"]}
+    assert [(r["table"], r["reasons"], json.loads(r["record"])["dot_number"]) for r in kept] == [
+        ("motor_carrier_census", ["driver_count must be >= 0"], n) for n in "bc"
+    ]
+    assert store.scan_rejects(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_ledger_of_unreadable_files(spark, tmp_path):
+    root, name = str(tmp_path), "motor_carrier_census"
+    store.merge_partitions(spark, carriers(spark, [(str(i), "TX", 1, 2020 + i % 3) for i in range(30)]), root, name)
+    path = store_scan.table_path(root, name)
+    good = next(Path(path, "p_year=2021").glob("*.parquet")).read_bytes()
+    for bad, content in {"a": b"P", "b": b"PAR1 and no more", "c": good[:-200] + good[-8:], "d": good[40:]}.items():
+        Path(path, "p_year=2021", f"{bad}.parquet").write_bytes(content)
+    rows, ledger = store_scan.scan_with_ledger(spark, root, name)
+    assert rows.count() == 30
+    lost = ledger.collect()
+    assert sorted(r["path"].rpartition("/")[2][0] for r in lost) == list("abcd") and all(r["reason"] for r in lost)
+    Path(root, "pipeline_runs").mkdir()
+    Path(root, "pipeline_runs", "x.json").write_text("{")
+    every = {(r["table"], r["path"].rpartition("/")[2]) for r in store_scan.unreadable_files(spark, root).collect()}
+    assert every == {(name, f"{c}.parquet") for c in "abcd"} | {("pipeline_runs", "x.json")}
+    rows, ledger = store_scan.scan_with_ledger(spark, root, "rail_carloadings")
+    assert rows.count() == ledger.count() == 0
+
+
+def test_describe_brackets_that_miss_fall_back(spark, monkeypatch):
+    rng = random.Random(3)
+    values = [rng.choice([0.0, 1.0, rng.gauss(0, 1e6), float("inf"), float("-inf")]) for _ in range(5000)]
+    df = spark.createDataFrame([(v, 7) for v in values] + [(float("nan"), None)], "v double, w int")
+    # Without slack the sketch's errors leave some ranks outside.
+    for slack, size in ((0.005, 2048), (0.0, 8)):
+        monkeypatch.setattr(profile, "_SLACK", slack)
+        monkeypatch.setattr(profile, "_SKETCH", size)
+        row = {r["column"]: r for r in profile.describe_numeric(df).collect()}
+        ranked = sorted(values)
+        want = []
+        for p in (0.25, 0.5, 0.75):
+            low, high = (ranked[f((len(ranked) - 1) * p)] for f in (math.floor, math.ceil))
+            want.append(low if low == high else low + (high - low) * ((len(ranked) - 1) * p % 1))
+        assert [row["v"][q] for q in ("q25", "q50", "q75")] == pytest.approx(want)
+        assert row["w"]["q50"] == 7 and row["v"]["count"] == 5000
+
+
+def test_sources_run_side_by_side(spark, tmp_path):
+    spans = {}
+
+    def slow(name, year):
+        def fetch(_spark, _day):
+            began = time.monotonic()
+            carriers(spark, []).mapInArrow(lambda b: (time.sleep(1.5), b)[1], "source string").count()
+            rows = carriers(spark, [(name, "TX", 1, year)])
+            spans[name] = (began, time.monotonic())
+            return jobs.Fetched({"motor_carrier_census": rows})
+
+        return fetch
+
+    def broken(_spark, _day):
+        raise RuntimeError("feed is down")
+
+    def endless(_spark, _day):
+        def wait(batches):
+            time.sleep(120)
+            yield from batches
+
+        Timer(4, jobs.cancel_source, (spark, "run_q", "endless")).start()
+        carriers(spark, [("z", "TX", 1, 2020)]).mapInArrow(wait, "source string").count()
+
+    registry = {"a": slow("a", 2020), "broken": broken, "b": slow("b", 2020), "endless": endless}
+    jobs.log.disabled = True
+    began = time.monotonic()
+    run = jobs.run_ingest(spark, registry, str(tmp_path), run_id="run_q")
+    assert time.monotonic() - began < 90
+    assert run["sources_succeeded"] == ["a", "b"] and run["sources_failed"] == ["broken", "endless"]
+    assert run["errors"][0] == "broken: feed is down" and "cancel" in run["errors"][1].lower()
+    assert spans["a"][0] < spans["b"][1] and spans["b"][0] < spans["a"][1]
+    assert run["total_records_written"] == 2  # both into one partition, one after the other
+    assert store_scan.scan_table(spark, str(tmp_path), "motor_carrier_census").count() == 2
+
+
+def test_profile_of_a_grown_store_reads_only_what_changed(spark, tmp_path):
+    root, name = str(tmp_path), "motor_carrier_census"
+    rows = [(str(i), "TX" if i % 3 else None, i, 2018 + i % 4) for i in range(4000)]
+    store.merge_partitions(spark, carriers(spark, rows), root, name)
+    assert profiles.refresh_facts(spark, root, name) == 4 and profiles.refresh_facts(spark, root, name) == 0
+    store.merge_partitions(spark, carriers(spark, [(f"n{i}", "OK", 1, 2021) for i in range(500)] + [("x", "NM", 1, 2030)]), root, name)
+    assert profiles.refresh_facts(spark, root, name) == 2
+    got = {r["column"]: r for r in profiles.profile_stored(spark, root, name).collect()}
+    want = {r["column"]: r for r in profile.profile_columns(store_scan.scan_table(spark, root, name)).collect()}
+    assert set(got) == set(want)
+    for c, r in want.items():
+        assert (got[c]["dtype"], got[c]["non_null"], got[c]["null_pct"]) == (r["dtype"], r["non_null"], r["null_pct"])
+        assert (got[c]["unique"] is None) == (r["unique"] is None)
+        assert r["unique"] is None or abs(got[c]["unique"] - r["unique"]) <= 0.03 * r["unique"]
+    assert want["dot_number"]["unique"] == 4501 and got["state"]["unique"] == 3
+    assert profiles.profile_stored(spark, str(tmp_path / "none"), name).count() == 0

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from railyard.operators import lookups
 from railyard.operators import normalize as N
+from railyard.operators.quality import ingest_counters
 from railyard.operators.report import drop_payload_columns
+from railyard.session import work_dir
 from railyard.sources.cube import decode_jsonstat
 from railyard.sources.fixed_width import slice_fixed_width
 from workload import raw as R
@@ -338,6 +340,36 @@ def route_feeds_to_carloadings(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    "count_feeds",
+    f"""
+    SELECT 'carloadings' AS feed, (SELECT count(*) FROM ({R.CARLOADINGS})) AS raw, count(*) AS kept FROM ({CARS_SQL})
+    UNION ALL SELECT 'service_metrics', (SELECT count(*) FROM ({R.METRICS})), count(*) FROM ({METRICS_SQL})
+    UNION ALL SELECT 'tariffs', (SELECT count(*) FROM ({R.TARIFFS})), count(*) FROM ({TARIFFS_SQL})
+    """,
+)
+def count_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """Raw rows of each feed beside the rows kept, both counted by the pass that writes."""
+    table_of = {
+        "carloadings": "rail_carloadings",
+        "service_metrics": "rail_service_metrics",
+        "tariffs": "rail_tariff_rates",
+    }
+    feeds = {
+        "carloadings": raw(spark, d, R.CARLOADINGS),
+        "service_metrics": raw(spark, d, R.METRICS),
+        "tariffs": raw(spark, d, R.TARIFFS).drop("_cents", "_size"),
+    }
+    counted, seen = N.count_feeds(feeds)
+    tables = N.route_feeds_to_carloadings(counted, AS_OF, RUN)
+    root, kept = work_dir(spark, "feeds"), {}
+    for feed, name in table_of.items():
+        watched, kept[feed] = ingest_counters(tables[name], name)
+        watched.write.parquet(f"{root}/{name}")
+    rows = [(f, seen[f].get["raw"], kept[f].get["records"]) for f in feeds]
+    return spark.createDataFrame(rows, "feed string, raw bigint, kept bigint")
+
+
 # --- the annual cube -------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from railyard.operators import dedup
 from railyard.operators import normalize as N
 from railyard.operators.report import run_totals
 from railyard.schemas import RUN_SCHEMA
-from railyard.session import work_dir
+from railyard.session import leaf_folders, work_dir, write_note
 from railyard.sinks import store
 from railyard.sources import store_scan
 from railyard.sources.cube import decode_jsonstat
@@ -185,6 +185,33 @@ def store_inventory(spark: SparkSession, d: str) -> DataFrame:
     return store.store_inventory(spark, _two_tables(spark, d, "inventory")).where("rows > 0")
 
 
+@query(
+    "scan_with_ledger",
+    f"""
+    SELECT 'readable rows' AS what, count(*) AS n FROM ({BORDER_SQL})
+    UNION ALL SELECT 'unreadable transborder_freight', count(DISTINCT snapshot_date) FROM ({BORDER_SQL})
+    WHERE year(snapshot_date) = 1995
+    UNION ALL SELECT 'unreadable pipeline_runs', 2
+    """,
+)
+def scan_with_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Every day of one year gets a damaged file, and two run documents are none."""
+    root = work_dir(spark, "ledger")
+    store.write_day_partitions(border(spark, d), root, "transborder_freight")
+    path = store_scan.table_path(root, "transborder_freight")
+    for folder in leaf_folders(spark, path, 3):
+        if folder.startswith("p_year=1995/"):
+            write_note(spark, f"{path}/{folder}/part-damaged.parquet", "PAR1 cut off")
+    store.write_run_summary(spark, {"run_id": "run_y", "success": True}, root)
+    write_note(spark, f"{root}/pipeline_runs/cut.json", '{"run_id": "run_z", "succ')
+    write_note(spark, f"{root}/pipeline_runs/other.json", '{"name": "no run"}')
+    rows, _ = store_scan.scan_with_ledger(spark, root, "transborder_freight")
+    ledger = store_scan.unreadable_files(spark, root)
+    n = F.count(F.lit(1)).alias("n")
+    lost = ledger.groupBy(F.concat(F.lit("unreadable "), F.col("table")).alias("what")).agg(n)
+    return rows.agg(n).select(F.lit("readable rows").alias("what"), "n").unionByName(lost)
+
+
 _EXPORT_SQL = f"""
 SELECT 'transborder_freight' AS "table", count(*) AS "rows" FROM (SELECT DISTINCT * FROM ({BORDER_SQL}))
 """
