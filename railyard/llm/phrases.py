@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from railyard.llm.common import mix64, staged
 
 #: Words of one shard automaton, and arcs of one prefix range.
-SHARD_WORDS, RANGE_ARCS = 2_000_000, 400_000
+SHARD_WORDS, RANGE_ARCS = 3_000_000, 3_000_000
 
 #: A shard notes the path of every so many arcs; so many notes of all decide the ranges.
 _MARK_EVERY, _MARKS = 8192, 50_000
@@ -50,19 +50,33 @@ class Counts:
         self.words, self.parents, self.labels, self.weights = words, parents, labels, weights
 
     @classmethod
-    def of_levels(cls, words: list[bytes], levels: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Counts:
+    def of_levels(cls, words: list[bytes], levels: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray | int]]) -> Counts:
         """From (parent, label, weight) of arcs in any order; equal arcs are summed.
 
-        Parents are places in the level above as it was given.
+        Parents are places in the level above as it was given; a weight may be one for all.
         """
-        parents, labels, weights, moved = [], [], [], np.zeros(1, dtype=np.int64)
-        for parent, label, weight in levels:
-            keys, moved = np.unique(moved[parent] << 32 | label, return_inverse=True)
-            total = np.zeros(len(keys), dtype=np.int64)
-            np.add.at(total, moved, weight)
-            parents.append(keys >> 32)
-            labels.append(keys & 0xFFFFFFFF)
+        parents, labels, weights, moved, above = [], [], [], np.zeros(1, dtype=np.int64), 1
+        width = max(len(words), 1)
+        for k, (parent, label, weight) in enumerate(levels):
+            keys = moved[parent] * width + label
+            inverse = k + 1 < len(levels) or not isinstance(weight, int)
+            if above * width <= 4 * len(keys):  # few possible arcs: counted, not sorted
+                times = np.bincount(keys, minlength=above * width)
+                arcs = np.flatnonzero(times)
+                times, moved = times[arcs], (np.cumsum(times > 0) - 1)[keys] if inverse else None
+            elif inverse:
+                arcs, moved, times = np.unique(keys, return_inverse=True, return_counts=True)
+            else:
+                arcs, times = np.unique(keys, return_counts=True)
+            if isinstance(weight, int):
+                total = times.astype(np.int64) * weight
+            else:
+                total = np.zeros(len(arcs), dtype=np.int64)
+                np.add.at(total, moved, weight)
+            parents.append(arcs // width)
+            labels.append(arcs % width)
             weights.append(total)
+            above = len(arcs)
         return cls(words, parents, labels, weights)
 
     @classmethod
@@ -207,8 +221,7 @@ class Automaton:
             states = len(counts.labels[k - 1]) if k else 1
             start = np.searchsorted(counts.parents[k], np.arange(states + 1))
             label, weight = counts.labels[k], counts.weights[k]
-            names = cls._names(start, label, weight, target)
-            _, pick, moved = np.unique(names, return_index=True, return_inverse=True)
+            pick, moved = cls._distinct(start, label, weight, target)
             size = start[pick + 1] - start[pick]
             ends = np.cumsum(size)
             spots = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[pick] - (ends - size), size)
@@ -220,17 +233,23 @@ class Automaton:
         return cls(counts.words, first[::-1], labels[::-1], weights[::-1], targets[::-1])
 
     @staticmethod
-    def _names(start: np.ndarray, label: np.ndarray, weight: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """A 128-bit name for the arcs of every state."""
-        names = np.zeros(len(start) - 1, dtype="u8,u8")
+    def _distinct(start: np.ndarray, label: np.ndarray, weight: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One of each set of equal states, and for every state which of them it is.
+
+        States are equal if both 64-bit names of their arcs are.
+        """
         place = np.arange(len(label)) - np.repeat(start[:-1], np.diff(start))
-        for field, seed in zip(("f0", "f1"), (0x9E3779B97F4A7C15, 0xD1342543DE82EF95), strict=True):
+        names = []
+        for seed in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95):
             code = np.full(len(label), seed, dtype=np.uint64)
             for part in (place, label, weight, target):
                 code = mix64(code * np.uint64(seed) + part.astype(np.uint64))
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(code, dtype=np.uint64)))
-            names[field] = sums[start[1:]] - sums[start[:-1]]
-        return names
+            names.append(sums[start[1:]] - sums[start[:-1]])
+        _, pick, moved = np.unique(names[0], return_index=True, return_inverse=True)
+        if (names[1][pick][moved] != names[1]).any():
+            _, pick, moved = np.unique(np.stack(names, axis=1), axis=0, return_index=True, return_inverse=True)
+        return pick, moved.reshape(-1)
 
     def counts(self) -> Counts:
         """The trie again: every path of its own."""
@@ -302,112 +321,176 @@ def _pair_codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix64(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
-class _Shard:
-    """Words of many texts, to be counted as n-grams of ``low`` to ``high`` words.
+def _pack_numbers(a: np.ndarray) -> bytes:
+    """Small numbers, compressed byte place by byte place."""
+    planes = a.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack_numbers(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
+
 
-    An n-gram is counted if all its parts of ``low`` - 1 words pass the filter.
+class Shard:
+    """The words of many texts as numbers: 0 is a cut, others are places in ``words``, plus 1.
+
+    ``words`` rise; ``langs`` and ``sizes`` have the language and length of each text.
     """
 
-    def __init__(self, low: int, high: int, bits: np.ndarray | None):
-        self.low, self.high, self.bits = low, high, bits
-        self.clear()
+    def __init__(self, words: list[bytes], ids: np.ndarray, langs: list[bytes], sizes: list[int]):
+        self.words, self.ids, self.langs, self.sizes = words, ids, langs, sizes
 
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.number[_CUT]
-        self.texts: list[np.ndarray] = []
-        self.langs: list[bytes] = []
-        self.size = 0
+    def pack(self) -> tuple[bytes, bytes, list[str], list[int]]:
+        return (
+            zstandard.ZstdCompressor(level=3).compress(_CUT.join(self.words)),
+            _pack_numbers(self.ids),
+            [x.decode("utf-8") for x in self.langs],
+            self.sizes,
+        )
 
-    def add(self, lang: bytes, text: str | None) -> None:
-        found = words_of(text)
-        ids = np.empty(len(found) + 1, dtype=np.int64)
-        ids[:-1] = np.fromiter(map(self.number.__getitem__, found), dtype=np.int64, count=len(found))
-        ids[-1] = 0
-        self.texts.append(ids)
-        self.langs.append(lang)
-        self.size += len(ids)
-
-    def _passes(self, codes: np.ndarray) -> np.ndarray:
-        spot = codes % np.uint64(64 * len(self.bits))
-        return (self.bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
-
-    def counts(self) -> tuple[Counts, dict[bytes, int]]:
-        """The n-gram counts, and the words of each language."""
-        plain = [w for w in self.number if w != _CUT]
-        words = sorted({*plain, *self.langs})
-        rank = {w: i for i, w in enumerate(words)}
-        place = np.array([-1, *(rank[w] for w in plain)], dtype=np.int64)
-        ids = np.concatenate(self.texts)
-        label, is_word = place[ids], ids > 0
-        lang = np.repeat([rank[x] for x in self.langs], [len(t) for t in self.texts])
-        totals = np.bincount(lang[is_word], minlength=len(words))
-        per_lang = {words[i]: int(totals[i]) for i in np.flatnonzero(totals).tolist()}
-        good = is_word.copy()
-        if self.low > 1:
-            codes = np.concatenate((np.zeros(1, np.uint64), _word_codes(plain)))
-            if self.low == 2:
-                good &= self._passes(codes)[ids]
+    @classmethod
+    def unpack(cls, words: bytes, ids: bytes, langs: list[str], sizes: list[int]) -> Shard:
+        found = zstandard.ZstdDecompressor().decompress(words)
+        return cls(found.split(_CUT) if found else [], _unpack_numbers(ids), [x.encode("utf-8") for x in langs], sizes)
+
+    def totals(self) -> dict[str, int]:
+        """The number of words of each language."""
+        first = np.cumsum([0, *self.sizes[:-1]])
+        out: dict[str, int] = {}
+        for lang, n in zip(self.langs, np.add.reduceat(self.ids > 0, first, dtype=np.int64).tolist(), strict=True):
+            out[lang.decode("utf-8")] = out.get(lang.decode("utf-8"), 0) + n
+        return out
+
+    def counts(self, low: int, high: int, bits: np.ndarray | None) -> Counts:
+        """The counts of n-grams of ``low`` to ``high`` words.
+
+        An n-gram is counted if all its parts of ``low`` - 1 words pass the filter ``bits``.
+        """
+        every = sorted({*self.words, *self.langs})
+        place = {w: i for i, w in enumerate(every)}
+        moved = np.arange(len(self.words))
+        for extra in sorted({*self.langs} - {*self.words}):
+            moved += moved >= place[extra]
+        label = np.concatenate(([-1], moved))[self.ids]
+        lang = np.repeat([place[x] for x in self.langs], self.sizes)
         # good[i]: the part of low - 1 words from i on may be frequent.
-        if self.low == 3:
-            pair = np.zeros(len(ids), dtype=bool)
-            pair[:-1] = is_word[:-1] & is_word[1:]
-            pair[:-1] &= self._passes(_pair_codes(codes[ids[:-1]], codes[ids[1:]]))
-            good = pair
+        good = self.ids > 0
+        if low > 1:
+            codes = np.concatenate((np.zeros(1, np.uint64), _word_codes(self.words)))
+            if low == 2:
+                good &= _passes(codes, bits)[self.ids]
+            else:
+                pair = np.flatnonzero(good[:-1] & good[1:])
+                good = np.zeros(len(good), dtype=bool)
+                good[pair] = _passes(_pair_codes(codes[self.ids[pair]], codes[self.ids[pair + 1]]), bits)
         starts, valid = {}, good  # order -> first words of its n-grams
-        for order in range(max(self.low - 1, 1), self.high + 1):
-            if order >= self.low:
+        for order in range(max(low - 1, 1), high + 1):
+            if order >= low:
                 starts[order] = np.flatnonzero(valid)
             # An n-gram may be frequent if the two that it holds, one word shorter, may.
             valid = valid & np.append(valid[1:], False)
-        used = starts[self.low]
-        levels = [(np.zeros(len(used), dtype=np.int64), lang[used], np.zeros(len(used), dtype=np.int64))]
-        spots = used
-        for depth in range(1, self.high + 1):
+        spots = starts[low]
+        levels = [(np.zeros(len(spots), dtype=np.int64), lang[spots], 0)]
+        for depth in range(1, high + 1):
             # Arcs of a level stand in the order of the n-grams that made them.
-            if depth > self.low:
+            if depth > low:
                 parent = np.flatnonzero(np.isin(spots, starts[depth], assume_unique=True))
                 spots = spots[parent]
             else:
                 parent = np.arange(len(spots))
-            weight = np.full(len(spots), int(depth >= self.low), dtype=np.int64)
-            levels.append((parent, label[spots + depth - 1], weight))
-        return Counts.of_levels(words, levels), per_lang
+            levels.append((parent, label[spots + depth - 1], int(depth >= low)))
+        return Counts.of_levels(every, levels)
+
+
+def _passes(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    spot = codes % np.uint64(64 * len(bits))
+    return (bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def encode_shards(texts: Iterator[tuple[str, str | None]], size: int) -> Iterator[Shard]:
+    """Texts (lang, text) gathered to shards of about ``size`` words and cuts."""
+    number: dict[bytes, int] = defaultdict()
+    held: list[np.ndarray] = []
+    langs: list[bytes] = []
+    total = 0
+
+    def shard() -> Shard:
+        words = sorted(number.keys() - {_CUT})
+        moved = np.empty(len(number), dtype=np.int64)
+        moved[0] = 0
+        moved[[number[w] for w in words]] = np.arange(1, len(words) + 1)
+        return Shard(words, moved[np.concatenate(held)], langs, [len(x) for x in held])
+
+    for lang, text in texts:
+        if not total:
+            number = defaultdict()
+            number.default_factory = number.__len__
+            number[_CUT]
+            held, langs = [], []
+        found = words_of(text)
+        found.append(_CUT)
+        held.append(np.fromiter(map(number.__getitem__, found), dtype=np.int32, count=len(found)))
+        langs.append(lang.encode("utf-8"))
+        total += len(found)
+        if total >= size:
+            yield shard()
+            total = 0
+    if total:
+        yield shard()
+
+
+def _first_pass(docs: DataFrame) -> DataFrame:
+    """One row for each shard: its words and numbers, and the automaton of its word counts."""
+    size = SHARD_WORDS
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str | None]]:
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                yield lang.as_py(), text.as_py()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in encode_shards(texts(batches), size):
+            packed = shard.pack()
+            kinds = (pa.binary(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            columns = [pa.array([v], k) for v, k in zip(packed, kinds, strict=True)]
+            counted = _counted_row(shard.counts(1, 1, None))
+            totals = shard.totals()
+            columns += [pa.array([list(totals)], kinds[2]), pa.array([list(totals.values())], kinds[3])]
+            yield pa.RecordBatch.from_arrays([*columns, *counted], [*names, *_COUNTED])
+
+    names = ["words", "ids", "langs", "sizes", "total_langs", "totals"]
+    schema = (
+        "words binary, ids binary, langs array<string>, sizes array<bigint>,"
+        f" total_langs array<string>, totals array<bigint>, {_COUNTED_SCHEMA}"
+    )
+    return docs.mapInArrow(run, schema)
 
-def _shards(docs: DataFrame, low: int, high: int, bits: np.ndarray | None) -> DataFrame:
-    """One row for each shard automaton: blob, arcs, marks, langs and their words."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _Shard(low, high, shared.value)
-
-        def flush() -> pa.RecordBatch:
-            counts, words = shard.counts()
-            shard.clear()
-            marks = [_CUT.join(m) for m in counts.marks(_MARK_EVERY)]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([Automaton.of(counts).pack()], pa.binary()),
-                    pa.array([counts.arcs()], pa.int64()),
-                    pa.array([marks], pa.list_(pa.binary())),
-                    pa.array([[w.decode("utf-8") for w in words]], pa.list_(pa.string())),
-                    pa.array([list(words.values())], pa.list_(pa.int64())),
-                ],
-                ["blob", "arcs", "marks", "langs", "words"],
-            )
+_COUNTED = ["blob", "arcs", "marks"]
+_COUNTED_SCHEMA = "blob binary, arcs bigint, marks array<binary>"
+
 
+def _counted_row(counts: Counts) -> list[pa.Array]:
+    marks = [_CUT.join(m) for m in counts.marks(_MARK_EVERY)]
+    return [
+        pa.array([Automaton.of(counts).pack()], pa.binary()),
+        pa.array([counts.arcs()], pa.int64()),
+        pa.array([marks], pa.list_(pa.binary())),
+    ]
+
+
+def _later_pass(shards: DataFrame, low: int, high: int, bits: np.ndarray) -> DataFrame:
+    """One automaton row for each shard: the counts of its n-grams that pass the filter."""
+    shared = shards.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                shard.add(lang.as_py().encode("utf-8"), text.as_py())
-                if shard.size >= SHARD_WORDS:
-                    yield flush()
-        if shard.size:
-            yield flush()
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts = Shard.unpack(*row).counts(low, high, shared.value)
+                yield pa.RecordBatch.from_arrays(_counted_row(counts), _COUNTED)
 
-    schema = "blob binary, arcs bigint, marks array<binary>, langs array<string>, words array<bigint>"
-    return docs.mapInArrow(run, schema)
+    return shards.select("words", "ids", "langs", "sizes").mapInArrow(run, _COUNTED_SCHEMA)
 
 
 def _bounds(shards: DataFrame) -> list[tuple[bytes, ...]]:
@@ -564,17 +647,15 @@ def collocations(
     if not 2 <= longest <= 4:
         raise ValueError("phrases have 2 to 4 words")
     rows = docs.select(F.coalesce(docs[lang], F.lit("und")).alias("lang"), docs[text].alias("text"))
-    united, bounds, bits = [], [], None
-    sizes = None
-    for low, high in ((1, 1), (2, 2), (3, longest))[: 2 if longest == 2 else 3]:
-        shards = staged(_shards(rows, low, high, bits), f"ngram-shards-{low}")
-        if low == 1:
-            sizes = shards.select(F.explode(F.arrays_zip("langs", "words")).alias("x"))
-            sizes = sizes.groupBy(F.col("x.langs").alias("lang_n")).agg(F.sum("x.words").alias("n"))
-        bounds.append(_bounds(shards))
-        united.append(_united(shards, bounds[-1], least, f"ngram-counts-{low}"))
-        if low < 3 and low < longest:
-            bits = _filter(united[-1], low)
+    shards = staged(_first_pass(rows), "ngram-shards")
+    sizes = shards.select(F.explode(F.arrays_zip("total_langs", "totals")).alias("x"))
+    sizes = sizes.groupBy(F.col("x.total_langs").alias("lang_n")).agg(F.sum("x.totals").alias("n"))
+    bounds = [_bounds(shards)]
+    united = [_united(shards, bounds[0], least, "word-counts")]
+    for low, high in ((2, 2), (3, longest))[: 1 if longest == 2 else 2]:
+        counted = staged(_later_pass(shards, low, high, _filter(united[-1], low - 1)), f"ngrams-{low}")
+        bounds.append(_bounds(counted))
+        united.append(_united(counted, bounds[-1], least, f"ngram-counts-{low}"))
     found = _frequent(united[1])
     if longest > 2:
         found = found.unionByName(_frequent(united[2]))

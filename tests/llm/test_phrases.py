@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from railyard.llm import phrases
@@ -87,12 +88,12 @@ def test_empty_and_rare(spark):
 
 
 def some_counts(rows):
+    """The counts of all n-grams of each text; orders from 1 on pass any filter."""
+    every = np.full(4, 2**64 - 1, dtype=np.uint64)
     parts = []
-    for lang, text in rows:
-        shard = phrases._Shard(1, 1, None)
-        shard.low, shard.high = 1, 4
-        shard.add(lang.encode(), text)
-        parts.append(shard.counts()[0])
+    for shard in phrases.encode_shards(iter(rows), 1):
+        shard = phrases.Shard.unpack(*shard.pack())
+        parts += [shard.counts(1, 1, None), shard.counts(2, 2, every), shard.counts(3, 4, every)]
     return parts
 
 
