@@ -2,59 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railyard.llm.common import free_name, staged, word_count
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Each line with words: key, digest of the text, pos, hash, words, and words before it.
+    """Each line with words: key, digest of the text, pos, two hashes, words, and words before it.
 
-    Rows that agree in key and text are one document here.
+    Rows that agree in key and text are one document here. White space at the ends of a line
+    doesn't count.
     """
+    body = F.trim(F.col("line"), F.lit(" \t\x0b\x0c\r"))
     exploded = docs.select(
         docs[key].alias("key"),
         F.xxhash64(docs[text]).alias("digest"),
         F.posexplode(F.split(docs[text], "\n")).alias("pos", "line"),
     )
+    hashes = [F.xxhash64(body).alias("hash"), F.xxhash64(F.lit("line"), body).alias("hash2")]
     one = (
-        exploded.select("key", "digest", "pos", word_count(F.col("line")).alias("words"), _line_hash().alias("hash"))
+        exploded.select("key", "digest", "pos", word_count(F.col("line")).alias("words"), *hashes)
         .where("words > 0")
         .groupBy("key", "digest", "pos")
-        .agg(F.first("words").alias("words"), F.first("hash").alias("hash"))
+        .agg(*[F.first(c).alias(c) for c in ("words", "hash", "hash2")])
     )
     so_far = F.sum("words").over(Window.partitionBy("key", "digest").orderBy("pos"))
     return one.withColumn("upto", so_far).withColumn("before", F.col("upto") - F.col("words"))
 
 
-def _line_hash() -> Column:
-    """A line's hash; white space at its ends doesn't count."""
-    return F.xxhash64(F.trim(F.col("line"), F.lit(" \t\x0b\x0c\r")))
-
-
-def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
-    """Runs of lines that repeat an earlier run of at least ``min_words`` words.
-
-    Returns key, digest (of the text), and runs: disjoint ranges (first, last) of line numbers
-    in rising order, only for documents that have some.
+def _windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """The windows of all documents: key, digest, first, last, mark, mark_pos, name, name2.
 
     A window starts or ends at every line and reaches just far enough to hold ``min_words``
-    words. Its fingerprint is the least line hash in it (of equal ones the last), so two
-    equal runs that are long enough always share a fingerprint at the same line. Positions
-    are joined on fingerprints; only windows whose fingerprint stands in more than one place
-    go on. They are extended from the fingerprint, forward and backward, to the whole window,
-    and compared by a hash of all its lines with the first place where that window stands.
-    Every line of a repeated run lies in a window that starts or ends in the run, so chained
-    windows give the whole run, without pairing positions with each other.
-
-    Order is the key (null last), the text's digest, then the line. A run may overlap the
-    one that it repeats: a period that repeats within a document stays once.
+    words. Its mark is the least line hash in it (of equal ones the last); its names are
+    hashes of all its lines, from two independent hashes of each line.
     """
-    lines = staged(_lines(docs, key, text), "line-hashes")
     doc = Window.partitionBy("key", "digest")
-    forward = doc.orderBy("before").rangeBetween(0, min_words - 1)
-    backward = doc.orderBy("upto").rangeBetween(1 - min_words, 0)
+    frames = (
+        doc.orderBy("before").rangeBetween(0, min_words - 1),
+        doc.orderBy("upto").rangeBetween(1 - min_words, 0),
+    )
 
     def windows(frame) -> DataFrame:
         return lines.select(
@@ -65,17 +53,43 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
             F.sum("words").over(frame).alias("held"),
             F.min(F.struct("hash", (-F.col("pos")).alias("back"))).over(frame).alias("least"),
             F.xxhash64(F.collect_list("hash").over(frame)).alias("name"),
+            F.xxhash64(F.collect_list("hash2").over(frame)).alias("name2"),
         ).where(F.col("held") >= min_words)
 
-    found = windows(forward).unionByName(windows(backward))
-    found = staged(
-        found.select(
-            "key", "digest", "first", "last", "name",
-            F.col("least.hash").alias("mark"),
-            (-F.col("least.back")).alias("mark_pos"),
-        ),
-        "line-windows",
+    found = windows(frames[0]).unionByName(windows(frames[1]))
+    return found.select(
+        "key", "digest", "first", "last", "name", "name2", F.col("least.hash").alias("mark"), (-F.col("least.back")).alias("mark_pos")
     )
+
+
+def marks(lines: DataFrame, min_words: int) -> DataFrame:
+    """The selected minima: key, digest, mark_pos and mark of each line that is a window's mark.
+
+    Every run of ``min_words`` words or more holds one, at the same line in each of its copies.
+    """
+    return _windows(lines, min_words).select("key", "digest", "mark_pos", "mark").distinct()
+
+
+def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
+    """Runs of lines that repeat an earlier run of at least ``min_words`` words.
+
+    Returns key, digest (of the text), and runs: disjoint ranges (first, last) of line numbers
+    in rising order, only for documents that have some.
+
+    Lines are winnowed: of each window only the minimum is kept as a mark, one row for each
+    marked line. Marks are joined on their hash, and positions whose mark stands nowhere else
+    are done. From each other position the match is extended backward and forward over the
+    windows through it, and compared with the first place where the same lines
+    stand around the same mark; a window is matched by two independent hashes of its lines
+    (128 bits), not by its mark. Every line of a repeated run lies in a window that starts or
+    ends in the run, so chained windows give the whole run, and positions are never paired
+    with each other.
+
+    Order is the key (null last), the text's digest, then the line. A run may overlap the
+    one that it repeats: a period that repeats within a document stays once.
+    """
+    lines = staged(_lines(docs, key, text), "line-hashes")
+    found = staged(marks(lines, min_words), "line-marks")
     place = F.struct("key", "digest", "mark_pos")
     shared = (
         found.groupBy("mark")
@@ -87,17 +101,23 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     # adaptive execution can split where a line or a window stands in very many places. They
     # are merged at every size: the tables grow with the corpus and aren't for broadcasting.
     shared = staged(shared, "shared-marks")
-    near = staged(found.join(shared.hint("merge"), "mark", "left_semi").drop("mark", "mark_pos"), "shared-windows")
+    joined = staged(found.join(shared.hint("merge"), "mark", "left_semi").drop("mark"), "joined-marks")
+    of = joined.select(F.col("key").alias("of_key"), F.col("digest").alias("of_digest"), F.col("mark_pos").alias("of_pos"))
+    same_doc = F.col("key").eqNullSafe(F.col("of_key")) & (F.col("digest") == F.col("of_digest"))
+    theirs = lines.join(of.select("of_key", "of_digest").distinct().hint("merge"), same_doc, "left_semi")
+    through = same_doc & (F.col("mark_pos") == F.col("of_pos"))
+    near = _windows(theirs, min_words).join(of.hint("merge"), through, "left_semi")
+    near = staged(near.drop("mark", "mark_pos"), "shared-windows")
     order = F.struct(F.col("key").isNull().alias("no_key"), "key", "digest", "first")
-    origin = near.groupBy("name").agg(F.min(order).alias("origin"), F.max(order).alias("latest"))
-    origin = staged(origin.where("origin < latest").select("name", "origin"), "window-origins")
+    origin = near.groupBy("name", "name2").agg(F.min(order).alias("origin"), F.max(order).alias("latest"))
+    origin = staged(origin.where("origin < latest").select("name", "name2", "origin"), "window-origins")
     later = (
-        near.join(origin.hint("merge"), "name")
+        near.join(origin.hint("merge"), ["name", "name2"])
         .where(order > F.col("origin"))
         .select("key", "digest", "first", "last")
         .distinct()
     )
-    rising = doc.orderBy("first", "last")
+    rising = Window.partitionBy("key", "digest").orderBy("first", "last")
     reach = F.max("last").over(rising.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("first") <= F.col("reach") + 1, 0).otherwise(1)).over(rising)
     return (
@@ -116,30 +136,31 @@ def dedup_lines(
     """``docs`` with every later repeat of a run of ``min_words`` words or more deleted.
 
     All rows and columns stay; only ``text`` changes. With ``report`` two columns follow,
-    lines and removed_lines. A text that repeats as a whole becomes empty. Null and empty
-    texts stay as they are; shorter repeats stay; blank lines go where they lie inside a
-    deleted run. Rows with equal key and text are treated alike. Other columns may have any
-    names. See ``repeated_runs`` for the method and the order.
+    lines and removed_lines, in place of any that had these names. A text that repeats as a
+    whole becomes empty. Null and empty texts stay as they are; shorter repeats stay; blank
+    lines go where they lie inside a deleted run. Rows with equal key and text are treated
+    alike, null keys like any other. A text may have any number of lines; an empty table
+    stays empty. Other columns may have any names. See ``repeated_runs`` for the method and
+    the order.
     """
     runs = repeated_runs(docs, key, text, min_words)
-    runs = runs.select(F.col("key").alias("__run_key"), F.col("digest").alias("__run_digest"), F.col("runs").alias("__runs"))
-    digest = free_name(docs, "digest")
+    of_key, of_digest, of_runs, digest = (free_name(docs, n) for n in ("run_key", "run_digest", "runs", "digest"))
+    runs = runs.select(F.col("key").alias(of_key), F.col("digest").alias(of_digest), F.col("runs").alias(of_runs))
     joined = docs.withColumn(digest, F.xxhash64(docs[text])).join(
-        runs.hint("shuffle_hash"),
-        docs[key].eqNullSafe(runs["__run_key"]) & (F.col(digest) == runs["__run_digest"]),
-        "left",
+        runs.hint("shuffle_hash"), docs[key].eqNullSafe(F.col(of_key)) & (F.col(digest) == F.col(of_digest)), "left"
     )
     lines = F.split(docs[text], "\n")
-    starts = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: r["last"] + 1))
-    stops = F.concat(F.transform("__runs", lambda r: r["first"]), F.array(F.size(lines)))
+    starts = F.concat(F.array(F.lit(0)), F.transform(of_runs, lambda r: r["last"] + 1))
+    stops = F.concat(F.transform(of_runs, lambda r: r["first"]), F.array(F.size(lines)))
     parts = F.transform(
         F.arrays_zip(starts.alias("a"), stops.alias("z")),
         lambda p: F.slice(lines, p["a"] + 1, F.greatest(p["z"] - p["a"], F.lit(0))),
     )
-    kept = F.when(F.col("__runs").isNull(), docs[text]).otherwise(F.array_join(F.flatten(parts), "\n"))
-    columns = [kept.alias(c) if c == text else docs[c] for c in docs.columns]
+    kept = F.when(F.col(of_runs).isNull(), docs[text]).otherwise(F.array_join(F.flatten(parts), "\n"))
+    replaced = ("lines", "removed_lines") if report else ()
+    columns = [kept.alias(c) if c == text else docs[c] for c in docs.columns if c.lower() not in replaced]
     if report:
-        gone = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+        gone = F.aggregate(of_runs, F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
         columns += [
             F.when(docs[text].isNull(), 0).otherwise(F.size(lines)).cast("long").alias("lines"),
             F.coalesce(gone, F.lit(0)).cast("long").alias("removed_lines"),

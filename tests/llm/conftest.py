@@ -4,7 +4,8 @@ import pytest
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint,"
-    " key string, size string, digest string, fp string, rank string, __draw string"
+    " key string, size string, digest string, fp string, rank string, __draw string,"
+    " __copies string, __runs string, __repeats string, cls string, `plan` string"
 )
 WORDS = [a + b for a in "ba be bi do du fa".split() for b in "l m n r s t".split()]
 
@@ -18,7 +19,7 @@ def frame(spark):
     """Documents with every odd case, and columns whose names operators also use."""
 
     def make(rows):
-        full = [(i, t, "en", s, len(t or ""), "k", "s", "d", "f", "r", "w") for i, t, s in rows]
+        full = [(i, t, "en", s, len(t or ""), "k", "s", "d", "f", "r", "w", "c", "u", "p", "l", "n") for i, t, s in rows]
         return spark.createDataFrame(full, SCHEMA)
 
     return make

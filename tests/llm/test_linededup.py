@@ -66,3 +66,36 @@ def test_a_shared_passage_stays_once(frame):
     out = linededup.dedup_lines(frame(rows)).orderBy("doc_id").collect()
     assert [passage in r["text"] for r in out] == [True] + [False] * 49
     assert all("short line" in r["text"] for r in out)
+
+
+def test_every_long_enough_run_holds_a_mark(frame):
+    rng = random.Random(7)
+    rows = [(i, "\n".join(prose(rng, rng.randint(1, 14)) for _ in range(60)), "s") for i in range(20)]
+    lines = linededup._lines(frame(rows), "doc_id", "text")
+    marked = {(r["key"], r["mark_pos"]) for r in linededup.marks(lines, 50).collect()}
+    found = {}
+    for r in lines.collect():
+        found.setdefault(r["key"], []).append((r["pos"], r["words"]))
+    assert len(marked) < 0.6 * sum(map(len, found.values()))
+    for doc, of in found.items():
+        of.sort()
+        for i in range(len(of)):
+            words, j = 0, i
+            while j < len(of) and words < 50:
+                words, j = words + of[j][1], j + 1
+            assert words < 50 or any((doc, pos) in marked for pos, _ in of[i:j])
+
+
+def test_matches_come_from_the_marks(frame, monkeypatch):
+    rng = random.Random(2)
+    passage = prose(rng, 51)
+    docs = frame([(i, f"{prose(rng, 60)}\n{passage}", "s") for i in range(5)])
+    assert linededup.dedup_lines(docs, report=True).selectExpr("sum(removed_lines)").first()[0] == 4
+    plain = linededup.marks
+    monkeypatch.setattr(linededup, "marks", lambda lines, n: plain(lines, n).limit(0))
+    assert linededup.dedup_lines(docs, report=True).selectExpr("sum(removed_lines)").first()[0] == 0
+
+
+def test_report_replaces_columns_of_its_names(spark):
+    docs = spark.createDataFrame([(1, "a\nb", 9, 8)], "doc_id int, text string, lines int, removed_lines int")
+    assert linededup.dedup_lines(docs, report=True).first().asDict() == {"doc_id": 1, "text": "a\nb", "lines": 2, "removed_lines": 0}
