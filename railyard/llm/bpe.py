@@ -21,6 +21,36 @@ _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 )
 
+#: Words of more bytes are merged apart from the short ones.
+LONG_WORD = 256
+
+
+class _NewerText:
+    """Texts with characters that Python's Unicode tables don't have yet.
+
+    The vocabulary's library has tables of its own; for these few texts it lower-cases and
+    splits, so that a letter of a later Unicode version is what it takes it for.
+    """
+
+    def __init__(self, pattern: str):
+        self.pattern, self.assigned, self.tools = pattern, set(), None
+
+    def concerns(self, text: str) -> bool:
+        fresh = set(text) - self.assigned
+        new = {c for c in fresh if unicodedata.category(c) == "Cn"}
+        self.assigned |= fresh - new
+        return bool(new)
+
+    def words(self, text: str) -> list[str]:
+        if not self.tools:
+            from tokenizers import Regex, normalizers, pre_tokenizers
+
+            normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+            self.tools = normal, pre_tokenizers.Split(Regex(self.pattern), "removed", invert=True)
+        normal, split = self.tools
+        return [w for w, _ in split.pre_tokenize_str(normal.normalize_str(text))]
+
+
 _GAPS = regex.compile(r"\p{White_Space}+")
 _ODD_GAPS = regex.compile(r"[\x1c-\x1f]")
 
@@ -72,23 +102,43 @@ class Bpe:
         made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
+        self.newer = _NewerText(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # A token takes up no more symbols than this, and is made before it is merged on.
+        self.reach = max(len(t.removesuffix(suffix)) for t in vocab)
+        born = {}
+        for rank, (a, b) in enumerate(pairs):
+            born.setdefault(a + b, rank)
+        self.rising = all(born.get(a, -1) < rank and born.get(b, -1) < rank for rank, (a, b) in enumerate(pairs))
         self._forget()
 
     def merge_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of many words at once.
+        """Ids of many words at once; the few long ones have rounds of their own."""
+        raw = [w.encode("utf-8") for w in words]
+        long = [i for i, r in enumerate(raw) if len(r) > LONG_WORD]
+        short = [i for i, r in enumerate(raw) if len(r) <= LONG_WORD]
+        done: list[np.ndarray | None] = [None] * len(words)
+        for picks, local in ((short, False), (long, self.rising)):
+            if picks:
+                for i, ids in zip(picks, self._merge([raw[i] for i in picks], local), strict=True):
+                    done[i] = ids
+        return done
+
+    def _merge(self, raw: list[bytes], local: bool) -> list[np.ndarray]:
+        """Merge rounds over one flat array of the symbols of all words.
 
-        All words lie in one flat array of symbols. Each round looks every neighbouring pair
-        up by binary search, finds each word's lowest rank, and merges that pair wherever it
-        stands in the word. A word leaves when none of its pairs can merge.
+        Each round looks every neighbouring pair up by binary search, finds each word's
+        lowest rank, and merges that pair wherever it stands in the word. A word leaves when
+        none of its pairs can merge. With ``local`` the pairs that ``_lowest_around`` finds
+        are merged in the same round, so a long word takes some hundred rounds at most, not one for
+        every rank that occurs in it.
         """
-        raw = [w.encode("utf-8") for w in words]
         size = np.array([len(r) for r in raw], dtype=np.int64)
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         symbols = self.inner[data]
         ends = np.cumsum(size)
         symbols[ends - 1] = self.final[data[ends - 1]]
-        word = np.repeat(np.arange(len(words)), size)
-        done: list[np.ndarray | None] = [None] * len(words)
+        word = np.repeat(np.arange(len(raw)), size)
+        done: list[np.ndarray | None] = [None] * len(raw)
         while len(symbols):
             same = word[1:] == word[:-1]
             key = symbols[:-1] * self.width + symbols[1:]
@@ -109,6 +159,8 @@ class Bpe:
                     done[w] = symbols[s : s + n].astype(np.uint32)
             each = np.repeat(least, counts)
             hit = (rank == each) & (each != _NONE)
+            if local:
+                hit |= self._lowest_around(rank)
             # A pair of equal symbols may overlap itself: of a run of hits every second counts.
             spot = np.flatnonzero(hit)
             run = np.concatenate(([True], np.diff(spot) > 1)) if len(spot) else np.zeros(0, bool)
@@ -120,14 +172,42 @@ class Bpe:
             symbols, word = symbols[stay], word[stay]
         return done
 
+    def _lowest_around(self, rank: np.ndarray) -> np.ndarray:
+        """The pairs that no merge elsewhere can come before.
+
+        Before a pair's turn one of its symbols could only go to a token made of the symbols
+        next to it, all of whose merges come earlier, the first of them between two symbols
+        within the reach of a token. So a pair with the lowest rank within that reach is merged
+        in any case. Of a run of equal pairs either all fulfil this or none is taken, as its
+        start decides which of them merge.
+        """
+        n = len(rank)
+        padded = np.concatenate([np.full(self.reach, _NONE), rank, np.full(self.reach, _NONE)])
+        width, low = 1, padded
+        while 2 * width <= 2 * self.reach + 1:
+            low = np.minimum(low[: len(low) - width], low[width:])
+            width *= 2
+        rest = 2 * self.reach + 1 - width
+        low = np.minimum(low[:n], low[rest : rest + n])
+        lowest = (rank == low) & (rank != _NONE)
+        begin = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1])))
+        whole = np.minimum.reduceat(lowest.astype(np.int8), begin)
+        return np.repeat(whole == 1, np.diff(np.append(begin, n)))
+
     def _chunks(self, text: str) -> list[str]:
-        """A text cut at white space; a control string gets a space in front, as no other chunk."""
+        """A text cut at white space; a control string gets a space in front, as no other chunk.
+
+        Words that are cut out already get two.
+        """
         out: list[str] = []
         for part in self.added_pattern.split(text) if "<|" in text else (text,):
             if part in self.added:
                 out.append(f" {part}")
                 continue
             if not part.isascii():
+                if self.newer.concerns(part):
+                    out += [f"  {w}" for w in self.newer.words(part)]
+                    continue
                 # Lower case letter by letter: a final sigma has no form of its own here.
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             part = part.lower()
@@ -135,9 +215,13 @@ class Bpe:
             out += _GAPS.split(part) if _ODD_GAPS.search(part) else part.split()
         return out
 
+    @staticmethod
+    def _pieces(chunk: str) -> list[str]:
+        return [chunk[2:]] if chunk.startswith("  ") else _PIECES.findall(chunk)
+
     def _learn(self, chunks: list[str]) -> None:
         """Append the ids of new chunks to the flat store; words never cross a chunk."""
-        pieces = [_PIECES.findall(c) for c in chunks]
+        pieces = [self._pieces(c) for c in chunks]
         words = list(set().union(*pieces))
         ids = self.merge_words(words)
         number = {w: i for i, w in enumerate(words)}
@@ -188,8 +272,9 @@ def encode_documents(
     ``path`` names the vocabulary file, which every worker can read. Returns ``keep``,
     n_tokens, ids (little-endian unsigned 32-bit integers) and decoded; with ``digests``
     instead of the last two their SHA-256 as ids_sha256 and decoded_sha256. One row for each
-    row; a null text is empty and an empty text has no tokens; repeated rows repeat; other
-    columns are left out. Nothing is shuffled.
+    row; a null text is empty and an empty text has no tokens; repeated rows repeat; a text
+    or a word in it may have any length; an empty table gives an empty table; other columns
+    are left out. Nothing is shuffled.
     """
     source = docs.select(docs[keep].alias("key"), docs[text].alias("text"))
     kind = docs.schema[keep].dataType.simpleString()

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -36,3 +38,28 @@ def test_forgetting_chunks_changes_nothing(monkeypatch):
     texts = ["some words and others", "words again", "and <|endoftext|> more words", "some others"]
     first = [one.encode([t])[0].tolist() for t in texts]
     assert first == [x.tolist() for x in bpe.Bpe(PATH).encode(texts)]
+
+
+def test_long_words_and_new_letters():
+    tool, one = Tokenizer.from_file(PATH), bpe.Bpe(PATH)
+    assert one.rising
+    rng = random.Random(1)
+    texts = [
+        "".join(rng.choice("etaoinshrdlucmfwypvbgkqjxz") for _ in range(200_000)),
+        "".join(rng.choice("ab") for _ in range(30_000)),
+        "a" * 5001 + "b" + "a" * 400,
+        "".join(rng.choice(["the", "ing", "aaaa", "é", "日", "xyz", "nn"]) for _ in range(20_000)),
+        "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(20_000)),
+    ]
+    began = time.monotonic()
+    got = [one.encode([t])[0].tolist() for t in texts]
+    assert time.monotonic() - began < 60
+    assert got == [tool.encode(t, add_special_tokens=False).ids for t in texts]
+    every = [chr(c) for c in [*range(0x300, 0xD800, 7), *range(0xE000, 0x110000, 37)]]
+    tests = [f"a{c}B" for c in every]
+    wants = tool.encode_batch(tests, add_special_tokens=False)
+    assert [x.tolist() for x in one.encode(tests)] == [w.ids for w in wants]
+    new = [chr(c) for c in (0x558, 0x88F, 0x1C89, 0x209D, 0xA7CB, 0xA7DA, 0x2EBF0, 0x1E4D0, 0x31350)]
+    for c in new:
+        text = f"a{c}B {c}{c} 1{c}2 x{c}!"
+        assert one.encode([text])[0].tolist() == tool.encode(text, add_special_tokens=False).ids, hex(ord(c))
