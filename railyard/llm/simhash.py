@@ -149,15 +149,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     classes = staged(_classes(points), "classes")
     order = F.struct(F.col("key.key").isNull().alias("none"), F.col("key.key").alias("key"), F.col("key.digest").alias("digest"))
     best = points.groupBy("fp").agg(F.min(order).alias("best")).join(classes, "fp")
+    of_key, of_digest, of_copies = (free_name(docs, n) for n in ("kept", "kept_digest", "copies"))
     best = best.groupBy("root").agg(F.min("best").alias("best")).select(
-        F.col("best.key").alias("__kept"), F.col("best.digest").alias("__kept_digest")
+        F.col("best.key").alias(of_key), F.col("best.digest").alias(of_digest)
     )
-    copies = points.groupBy(F.col("key.key").alias("k"), F.col("key.digest").alias("d")).agg(F.count("*").alias("__copies"))
-    best = best.join(copies, best["__kept"].eqNullSafe(copies["k"]) & (best["__kept_digest"] == copies["d"]))
+    copies = points.groupBy(F.col("key.key").alias("k"), F.col("key.digest").alias("d")).agg(F.count("*").alias(of_copies))
+    best = best.join(copies, best[of_key].eqNullSafe(copies["k"]) & (best[of_digest] == copies["d"]))
     kept = marked.join(
-        best.select("__kept", "__kept_digest", "__copies").hint("shuffle_hash"),
-        marked[key].eqNullSafe(best["__kept"]) & (marked[digest] == best["__kept_digest"]),
+        best.select(of_key, of_digest, of_copies).hint("shuffle_hash"),
+        marked[key].eqNullSafe(best[of_key]) & (marked[digest] == best[of_digest]),
     )
-    single = kept.where("__copies = 1").select(*[marked[c] for c in docs.columns])
-    repeated = kept.where("__copies > 1").dropDuplicates(["__kept", "__kept_digest"])
+    single = kept.where(F.col(of_copies) == 1).select(*[marked[c] for c in docs.columns])
+    repeated = kept.where(F.col(of_copies) > 1).dropDuplicates([of_key, of_digest])
     return single.unionByName(repeated.select(*[marked[c] for c in docs.columns]))

@@ -174,6 +174,23 @@ def _vote(bag: set[int], plain: str, lexicons: list[list[int]], patterns: list[r
     return [*hits, 1 if any(hits) else -1]
 
 
+#: Without labels: the share of toxic texts, and how often a lexicon speaks in a toxic and in
+#: a clean text.
+ASSUMED_SHARE, ASSUMED_RATES = 0.05, (0.6, 0.02)
+
+
+def fixed_model() -> ToxicityModel:
+    """A model from assumptions alone: each insult weighs what its voter's odds are.
+
+    A text without one scores ``ASSUMED_SHARE``, one insult gives about 0.6.
+    """
+    codes = dict.fromkeys(_code(w + "$") for listed in LEXICONS.values() for w in listed.split())
+    toxic, clean = ASSUMED_RATES
+    weights = np.full(len(codes) + 1, np.log(toxic / clean))
+    weights[-1] = np.log(ASSUMED_SHARE / (1 - ASSUMED_SHARE))
+    return ToxicityModel({c: i for i, c in enumerate(codes)}, weights, (1.0, 0.0), dict.fromkeys(LEXICONS, ASSUMED_RATES))
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -192,15 +209,17 @@ def fit_toxicity(
     lexicon of its own), and one voter that speaks for the silence of the others. The label
     model turns their votes into posteriors, anchored by the labels of every second row; the
     classifier, over the stems that tell the posteriors apart best, is trained on the
-    posteriors; training labels calibrate its margin. Without labels of both classes the
-    fixed voters remain.
+    posteriors; training labels calibrate its margin. Without labels of both classes nothing
+    can be estimated, and the fixed lexicons vote with assumed odds (``fixed_model``).
     """
     sample, counts = labelled_sample(docs, labels, label, train, rows_per_class, max_chars, key, text)
+    if len({v for _, v in sample}) < 2:
+        return fixed_model()
     plains = [t.lower() if t else "" for t, _ in sample]
     y = np.array([v for _, v in sample], dtype=float)
     bags = [_bag(set(_WORDS.findall(p))) for p in plains]
     lexicons = {name: [_code(w + "$") for w in listed.split()] for name, listed in LEXICONS.items()}
-    for c in _learned_lexicon(bags, y, learned_voters) if 0 < y.sum() < len(y) else []:
+    for c in _learned_lexicon(bags, y, learned_voters):
         lexicons[f"stem {c:016x}"] = [c]
     patterns = {name: re.compile(p) for name, p in PATTERNS.items()}
     sets, regexes = list(lexicons.values()), list(patterns.values())
@@ -209,9 +228,8 @@ def fit_toxicity(
     votes = np.array([_vote(f, p, sets, regexes) for f, p in zip(found, plains, strict=True)], dtype=int)
     votes = votes.reshape(len(sample), len(sets) + len(regexes) + 1)
     w = class_weights(y, counts)
-    prior = float(np.clip(np.average(y, weights=w) if len(y) else 0.1, 0.01, 0.99))
     # The sample holds classes in shares of its own; the posterior is for such a sample.
-    shown = float(np.clip(y.mean() if len(y) else prior, 0.05, 0.95))
+    shown = float(np.clip(y.mean(), 0.05, 0.95))
     known = np.where(np.arange(len(y)) % 2 == 0, y, np.nan)
     post, table, _ = label_model(votes, shown, known)
 
@@ -234,11 +252,8 @@ def fit_toxicity(
                 # An insult that the sample lacks weighs as much as its kind's voter deserves.
                 beta[stem_ids[c]] = 0.5 * float(np.log(table[1][j][2] / table[0][j][2]))
     z = np.array([beta[r].sum() + beta[-1] for r in rows])
-    if 0 < y.sum() < len(y):
-        slope, base = fit_logistic((z / 4)[:, None], y, w)
-        calibration = (max(slope, 0.0) / 4, base)
-    else:
-        calibration = (1.0, 0.0)
+    slope, base = fit_logistic((z / 4)[:, None], y, w)
+    calibration = (max(slope, 0.0) / 4, base)
     accuracy = {name: (float(table[1][j][2]), float(table[0][j][2])) for j, name in enumerate([*lexicons, *patterns])}
     return ToxicityModel(stem_ids, beta, calibration, accuracy)
 
@@ -280,8 +295,9 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
 def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and score (0 to 1, higher: likelier toxic) of every row, from its whole text.
 
-    Null and empty texts have the score of a text without any feature. Rows repeat as they
-    are; other columns are left out. Nothing is shuffled.
+    Null and empty texts have the score of a text without any feature. Texts of any length
+    are read whole. Rows repeat as they are, an empty table stays empty; other columns are
+    left out. Nothing is shuffled.
     """
     return docs.select(docs[key], toxicity_score(model, docs[text]).alias("score"))
 

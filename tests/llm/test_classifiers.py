@@ -66,8 +66,12 @@ def test_toxicity_on_held_out_rows(spark, frame, corpus, odd_rows):
     assert len(scored) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in scored)
     kept = toxicity.drop_toxic(frame(odd_rows), model)
     assert kept.columns == frame([]).columns and kept.count() == len(odd_rows)
-    unlabelled = toxicity.fit_toxicity(frame([]), marks.limit(0), F.lit(True))
-    assert toxicity.score_toxicity(frame(odd_rows), unlabelled).count() == len(odd_rows)
+    said = frame([(1, "a calm text", "s"), (2, "you stupid idiot moron", "s"), (3, None, "s"), (4, "what a clown", "s")])
+    for few in (marks.limit(0), marks.where("toxic = 1"), marks.where("toxic = 0")):
+        unlabelled = toxicity.fit_toxicity(frame(rows), few, F.lit(True))
+        score = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(said, unlabelled).collect()}
+        assert score[1] == score[3] < 0.1 and 0.3 < score[4] < score[2]
+        assert toxicity.drop_toxic(frame(odd_rows), unlabelled).count() == len(odd_rows)
     assert toxicity.drop_toxic(frame([]), model).count() == 0
 
 
