@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railyard.llm import (
@@ -41,8 +41,9 @@ ORACLES["op3_mix"] = r"""
 WITH d AS (
   SELECT doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS draw
-  FROM documents),
+         CAST('0x' || substr(md5(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(source, '') || '|'
+           || md5(coalesce(text, ''))) || '|' || CAST(copy AS VARCHAR)), 1, 15) AS BIGINT) AS draw
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, source, text) AS copy FROM documents)),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
@@ -145,9 +146,46 @@ def op1_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def _log_of_a_turn() -> Column:
+    """The events that leave one turn (message, role, text) behind, as a chat server logs them.
+
+    By turns, a message is streamed in pieces; or drafted, answered too early and then
+    edited, which voids the answer; or streamed wrongly and regenerated.
+    """
+    third = F.floor(F.length("text") / 3).cast("int")
+    pieces = [
+        F.substring("text", F.lit(1), third),
+        F.substring("text", third + 1, third),
+        F.substring("text", 2 * third + 1, F.length("text")),
+    ]
+    none = F.lit(None).cast("string")
+
+    def log(*steps: tuple) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    (F.col("message") * 16 + n).alias("seq"),
+                    F.lit(kind).alias("kind"),
+                    (F.col("message") + later).alias("message"),
+                    role.alias("role"),
+                    text.alias("text"),
+                )
+                for n, (kind, later, role, text) in enumerate(steps)
+            ]
+        )
+
+    role, empty, wrong = F.col("role"), F.lit(""), F.reverse("text")
+    stream = [("delta", 0, none, p) for p in pieces]
+    streamed = log(("message", 0, role, empty), *stream)
+    edited = log(("message", 0, role, pieces[0]), ("delta", 0, none, wrong), ("message", 1, none, wrong), ("edit", 0, none, F.col("text")))
+    again = log(("message", 0, role, empty), ("delta", 0, none, wrong), ("regenerate", 0, none, none), *stream)
+    way = F.pmod(F.col("conv") + F.col("message"), F.lit(3))
+    return F.when(way == 0, edited).when(way == 1, again).otherwise(streamed)
+
+
 @_register
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation formatted, and what can be read back from the output."""
+    """Every conversation, logged event by event, folded, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.range(2, numPartitions=1).select(
         F.lit(-7).cast("bigint").alias("conv_id"),
@@ -156,14 +194,8 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("bigint")
-    events = rows.unionByName(forged).select(
-        F.col("conv_id").alias("conv"),
-        place.alias("seq"),
-        F.lit("message").alias("kind"),
-        place.alias("message"),
-        "role",
-        "text",
-    )
+    placed = rows.unionByName(forged).select(F.col("conv_id").alias("conv"), place.alias("message"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    events = placed.select("conv", F.explode(_log_of_a_turn()).alias("e")).select("conv", "e.*")
     done = chat.format_conversations(events)
     back = done.select(
         F.col("conv").alias("conv_id"),
@@ -290,17 +322,17 @@ WITH p AS (
                                       '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
-i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM w),
+i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM w),
 g AS (
-  SELECT lang, k, array_to_string(words[at:at + k - 1], ' ') AS phrase
-  FROM i, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE at + k - 1 <= len(words)),
+  SELECT lang, k, array_to_string(words[pos:pos + k - 1], ' ') AS phrase
+  FROM i, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE pos + k - 1 <= len(words)),
 f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
 n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k > 1 AND f >= 30),
 s AS (
-  SELECT lang, a AS longer, words, k, size, unnest(range(1, k - size + 2)) AS at
+  SELECT lang, a AS longer, words, k, size, unnest(range(1, k - size + 2)) AS pos
   FROM c, (SELECT unnest([2, 3]) AS size) WHERE size < k),
-b AS (SELECT lang, array_to_string(words[at:at + size - 1], ' ') AS phrase, max(longer) AS longer FROM s GROUP BY 1, 2),
+b AS (SELECT lang, array_to_string(words[pos:pos + size - 1], ' ') AS phrase, max(longer) AS longer FROM s GROUP BY 1, 2),
 o AS (
   SELECT c.* FROM c LEFT JOIN b ON b.lang = c.lang AND b.phrase = c.phrase
   WHERE b.longer IS NULL OR 100 * CAST(b.longer AS HUGEINT) < 80 * CAST(c.a AS HUGEINT)),

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from railyard.llm import mixing
+from tests.llm.conftest import prose
 
 
 def water_fill(sizes, weights, share, most):
@@ -46,7 +48,7 @@ def test_targets_and_draws(frame, odd_rows):
     largest = defaultdict(int)
     for _, text, source in rows:
         largest[source] = max(largest[source], size(text))
-    for source in sizes:  # nearest whole rows, rows of one key together
+    for source in sizes:  # nearest whole rows
         assert abs(taken[source] - want[source]) <= largest[source]
 
 
@@ -54,12 +56,16 @@ def test_mixed_rows_keep_their_columns(frame, odd_rows):
     docs = frame(odd_rows)
     weights = mixing.cyclic_weights(docs, "source", (3, 1, 2))
     words = {}
-    for r in mixing.taken_words(docs, weights).collect():
+    for r in mixing.taken_words(docs.select("doc_id", "source", "text"), weights).collect():
         words[r["doc_id"], r["size"]] = words.get((r["doc_id"], r["size"]), 0) + r["taken"]
-    out = mixing.mix(docs, weights)
-    assert out.columns == docs.columns
+    out = mixing.mix(docs.select("text", "source", "doc_id"), weights)
+    assert out.columns == ["text", "source", "doc_id"]
     total = sum(len((r["text"] or "").split()) for r in out.collect())
     assert total == sum(words.values())
+    # Other columns tell rows apart too, so the draws are others, not the targets.
+    wide = mixing.mix(docs, weights)
+    assert wide.columns == docs.columns
+    assert abs(sum(len((r["text"] or "").split()) for r in wide.collect()) - total) < 0.1 * total
     assert mixing.mix(frame([]), mixing.cyclic_weights(frame([]), "source", (3, 1, 2))).count() == 0
 
 
@@ -70,6 +76,41 @@ def test_infeasible_budget_is_clamped(spark, frame):
     assert [got[i]["taken"] for i in (1, 2, 3)] == [4, 2, 0]
 
 
+def test_null_and_repeated_keys_reach_the_target(frame):
+    rng = random.Random(3)
+    rows = [(None if i < 900 else i, prose(rng, rng.randint(1, 20)), "a") for i in range(1000)]
+    rows += [(5, "one two three four", "b")] * 700 + [(None, "x y", "c")] * 400 + [(6, "z", "c")] * 5
+    docs = frame(rows)
+    weights = mixing.cyclic_weights(docs, "source", (3, 1, 2))
+    want = {}
+    taken = defaultdict(int)
+    got = mixing.taken_words(docs, weights).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        taken[r["source_size"]] += r["taken"]
+        want[r["source_size"]] = r["target"]
+    assert all(abs(taken[s] - want[s]) <= 20 for s in want) and len(want) == 3
+    out = mixing.mix(docs, weights)
+    words = defaultdict(int)
+    for r in out.collect():
+        words[r["source"]] += len(r["text"].split())
+    assert all(min(abs(w - t) for t in want.values()) <= 20 for w in words.values())
+
+
+def test_helper_names_may_be_taken(spark):
+    rows = [(i, f"w{i} " * (i % 5), "ab"[i % 2], 77, "k", 3) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string, __repeats int, __plan string, copy int")
+    out = mixing.mix(docs, mixing.cyclic_weights(docs, "source", (3, 1, 2)))
+    assert out.columns == docs.columns and {(r["__repeats"], r["__plan"], r["copy"]) for r in out.collect()} == {(77, "k", 3)}
+
+
+def test_very_many_copies_are_counted_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_COPIES", 7)
+    rows = spark.createDataFrame([("a", 30), ("b", 7), ("c", 1)], "k string, n bigint")
+    got = mixing._each_copy(rows, "n", "copy").collect()
+    assert sorted((r["k"], r["copy"]) for r in got) == [(k, i) for k, n in (("a", 30), ("b", 7), ("c", 1)) for i in range(1, n + 1)]
+
+
 def test_draw_is_md5(spark):
-    row = spark.range(5, 6).withColumn("d", mixing.draw(F.col("id"), "mix")).first()
-    assert row["d"] == int(hashlib.md5(b"mix|5").hexdigest()[:15], 16)
+    row = spark.range(1).select(mixing.draw(F.lit("name"), 1).alias("d")).first()
+    assert row["d"] == int(hashlib.md5(b"name|1").hexdigest()[:15], 16)
