@@ -267,10 +267,19 @@ def test_border_csv_binds_columns_by_name(spark, tmp_path):
     land("dot1_0431.csv", swapped, one | {"MONTH": "04", "VALUE": "7", "EXTRA": "x"})
     land("dot1_ytd_0431.csv", first, one, one | {"MONTH": "04", "VALUE": "7"})
     land("Dot3_0331.csv", third, common | {"TRDTYPE": "2", "COUNTRY": "2010", "DISAGMOT": "1", "VALUE": "3", "COMMODITY2": "44"})
-    rows = N.norm_transborder(border.scan_transborder_csv(spark, str(tmp_path))).collect()
+    odd = tmp_path / "a [b]{c} *"
+    odd.mkdir()
+    (odd / "dot1_0531.csv").write_text(",".join(first) + "\n" + csv_row(first, **one | {"VALUE": "8"}) + "\n")
+    (odd / "dot2_0531.csv").write_text("no header\n1,2\n")
+    scan = border.scan_transborder_csv(spark, str(tmp_path))
+    plan = scan._jdf.queryExecution().toString()
+    # Three layouts; a byte-order mark makes no other. Each is one scan, and no row is joined.
+    assert "Join" not in plan and plan.count("FileScan csv") == len({tuple(first), tuple(swapped), tuple(third)})
+    rows = N.norm_transborder(scan).collect()
     got = sorted((r["source_file"], r["value_usd"], r["trade_type"], r["us_state"], r["mode"]) for r in rows)
     assert got == [
         ("dot1", 7.0, "import", "TX", "rail"),
+        ("dot1", 8.0, "import", "TX", "rail"),
         ("dot1", 100.0, "import", "TX", "rail"),
         ("dot3", 3.0, "export", None, "vessel"),
     ]
