@@ -46,6 +46,27 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+#: Bits of the filters below; a filter is a table of at most 2**18 rows, whatever it holds.
+FILTER_BITS = 1 << 24
+
+
+def bit_filter(values: Column, rows: DataFrame, word: str, mask: str) -> DataFrame:
+    """(word, mask): the bits that the hashes of some values set in a bitmap of fixed size."""
+    bit = F.pmod(F.xxhash64(values), F.lit(FILTER_BITS))
+    return (
+        rows.select(bit.alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias(word))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias(mask))
+    )
+
+
+def bit_hit(value: Column, word: str, mask: str) -> Column:
+    """Whether a value may be in the filter; never false for one that is."""
+    bit = F.pmod(F.xxhash64(value), F.lit(FILTER_BITS))
+    held = F.call_function("shiftrightunsigned", F.col(mask), (bit % 64).cast("int"))
+    return (F.shiftright(bit, 6) == F.col(word)) & (held.bitwiseAND(F.lit(1).cast("bigint")) == 1)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import free_name, staged, word_count
+from railyard.llm.common import bit_filter, bit_hit, free_name, staged, word_count
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -32,12 +32,14 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """The windows of all documents: key, digest, first, last, mark, mark_pos, name, name2.
+    """The windows of all documents: key, digest, first, last, mark, mark_pos, shared, name, name2.
 
     A window starts or ends at every line and reaches just far enough to hold ``min_words``
     words. Its mark is the least line hash in it (of equal ones the last); its names are
-    hashes of all its lines, from two independent hashes of each line.
+    hashes of all its lines, from two independent hashes of each line. ``shared`` is the
+    mark's own, where ``lines`` has that column.
     """
+    shared = F.col("shared") if "shared" in lines.columns else F.lit(False)
     doc = Window.partitionBy("key", "digest")
     frames = (
         doc.orderBy("before").rangeBetween(0, min_words - 1),
@@ -51,15 +53,14 @@ def _windows(lines: DataFrame, min_words: int) -> DataFrame:
             F.min("pos").over(frame).alias("first"),
             F.max("pos").over(frame).alias("last"),
             F.sum("words").over(frame).alias("held"),
-            F.min(F.struct("hash", (-F.col("pos")).alias("back"))).over(frame).alias("least"),
+            F.min(F.struct("hash", (-F.col("pos")).alias("back"), shared.alias("shared"))).over(frame).alias("least"),
             F.xxhash64(F.collect_list("hash").over(frame)).alias("name"),
             F.xxhash64(F.collect_list("hash2").over(frame)).alias("name2"),
         ).where(F.col("held") >= min_words)
 
     found = windows(frames[0]).unionByName(windows(frames[1]))
-    return found.select(
-        "key", "digest", "first", "last", "name", "name2", F.col("least.hash").alias("mark"), (-F.col("least.back")).alias("mark_pos")
-    )
+    mark = [F.col("least.hash").alias("mark"), (-F.col("least.back")).alias("mark_pos"), "least.shared"]
+    return found.select("key", "digest", "first", "last", "name", "name2", *mark)
 
 
 def marks(lines: DataFrame, min_words: int) -> DataFrame:
@@ -103,11 +104,10 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     shared = staged(shared, "shared-marks")
     joined = staged(found.join(shared.hint("merge"), "mark", "left_semi").drop("mark"), "joined-marks")
     of = joined.select(F.col("key").alias("of_key"), F.col("digest").alias("of_digest"), F.col("mark_pos").alias("of_pos"))
-    same_doc = F.col("key").eqNullSafe(F.col("of_key")) & (F.col("digest") == F.col("of_digest"))
-    theirs = lines.join(of.select("of_key", "of_digest").distinct().hint("merge"), same_doc, "left_semi")
-    through = same_doc & (F.col("mark_pos") == F.col("of_pos"))
-    near = _windows(theirs, min_words).join(of.hint("merge"), through, "left_semi")
-    near = staged(near.drop("mark", "mark_pos"), "shared-windows")
+    here = F.col("key").eqNullSafe(F.col("of_key")) & (F.col("digest") == F.col("of_digest")) & (F.col("pos") == F.col("of_pos"))
+    told = lines.join(of.hint("merge"), here, "left").withColumn("shared", F.col("of_pos").isNotNull())
+    near = _windows(told, min_words).where("shared").drop("mark", "mark_pos", "shared")
+    near = staged(near, "shared-windows")
     order = F.struct(F.col("key").isNull().alias("no_key"), "key", "digest", "first")
     origin = near.groupBy("name", "name2").agg(F.min(order).alias("origin"), F.max(order).alias("latest"))
     origin = staged(origin.where("origin < latest").select("name", "name2", "origin"), "window-origins")
@@ -144,25 +144,35 @@ def dedup_lines(
     the order.
     """
     runs = repeated_runs(docs, key, text, min_words)
-    of_key, of_digest, of_runs, digest = (free_name(docs, n) for n in ("run_key", "run_digest", "runs", "digest"))
+    of_key, of_digest, of_runs, digest, word, mask = (
+        free_name(docs, n) for n in ("run_key", "run_digest", "runs", "digest", "word", "mask")
+    )
     runs = runs.select(F.col("key").alias(of_key), F.col("digest").alias(of_digest), F.col("runs").alias(of_runs))
-    joined = docs.withColumn(digest, F.xxhash64(docs[text])).join(
-        runs.hint("shuffle_hash"), docs[key].eqNullSafe(F.col(of_key)) & (F.col(digest) == F.col(of_digest)), "left"
+    runs = staged(runs, "runs")
+    # Texts without a run, mostly far more, need no shuffle: a filter of fixed size tells.
+    rows = docs.withColumn(digest, F.xxhash64(docs[text]))
+    words = F.broadcast(bit_filter(F.col(of_digest), runs, word, mask))
+    hit = bit_hit(F.col(digest), word, mask)
+    clean = rows.join(words, hit, "left_anti").withColumn(of_runs, F.lit(None).cast(runs.schema[of_runs].dataType))
+    found = rows.join(words, hit, "left_semi").join(
+        runs.hint("shuffle_hash"), F.col(f"`{key}`").eqNullSafe(F.col(of_key)) & (F.col(digest) == F.col(of_digest)), "left"
     )
-    lines = F.split(docs[text], "\n")
+    joined = clean.unionByName(found.drop(of_key, of_digest))
+    body = f"`{text}`"
+    lines = F.split(F.col(body), "\n")
     starts = F.concat(F.array(F.lit(0)), F.transform(of_runs, lambda r: r["last"] + 1))
     stops = F.concat(F.transform(of_runs, lambda r: r["first"]), F.array(F.size(lines)))
     parts = F.transform(
         F.arrays_zip(starts.alias("a"), stops.alias("z")),
         lambda p: F.slice(lines, p["a"] + 1, F.greatest(p["z"] - p["a"], F.lit(0))),
     )
-    kept = F.when(F.col(of_runs).isNull(), docs[text]).otherwise(F.array_join(F.flatten(parts), "\n"))
+    kept = F.when(F.col(of_runs).isNull(), F.col(body)).otherwise(F.array_join(F.flatten(parts), "\n"))
     replaced = ("lines", "removed_lines") if report else ()
-    columns = [kept.alias(c) if c == text else docs[c] for c in docs.columns if c.lower() not in replaced]
+    columns = [kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c.lower() not in replaced]
     if report:
         gone = F.aggregate(of_runs, F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
         columns += [
-            F.when(docs[text].isNull(), 0).otherwise(F.size(lines)).cast("long").alias("lines"),
+            F.when(F.col(body).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("lines"),
             F.coalesce(gone, F.lit(0)).cast("long").alias("removed_lines"),
         ]
     return joined.select(*columns)
