@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_COLUMNS, BORDER_VIEWS
 from railyard.functions import raw_json, view_tag
+from railyard.functions.stages import evaluate_beside, evaluate_once
 from railyard.sources.archives import filter_members
 from railyard.sources.ranged import Opener, list_files, open_file
 
@@ -106,10 +107,10 @@ def _names(header: Column) -> Column:
     return F.transform(F.split(bare, ","), lambda x: F.trim(F.trim(x), F.lit('"')))
 
 
-def _pick(column: str) -> Column:
-    """The value under a name; null where the header lacks the name."""
-    at = F.array_position("names", F.lit(column)).cast("int")
-    return F.when(at > 0, _blank(F.get("values", at - 1))).alias(column)
+def _pick(at: int) -> Column:
+    """The value of a border column; null where the header lacks its name."""
+    spot = F.get("spots", F.lit(at))
+    return F.when(spot > 0, _blank(F.get("values", spot - 1))).alias(BORDER_COLUMNS[at])
 
 
 def parse_csv_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
@@ -120,17 +121,22 @@ def parse_csv_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
     number; the widest header is counted first.  The result keeps ``archive`` and ``member``.
     """
     names = _names(_decoded(F.col("header"), F.lit("UTF-8")))
-    known = headers.select("archive", "member", "view", names.alias("names"))
+    known = evaluate_once(headers, "archive", "member", "view", names.alias("names"))
     width = known.agg(F.max(F.size("names")).alias("n")).first()["n"] or 1
     schema = ", ".join(f"c{i} string" for i in range(width))
+    # Names are looked up once for each member, not for each line.
+    spots = [F.array_position("names", F.lit(c)).cast("int") for c in BORDER_COLUMNS]
+    known = evaluate_once(known, "archive", "member", "view", F.array(*spots).alias("spots"))
     text = _decoded(F.col("line"), F.col("encoding"))
     fields = F.from_csv(text, F.lit(schema)).alias("f")
     body = lines.where("line_no > 0 AND line IS NOT NULL AND octet_length(line) > 0")
-    kept = ["archive", "member", "names", "view"]
-    parsed = body.join(known, ["archive", "member"]).select(*kept, fields)
-    values = parsed.select(*kept, F.array(*[f"f.c{i}" for i in range(width)]).alias("values"))
-    picked = [_pick(c) for c in BORDER_COLUMNS]
-    rows = values.select("archive", "member", *picked, F.col("view").alias("source_file"))
+    kept = ["archive", "member", "spots", "view"]
+    # A line is parsed in a stage of its own: pasted into what reads its fields, filters and
+    # the record among them, the parse would run for each field again.
+    parsed = evaluate_once(body.join(known, ["archive", "member"]), *kept, fields)
+    values = evaluate_once(parsed, *kept, F.array(*[f"f.c{i}" for i in range(width)]).alias("values"))
+    picked = evaluate_beside(values, *[_pick(i) for i in range(len(BORDER_COLUMNS))])
+    rows = picked.select("archive", "member", *BORDER_COLUMNS, F.col("view").alias("source_file"))
     return rows.withColumn("raw_record", raw_json(*BORDER_COLUMNS))
 
 

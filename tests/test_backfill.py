@@ -1,9 +1,9 @@
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_VIEWS
-from railyard.operators import backfill
+from railyard.operators import backfill, normalize
 from railyard.plans import jobs
-from railyard.sources import archives, store_scan
+from railyard.sources import archives, border, store_scan
 from tests.test_sources import archive_frame, make_zip
 
 D1, D2, D3 = (BORDER_VIEWS[v] + "\n" for v in ("dot1", "dot2", "dot3"))
@@ -131,3 +131,17 @@ def test_missing_partitions(spark):
     assert [tuple(r) for r in backfill.missing_partitions(wanted, stored).collect()] == [(2020, 2)]
     assert backfill.missing_partitions(wanted, stored, force=True).count() == 2
     assert backfill.except_months(wanted, stored).agg(F.max("month")).first()[0] == 2
+
+
+def test_a_line_is_parsed_once(spark):
+    line = "archive string, member string, line_no bigint, line binary, encoding string, error string"
+    lines = spark.createDataFrame([("a", "m", 1, b"1220,x,1,01,2024,5", "UTF-8", None)], line)
+    head = "archive string, member string, header binary, view string"
+    heads = spark.createDataFrame([("a", "m", b"COUNTRY,other,TRDTYPE,MONTH,YEAR,VALUE", "dot1")], head)
+    rows = border.parse_csv_lines(lines, heads)
+    typed = normalize.norm_transborder(rows)
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+    row = typed.first()
+    assert (row["country"], row["value_usd"], row["us_state"]) == ("CA", 5.0, None)
+    assert rows.first()["SHIPWT"] is None
