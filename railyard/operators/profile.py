@@ -175,6 +175,41 @@ def _value(df: DataFrame, name: str) -> Column:
 _Span = tuple[str, float, float, int, list[int]]
 
 
+def _held(df: DataFrame, values: dict[str, Column], spans: list[_Span]) -> DataFrame:
+    """(span, below, v, n): how many rows lie below each interval, and the values inside.
+
+    A row gives one entry for each column. Its place among the column's intervals is a code
+    with a digit for each: 0 below, 1 inside, 2 above. Bounds are looked up in literal arrays,
+    which keeps the code of the pass short enough to be compiled.
+    """
+    of = {c: [i for i, s in enumerate(spans) if s[0] == c] for c in dict.fromkeys(s[0] for s in spans)}
+    most = max(len(own) for own in of.values())
+    flat = df.select(F.posexplode(F.array(*[values[c] for c in of])).alias("at", "v")).where("v IS NOT NULL")
+    nowhere = float("nan")
+    code, inside = F.lit(0), F.lit(False)
+    for k in range(most):
+        low, high = (
+            F.get(F.array(*[F.lit(float(spans[own[k]][b]) if k < len(own) else nowhere) for own in of.values()]), F.col("at"))
+            for b in (1, 2)
+        )
+        digit = F.when(F.col("v") < low, 0).when(F.col("v") <= high, 1).otherwise(2)
+        code, inside = code + digit * 3**k, inside | (digit == 1)
+    places = flat.groupBy("at", code.alias("code"), F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    entries = []
+    for a, own in enumerate(of.values()):
+        for k, i in enumerate(own):
+            digit = F.when(F.col("at") == a, F.floor(F.col("code") / 3**k) % 3)
+            entries.append(
+                F.struct(
+                    F.lit(i).alias("span"),
+                    F.coalesce(digit == 0, F.lit(False)).alias("below"),
+                    F.when(digit == 1, F.col("v")).alias("v"),
+                    F.col("n"),
+                )
+            )
+    return places.select(_rows(entries)).where("below OR v IS NOT NULL")
+
+
 def _close_in(
     df: DataFrame, values: dict[str, Column], spans: list[_Span], found: dict[tuple[str, int], float], bins: int
 ) -> list[tuple[str, list[int]]]:
@@ -186,17 +221,8 @@ def _close_in(
     if not spans:
         return []
     spark = df.sparkSession
-    entries = [
-        F.struct(
-            F.lit(i).alias("span"),
-            F.coalesce(values[c] < low, F.lit(False)).alias("below"),
-            F.when(values[c].between(low, high), values[c]).alias("v"),
-        )
-        for i, (c, low, high, _, _) in enumerate(spans)
-    ]
-    held = df.select(_rows(entries)).where("below OR v IS NOT NULL")
     stage = work_dir(spark, "brackets")
-    held.groupBy("span", "below", "v").agg(F.count(F.lit(1)).alias("n")).write.parquet(stage)
+    _held(df, values, spans).write.parquet(stage)
     cells = spark.read.parquet(stage)
     facts = cells.groupBy("span").agg(
         F.sum(F.when(F.col("below"), F.col("n"))).alias("below"),

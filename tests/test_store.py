@@ -412,6 +412,25 @@ def test_describe_brackets_that_miss_fall_back(spark, monkeypatch):
         assert row["w"]["q50"] == 7 and row["v"]["count"] == 5000
 
 
+def test_brackets_give_one_entry_for_a_row_and_column(spark):
+    names = [f"c{i}" for i in range(8)]
+    df = spark.range(40).select(*[(F.col("id") + i).cast("double").alias(c) for i, c in enumerate(names)])
+    spans = [(c, float(10 * j), float(10 * j + 2), 0, [0]) for c in names for j in (1, 2, 3)]
+    held = profile._held(df, {c: F.col(c) for c in names}, spans)
+    want = {}
+    for i, (c, low, high, _, _) in enumerate(spans):
+        for v in (float(k + names.index(c)) for k in range(40)):
+            if v < low or v <= high:
+                key = (i, v < low, None if v < low else v)
+                want[key] = want.get(key, 0) + 1
+    sums = {}
+    for r in held.collect():
+        sums[r["span"], r["below"], r["v"]] = sums.get((r["span"], r["below"], r["v"]), 0) + r["n"]
+    assert sums == want
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and plan.count("inline(") == 1 and plan.index("inline(") < plan.index("Aggregate")
+
+
 def test_sources_run_side_by_side(spark, tmp_path):
     spans = {}
 
