@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from railyard.constants import CUMULATIVE_MEMBER, LEGACY_MEMBER, MONTHLY_MEMBER
 from railyard.functions import release_month, strip
+from railyard.functions.stages import evaluate_beside
 from railyard.sources.archives import classify_view
 
 
@@ -161,8 +162,9 @@ def register_members(members: DataFrame) -> DataFrame:
         named(LEGACY_MEMBER, "monthly", legacy_view, 1, 2),
     )
     kept = [c for c in members.columns if c not in ("kind", "year", "month", "view")]
-    tagged = members.select(*kept, found.alias("_f")).where("_f.view IS NOT NULL")
-    return tagged.select(*kept, "_f.*")
+    # One stage: pasted into the filter and into each field, the patterns would run five times.
+    tagged = evaluate_beside(members.select(*kept), found.alias("_f"))
+    return tagged.where("_f.view IS NOT NULL").select(*kept, "_f.*")
 
 
 def prefer_outer_members(registered: DataFrame) -> DataFrame:

@@ -145,3 +145,12 @@ def test_a_line_is_parsed_once(spark):
     row = typed.first()
     assert (row["country"], row["value_usd"], row["us_state"]) == ("CA", 5.0, None)
     assert rows.first()["SHIPWT"] is None
+
+
+def test_a_member_is_matched_once(spark):
+    names = ["a/dot1_0108.csv", "dot2_ytd_0308.csv", "x.csv", None]
+    members = spark.createDataFrame([("a.zip", n, False) for n in names], "archive string, member string, inner boolean")
+    found = backfill.register_members(members)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 3
+    assert {(r["kind"], r["view"], r["month"]) for r in found.collect()} == {("monthly", "dot1", 1), ("ytd", "dot2", 3)}
