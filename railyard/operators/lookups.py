@@ -7,6 +7,7 @@ most twelve rows, and for a caller's own dimension Spark compares its real size
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,22 +15,30 @@ from railyard.constants import COUNTRY_CODES, INDEX_SERIES, MODE_LABELS, OCEAN_R
 from railyard.functions import strip
 
 
+def _literal(spark: SparkSession, rows: list[tuple], *columns: str) -> DataFrame:
+    """A relation whose rows stand in the plan.
+
+    Rows that Spark gets as an Arrow table have a known size; those of a list are an RDD of
+    unknown size, for which a join would shuffle and sort the other side.
+    """
+    schema = pa.schema([(c, pa.string()) for c in columns])
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(columns, r, strict=True)) for r in rows], schema))
+
+
 def mode_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(MODE_LABELS.items()), "code string, mode string")
+    return _literal(spark, list(MODE_LABELS.items()), "code", "mode")
 
 
 def country_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(COUNTRY_CODES.items()), "code string, country string")
+    return _literal(spark, list(COUNTRY_CODES.items()), "code", "country")
 
 
 def route_dimension(spark: SparkSession) -> DataFrame:
-    schema = "route_code string, description string, origin string, destination string"
-    return spark.createDataFrame(OCEAN_ROUTES, schema)
+    return _literal(spark, OCEAN_ROUTES, "route_code", "description", "origin", "destination")
 
 
 def series_dimension(spark: SparkSession) -> DataFrame:
-    schema = "series_id string, title string, source string, units string"
-    return spark.createDataFrame(INDEX_SERIES, schema)
+    return _literal(spark, INDEX_SERIES, "series_id", "title", "source", "units")
 
 
 def lookup_mode(df: DataFrame, modes: DataFrame, code: str = "DISAGMOT") -> DataFrame:

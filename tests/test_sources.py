@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from railyard.constants import BORDER_VIEWS
+from railyard.constants import BORDER_VIEWS, INDEX_SERIES
 from railyard.operators import lookups
 from railyard.operators import normalize as N
 from railyard.sources import archives, border, cube, feeds, releases
@@ -132,6 +132,15 @@ def test_observations_and_routes(spark):
     assert tuple(feeds.failed_routes(responses).first()) == (5, 1)
 
 
+def test_known_routes_do_not_move_the_rates(spark):
+    response = spark.range(1).selectExpr("'CNSHA' AS origin", "'USLAX' AS destination", "'40GP' AS container", "'{}' AS payload")
+    rates = feeds.unwrap_rate_payload(response, lookups.route_dimension(spark))
+    plan = rates._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert rates.count() == 1
+    assert lookups.series_dimension(spark).count() == len(INDEX_SERIES)
+
+
 def test_feed_items_and_links(spark):
     item = "<item><title>{}</title>{}</item>"
     link = "<link>https://x/{}</link>"
