@@ -483,3 +483,11 @@ def test_profile_of_a_grown_store_reads_only_what_changed(spark, tmp_path):
         assert r["unique"] is None or abs(got[c]["unique"] - r["unique"]) <= 0.03 * r["unique"]
     assert want["dot_number"]["unique"] == 4501 and got["state"]["unique"] == 3
     assert profiles.profile_stored(spark, str(tmp_path / "none"), name).count() == 0
+
+
+def test_csv_copy_is_packed(spark, feed, tmp_path):
+    rows = cars(feed, ("2020-01-15", "A,B", "1"), ("2020-01-16", 'x"y', "2"))
+    assert store.write_csv_copy(rows, str(tmp_path), "rail_carloadings")
+    copy = spark.read.option("header", "true").csv(store.csv_path(str(tmp_path), "rail_carloadings"))
+    assert all(f.endswith(".csv.gz") for f in copy.inputFiles())
+    assert {(r["railroad"], r["carloads"]) for r in copy.collect()} == {("A,B", "1.0"), ('x"y', "2.0")}
