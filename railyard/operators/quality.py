@@ -19,13 +19,13 @@ def with_reasons(df: DataFrame, name: str) -> DataFrame:
 def quarantine(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their reasons).
 
-    Both leave one evaluation: a staged write with a folder for each, which they are read
-    from.
+    Both leave one evaluation: a staged write, which they are read from.  It has no folder for
+    each, as every task would have to sort its rows into them, on disk where they are many.
     """
     spark = df.sparkSession
     stage = work_dir(spark, f"checked-{name}")
     checked = with_reasons(df, name).withColumn("_rejected", F.size("reject_reasons") > 0)
-    checked.write.partitionBy("_rejected").parquet(stage)
+    checked.write.option("compression", "zstd").parquet(stage)
     rows = spark.read.schema(checked.schema).parquet(stage)
     valid = rows.where("NOT _rejected").drop("_rejected", "reject_reasons")
     return valid, rows.where("_rejected").drop("_rejected")

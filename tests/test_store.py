@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from railyard.constants import BORDER_COLUMNS
-from railyard.operators import dedup, filters, profile, report
+from railyard.operators import dedup, filters, profile, quality, report
 from railyard.operators import normalize as N
 from railyard.plans import jobs, profiles
 from railyard.schemas import TABLES, table
@@ -491,3 +491,15 @@ def test_csv_copy_is_packed(spark, feed, tmp_path):
     copy = spark.read.option("header", "true").csv(store.csv_path(str(tmp_path), "rail_carloadings"))
     assert all(f.endswith(".csv.gz") for f in copy.inputFiles())
     assert {(r["railroad"], r["carloads"]) for r in copy.collect()} == {("A,B", "1.0"), ('x"y', "2.0")}
+
+
+def test_checked_rows_are_staged_as_they_come(spark, feed):
+    good = cars(feed, ("2020-01-15", "A", "1"))
+    bad = good.withColumn("carloads", F.lit(-1.0))
+    valid, rejects = quality.quarantine(good.unionByName(bad), "rail_carloadings")
+    assert (valid.count(), rejects.count()) == (1, 1)
+    assert valid.columns == good.columns and rejects.first()["reject_reasons"]
+    for staged in (valid,):
+        files = staged.inputFiles()
+        assert files and not any("_rejected=" in f or "record_type=" in f for f in files)
+        assert all(".zstd." in f for f in files)
