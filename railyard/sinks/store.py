@@ -286,21 +286,17 @@ def append_run_summaries(runs: DataFrame, root: str) -> None:
 def route_records(df: DataFrame, type_column: str = "record_type") -> dict[str, DataFrame]:
     """One frame per known table, by record type; unknown types are left out.
 
-    The rows are written once, a folder for each type, and every frame reads its own folder:
-    the input is evaluated a single time, however many tables there are and however often
-    they are read.
+    The rows are written once, and every frame reads those of its type: the input is evaluated
+    a single time, however many tables there are and however often they are read.  They are
+    neither shuffled nor sorted by type, which would move several times what is written; row
+    groups without a type are passed over by their statistics.
     """
     spark = df.sparkSession
     stage = work_dir(spark, "routed")
     known = df.where(F.col(type_column).isin(list(TABLES)))
-    known.hint("rebalance", F.col(type_column)).write.partitionBy(type_column).parquet(stage)
-    schema = df.drop(type_column).schema
-    out = {}
-    for name in TABLES:
-        folder = f"{stage}/{type_column}={name}"
-        found = path_exists(spark, folder)
-        out[name] = spark.read.schema(schema).parquet(folder) if found else spark.createDataFrame([], schema)
-    return out
+    known.write.option("compression", "zstd").parquet(stage)
+    rows = spark.read.schema(known.schema).parquet(stage)
+    return {name: rows.where(F.col(type_column) == name).drop(type_column) for name in TABLES}
 
 
 def rejects_path(root: str) -> str:
@@ -338,8 +334,9 @@ def export_compacted(
     """De-duplicate each table into its own compact dataset; returns its statistics.
 
     Tables without rows are skipped, and what an earlier export left of them is removed.
-    Stored files are read strictly.  Files have advisory size: one file per table would
-    pull tens of millions of rows through a single task.  Rows are counted in the
+    Stored files are read strictly.  Rows are written where the aggregate leaves them, dealt
+    by their identity: distinct rows give tasks and files of like size.  One file per table
+    would pull tens of millions of rows through a single task.  Rows are counted in the
     writing stage.
     """
     written = []

@@ -493,13 +493,17 @@ def test_csv_copy_is_packed(spark, feed, tmp_path):
     assert {(r["railroad"], r["carloads"]) for r in copy.collect()} == {("A,B", "1.0"), ('x"y', "2.0")}
 
 
-def test_checked_rows_are_staged_as_they_come(spark, feed):
+def test_checked_and_routed_rows_are_staged_as_they_come(spark, feed):
     good = cars(feed, ("2020-01-15", "A", "1"))
     bad = good.withColumn("carloads", F.lit(-1.0))
     valid, rejects = quality.quarantine(good.unionByName(bad), "rail_carloadings")
     assert (valid.count(), rejects.count()) == (1, 1)
     assert valid.columns == good.columns and rejects.first()["reject_reasons"]
-    for staged in (valid,):
+    routed = store.route_records(good.withColumn("record_type", F.lit("rail_carloadings")))
+    assert routed["rail_carloadings"].collect()[0]["railroad"] == "A"
+    assert routed["rail_carloadings"].columns == good.columns
+    assert routed["ocean_freight_rates"].count() == 0
+    for staged in (valid, routed["rail_carloadings"]):
         files = staged.inputFiles()
         assert files and not any("_rejected=" in f or "record_type=" in f for f in files)
         assert all(".zstd." in f for f in files)
