@@ -346,7 +346,7 @@ def export_compacted(
         if path_exists(spark, table_path(root, name)):
             kept = dedup_keep_latest(scan_table(spark, root, name, skip_corrupt=False))
             seen = Observation(f"export {name}")
-            counted = kept.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows"))
+            counted = kept.observe(seen, F.count(F.lit(1)).alias("rows"))
             counted.write.mode("overwrite").option("compression", "zstd").parquet(target)
             rows = seen.get["rows"]
         if rows:

@@ -507,3 +507,12 @@ def test_checked_and_routed_rows_are_staged_as_they_come(spark, feed):
         files = staged.inputFiles()
         assert files and not any("_rejected=" in f or "record_type=" in f for f in files)
         assert all(".zstd." in f for f in files)
+
+
+def test_rows_are_dealt_before_they_are_combined(spark):
+    rows = [(1, None, 5), (1, None, 7), (2, "x", 1), (2, "x", 1), (2, "y", 1)] * 30
+    df = spark.createDataFrame(rows, "k int, s string, ingested_at int").repartition(3)
+    latest = dedup.dedup_keep_latest(df)
+    assert sorted(map(tuple, latest.collect()), key=str) == [(1, None, 7), (2, "x", 1), (2, "y", 1)]
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression")
