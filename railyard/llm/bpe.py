@@ -54,8 +54,11 @@ class _NewerText:
 _GAPS = regex.compile(r"\p{White_Space}+")
 _ODD_GAPS = regex.compile(r"[\x1c-\x1f]")
 
-#: Chunks whose ids a worker keeps between batches; more chunks only cost time.
-CACHED_CHUNKS = 400_000
+#: Chunks whose ids a worker keeps between batches; beyond that the half that is used most stays.
+CACHED_CHUNKS = 120_000
+
+#: Rows whose texts a worker holds as Python strings, and bytes of text that it encodes at once.
+BATCH_ROWS, SLICE_BYTES = 500, 1_000_000
 
 _NONE = np.iinfo(np.int64).max
 
@@ -232,24 +235,41 @@ class Bpe:
             self.cache[c] = i
         self.flat = np.concatenate([self.flat, got])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + ends])
+        self.uses = np.concatenate([self.uses, np.zeros(len(chunks), dtype=np.int64)])
 
     def _forget(self) -> None:
         self.cache = {f" {t}": i for i, t in enumerate(self.added)}
         self.flat = np.array(list(self.added.values()), dtype=np.uint32)
         self.bounds = np.arange(len(self.added) + 1, dtype=np.int64)
+        self.uses = np.zeros(len(self.added), dtype=np.int64)
+
+    def _thin_out(self) -> None:
+        """Keep the control strings and the chunks that are used most; older uses count half.
+
+        Most chunks of a text occur once; those that come back are few.
+        """
+        first = len(self.added)
+        often = np.argsort(-self.uses[first:], kind="stable")[: CACHED_CHUNKS // 2] + first
+        kept = np.concatenate([np.arange(first), np.sort(often)]).tolist()
+        # A chunk's number is its place in the order of insertion.
+        chunks = list(self.cache)
+        self.flat, ends = _gather(self.flat, self.bounds, kept, [[i] for i in kept])
+        self.bounds = np.concatenate(([0], ends))
+        self.uses = self.uses[kept] // 2
+        self.cache = {chunks[i]: n for n, i in enumerate(kept)}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         chunks = [self._chunks(t) for t in texts]
         if len(self.cache) > CACHED_CHUNKS:
-            self._forget()
+            self._thin_out()
         fresh = list(set().union(*chunks) - self.cache.keys())
         if fresh:
             self._learn(fresh)
         number = self.cache.__getitem__
-        ids, ends = _gather(
-            self.flat, self.bounds, [i for cs in chunks for i in map(number, cs)], chunks
-        )
+        picks = [i for cs in chunks for i in map(number, cs)]
+        self.uses += np.bincount(np.array(picks, dtype=np.int64), minlength=len(self.uses))
+        ids, ends = _gather(self.flat, self.bounds, picks, chunks)
         return np.split(ids, ends[:-1])
 
     def decode(self, ids: np.ndarray) -> str:
@@ -282,9 +302,9 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, z in byte_slices(texts):
+        for rows in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
+            texts = [t or "" for t in rows.column(1).to_pylist()]
+            for a, z in byte_slices(texts, SLICE_BYTES):
                 ids = bpe.encode(texts[a:z])
                 raw = [i.astype("<u4").tobytes() for i in ids]
                 plain = [bpe.decode(i) for i in ids]
@@ -293,7 +313,7 @@ def encode_documents(
                     plain = [hashlib.sha256(p.encode("utf-8")).hexdigest() for p in plain]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, z - a),
+                        rows.column(0).slice(a, z - a),
                         pa.array([len(i) for i in ids], pa.int64()),
                         pa.array(raw, pa.string() if digests else pa.binary()),
                         pa.array(plain, pa.string()),

@@ -40,6 +40,18 @@ def test_forgetting_chunks_changes_nothing(monkeypatch):
     assert first == [x.tolist() for x in bpe.Bpe(PATH).encode(texts)]
 
 
+def test_often_used_chunks_stay(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 60)
+    one = bpe.Bpe(PATH)
+    tool = Tokenizer.from_file(PATH)
+    for i in range(20):
+        text = "often seen <|endoftext|> again " * 3 + " ".join(f"w{i}x{j}" for j in range(20))
+        assert one.encode([text])[0].tolist() == tool.encode(text, add_special_tokens=False).ids
+        assert len(one.cache) == len(one.uses) == len(one.bounds) - 1 <= 60 + len(one.added) + 24
+    assert {"often", "seen", "again"} <= one.cache.keys()
+    assert len(one.flat) == one.bounds[-1]
+
+
 def test_long_words_and_new_letters():
     tool, one = Tokenizer.from_file(PATH), bpe.Bpe(PATH)
     assert one.rising
