@@ -55,7 +55,8 @@ def parse_mmddyy(c: Column, reference_year: int | Column) -> Column:
     """Six digits; the century is the one nearer to the sample's year, 20yy on a tie."""
     ref = reference_year if isinstance(reference_year, Column) else F.lit(reference_year)
     mm, dd, yy = (F.substring(c, start, 2).try_cast("int") for start in (1, 3, 5))
-    year = F.when(F.abs(2000 + yy - ref) <= F.abs(1900 + yy - ref), 2000 + yy).otherwise(1900 + yy)
+    # |2000 + yy - ref| <= |1900 + yy - ref|, with fewer casts of the same two digits.
+    year = yy + F.when(yy <= ref - 1950, 2000).otherwise(1900)
     return _ymd(year, mm, dd)
 
 

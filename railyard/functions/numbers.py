@@ -20,11 +20,13 @@ _NUMBER = (
 def _number_text(c: Column) -> Column:
     """The text as it may be cast to a number, null when it must not be.
 
-    Blank text is sorted out first: a failing cast to double costs a Java exception.
+    Blank text is sorted out first: a failing cast to double costs a Java exception, and the
+    patterns need not look at it.
     """
-    return F.when((c != "") & ~c.rlike(_SUSPECT), c).when(
+    checked = F.when(~c.rlike(_SUSPECT), c).when(
         c.rlike(_NUMBER), F.replace(c, F.lit("_"), F.lit(""))
     )
+    return F.when(c != "", checked)
 
 
 def safe_float(c: Column) -> Column:

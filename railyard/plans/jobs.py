@@ -223,7 +223,11 @@ def backfill_waybills(
 
     Each sample holds several waybill years and is merged into all of them.  Without
     ``force`` a sample is skipped once its own year exists.  Short lines are counted in the
-    pass that writes the others.
+    pass that deals the others.
+
+    Lines are dealt by the two digits of their year, which fix the year within a sample,
+    before they are cut and parsed: that work runs in tasks of even size, however few pieces
+    the input has, and a line is shuffled in place of its parsed columns.
     """
     out: dict[int, dict[str, int]] = {}
     for sample, lines in samples.items():
@@ -233,8 +237,12 @@ def backfill_waybills(
             continue
         seen = Observation(f"sample {sample}")
         short = F.count_if(is_short(F.col("line"))).alias("dropped")
-        cut = slice_fixed_width(lines.observe(seen, short))
+        digits = F.substring(F.col("line").cast("binary"), 5, 2).alias("_digits")
+        dealt = lines.observe(seen, short).select("line", digits).hint("rebalance", "_digits")
+        cut = slice_fixed_width(dealt)
         records = normalize.norm_waybills(cut, sample, ingested_at)
-        written = merge_year_partitions(spark, records, root, "waybill_shipments")
+        written = merge_year_partitions(
+            spark, records, root, "waybill_shipments", laid_out=True
+        )
         out[sample] = {"written": written, "dropped": int(seen.get["dropped"]), "skipped": 0}
     return out

@@ -43,17 +43,20 @@ def _keyed(df: DataFrame, spec: Table, run_date: date | None) -> DataFrame:
     return df.select(*typed, *keys)
 
 
-def _write(df: DataFrame, spec: Table, path: str, fmt: str = "parquet") -> int:
+def _write(
+    df: DataFrame, spec: Table, path: str, fmt: str = "parquet", laid_out: bool = False
+) -> int:
     """Replace exactly the partitions that ``df`` has rows for; returns the row count.
 
     Rows are counted in the writing stage, whose tasks count once even when a lost
-    executor makes earlier stages run again.
+    executor makes earlier stages run again.  ``laid_out`` rows are written where they are.
     """
     keys = spec.partition_columns
     seen = Observation(f"write {spec.name}")
-    laid_out = df.hint("rebalance", *[F.col(k) for k in keys])
+    if not laid_out:
+        df = df.hint("rebalance", *[F.col(k) for k in keys])
     writer = (
-        laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        df.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -84,19 +87,21 @@ def merge_partitions(
     name: str,
     run_date: date | None = None,
     dedup_first_write: bool = False,
+    laid_out: bool = False,
 ) -> int:
     """Merge ``df`` into the partitions it touches; returns the number of new rows.
 
     A partition that exists becomes existing plus new rows, the newest of each
     identity.  One written for the first time keeps copies within the batch unless
-    ``dedup_first_write`` is set.
+    ``dedup_first_write`` is set.  With ``laid_out`` the rows of a partition already lie in
+    few tasks, and the batch is written without another shuffle.
 
     The merge is staged in the work folder (``stage_merge``) and then published by moving
     whole partition folders (``publish_merge``): if that is interrupted, what isn't moved yet
     is still there and the step can be repeated.
     """
     stage = work_dir(spark, f"merge-{name}")
-    new_rows = stage_merge(spark, df, root, name, stage, run_date, dedup_first_write)
+    new_rows = stage_merge(spark, df, root, name, stage, run_date, dedup_first_write, laid_out)
     publish_merge(spark, root, name, stage)
     remove_dir(spark, stage)
     return new_rows
@@ -114,6 +119,7 @@ def stage_merge(
     stage: str,
     run_date: date | None = None,
     dedup_first_write: bool = False,
+    laid_out: bool = False,
 ) -> int:
     """Write to ``stage`` the complete partitions that a merge will publish; returns new rows.
 
@@ -130,7 +136,7 @@ def stage_merge(
         return int(done.split()[0])
     remove_dir(spark, stage)
     spec = table(name)
-    new_rows = _write(_keyed(df, spec, run_date), spec, f"{stage}/batch")
+    new_rows = _write(_keyed(df, spec, run_date), spec, f"{stage}/batch", laid_out=laid_out)
     publish = "nothing"
     if new_rows:
         batch = spark.read.schema(stored_schema(spec)).parquet(f"{stage}/batch")
@@ -228,11 +234,12 @@ def merge_year_partitions(
     name: str,
     run_date: date | None = None,
     dedup_first_write: bool = False,
+    laid_out: bool = False,
 ) -> int:
     """:func:`merge_partitions` for a table kept by year."""
     if table(name).grain != "year":
         raise ValueError(f"{name} is not kept by year")
-    return merge_partitions(spark, df, root, name, run_date, dedup_first_write)
+    return merge_partitions(spark, df, root, name, run_date, dedup_first_write, laid_out)
 
 
 def _partition_name(spec: Table) -> Column:

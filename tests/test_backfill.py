@@ -4,6 +4,7 @@ from railyard.constants import BORDER_VIEWS
 from railyard.operators import backfill, normalize
 from railyard.plans import jobs
 from railyard.sources import archives, border, store_scan
+from tests.test_normalize import waybill
 from tests.test_sources import archive_frame, make_zip
 
 D1, D2, D3 = (BORDER_VIEWS[v] + "\n" for v in ("dot1", "dot2", "dot3"))
@@ -154,3 +155,22 @@ def test_a_member_is_matched_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") == 3
     assert {(r["kind"], r["view"], r["month"]) for r in found.collect()} == {("monthly", "dot1", 1), ("ytd", "dot2", 3)}
+
+
+def test_waybill_lines_are_dealt_before_they_are_parsed(spark, tmp_path):
+    lines = [waybill(waybill_date=f"0101{y:02d}") for y in range(40)] * 2
+    lines += [waybill()[:100], waybill(car_ownership="é", waybill_date="020105")]
+    rows = [(bytearray(x, "latin-1"),) for x in lines]
+    df = spark.createDataFrame(rows, "line binary").coalesce(1)
+    # Where a row is parsed: all in the task that read the lines, if they are not dealt before.
+    task = F.timestamp_seconds(F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        done = jobs.backfill_waybills(spark, {2024: df}, str(tmp_path), ingested_at=task)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert done == {2024: {"written": 81, "dropped": 1, "skipped": 0}}
+    stored = store_scan.scan_table(spark, str(tmp_path), "waybill_shipments")
+    counts = {r["y"]: r["count"] for r in stored.groupBy(F.year("snapshot_date").alias("y")).count().collect()}
+    assert counts == {2000 + y: 3 if y == 5 else 2 for y in range(40)}
+    assert stored.select("ingested_at").distinct().count() > 1
