@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +42,36 @@ def scan_json_feed(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(*columns, keyed.alias("keyed"))
 
 
+def write_pages(rows: DataFrame, path: str, count: int = 64) -> None:
+    """Write rows as JSON pages, each a file that holds an array over many lines.
+
+    A page is written by a task of its own, object by object: it is neither a group nor a
+    value, so its size has no limit.
+    """
+    page = F.pmod(F.xxhash64(*rows.columns), F.lit(count)).cast("int")
+    dealt = rows.repartitionById(count, page)
+    objects = dealt.select(F.to_json(F.struct(*rows.columns), {"pretty": "true"}).alias("value"))
+
+    def array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = "["
+        for batch in batches:
+            texts = []
+            for text in batch.column(0).to_pylist():
+                texts.append(mark + text)
+                mark = ","
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
+        if mark == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]"], pa.string())], ["value"])
+
+    objects.mapInArrow(array, "value string").write.text(path)
+
+
 @query("scan_json_pages", f"SELECT * FROM ({R.INCIDENTS})")
 def scan_json_pages(spark: SparkSession, d: str) -> DataFrame:
     """Every column of a feed whose pages hold arrays over many lines."""
     path = work_dir(spark, "pages")
     rows = raw(spark, d, R.INCIDENTS)
-    page = F.pmod(F.xxhash64(*rows.columns), F.lit(64))
-    objects = F.collect_list(F.to_json(F.struct(*rows.columns), {"pretty": "true"}))
-    pages = rows.groupBy(page.alias("page")).agg(objects.alias("o"))
-    pages.select(F.concat(F.lit("["), F.array_join("o", ",\n"), F.lit("\n]")).alias("value")).write.text(path)
+    write_pages(rows, path)
     return feeds.scan_json_feed(spark, path, rows.columns).drop("raw_record")
 
 
