@@ -245,10 +245,10 @@ def _inflated(file: BinaryIO, place: tuple) -> Iterator[bytes]:
         if not raw:
             raise EOFError("the archive ends within the member")
         left -= len(raw)
-        chunk = unpack.decompress(raw) if unpack else raw
-        seen = zlib.crc32(chunk, seen)
-        if chunk:
-            yield chunk
+        for chunk in _unpacked(unpack, raw):
+            seen = zlib.crc32(chunk, seen)
+            if chunk:
+                yield chunk
     rest = unpack.flush() if method == zipfile.ZIP_DEFLATED else b""
     if zlib.crc32(rest, seen) != crc:
         raise zipfile.BadZipFile(f"Bad CRC-32 for file {name!r}")
@@ -256,6 +256,20 @@ def _inflated(file: BinaryIO, place: tuple) -> Iterator[bytes]:
         yield rest
 
 
+def _unpacked(unpack, raw: bytes) -> Iterator[bytes]:
+    """What packed bytes inflate to, no more than a chunk at a time however dense they are."""
+    if unpack is None:
+        yield raw
+    elif isinstance(unpack, bz2.BZ2Decompressor):
+        yield unpack.decompress(raw, _CHUNK)
+        while not (unpack.needs_input or unpack.eof):
+            yield unpack.decompress(b"", _CHUNK)
+    else:
+        while raw:
+            yield unpack.decompress(raw, _CHUNK)
+            raw = unpack.unconsumed_tail
+
+
 def _first_line(file: BinaryIO, archive: str, place: tuple) -> bytes:
     line = b""
     for chunk in _inflated(file, place):

@@ -242,6 +242,21 @@ def test_members_of_inner_archives(spark):
     assert got == {f"in/side.zip!/{n}": b for n, b in bodies.items()}
 
 
+def test_dense_members_inflate_in_chunks():
+    body = b"0,1\n" * (6 << 20)
+    for method in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", method) as z:
+            z.writestr("m.csv", body)
+            info = z.infolist()[0]
+        place = (None, "m.csv", info.header_offset, info.compress_size, method, info.CRC, False)
+        sizes, got = [], io.BytesIO()
+        for chunk in archives._inflated(packed, place):
+            sizes.append(len(chunk))
+            got.write(chunk)
+        assert got.getvalue() == body and max(sizes) <= 1 << 20
+
+
 def test_quoted_fields_over_chunks(monkeypatch):
     body = b'a,"x\ny""\n",b\n1,2\n"open'
     for size in range(1, len(body) + 1):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
@@ -86,11 +87,18 @@ def scan_fixed_width(spark: SparkSession, d: str) -> DataFrame:
     return fixed_width.scan_fixed_width(spark, path)
 
 
-def land(folder: str, name: str, content: bytes) -> str:
-    """Write a file into the shared folder, as a task does; its path."""
+@contextmanager
+def landing(folder: str, name: str) -> Iterator[pa.NativeFile]:
+    """A file in the shared folder that a task writes as its content comes."""
     store, inner = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
     store.create_dir(inner)
     with store.open_output_stream(f"{inner}/{name}") as file:
+        yield file
+
+
+def land(folder: str, name: str, content: bytes) -> str:
+    """Write a file into the shared folder, as a task does; its path."""
+    with landing(folder, name) as file:
         file.write(content)
     return f"{folder}/{name}"
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
+from collections.abc import Iterator
+from contextlib import ExitStack
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +34,7 @@ from workload.normalising import (
     number_sql,
 )
 from workload.registry import query, raw, typed
-from workload.scans import land
+from workload.scans import landing
 
 # Months in which more lines than average were shipped count as published.
 RELEASES = """
@@ -396,8 +400,10 @@ def backfill_waybills(spark: SparkSession, d: str) -> DataFrame:
 def border_archives(spark: SparkSession, d: str, folder: str) -> DataFrame:
     """(archive) of zip archives of monthly CSV members in ``folder``, one per month.
 
-    Spark builds the CSV lines. The data of May's dot1 member is damaged, and June's archive
-    has a cumulative dot1 member that holds May; every March archive comes twice.
+    Spark builds the CSV lines and sorts them into members, and a task writes each archive as
+    its lines come: no month and no member is held in memory. The data of May's dot1 member is
+    damaged, and June's archive has a cumulative dot1 member that holds May; every March archive
+    comes twice.
     """
     rows = raw(spark, d, R.BORDER)
     month = F.when(F.col("MONTH") == "13", "01").otherwise(F.col("MONTH"))
@@ -407,30 +413,64 @@ def border_archives(spark: SparkSession, d: str, folder: str) -> DataFrame:
     for view, header in BORDER_VIEWS.items():
         fields = [F.coalesce(F.col(c), F.lit("")) for c in header.split(",")]
         one = rows.where(F.col("source_file") == view)
-        line = [F.lit(header).alias("header"), F.concat_ws(",", *fields).alias("line")]
+        line = F.concat_ws(",", *fields).alias("line")
         name = F.concat(F.lit(f"{view}_"), "m", short, F.lit(".csv")).alias("member")
-        frames.append(one.select("y", "m", name, *line))
+        frames.append(one.select("y", "m", name, line))
         if view == "dot1":
             ytd = F.concat(F.lit("dot1_ytd_06"), short, F.lit(".csv")).alias("member")
-            frames.append(one.where("m IN ('05', '06')").select("y", F.lit("06").alias("m"), ytd, *line))
+            frames.append(one.where("m IN ('05', '06')").select("y", F.lit("06").alias("m"), ytd, line))
     lines = reduce(lambda a, b: a.unionByName(b), frames)
-
-    def pack(month: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-            for member, part in rows.groupby("member"):
-                z.writestr(f"{month[0]}/{member}", "\n".join([part["header"].iloc[0], *part["line"]]))
-            infos = {i.filename.rpartition("/")[2]: i for i in z.infolist()}
-        content = bytearray(buffer.getvalue())
-        for member, info in infos.items():
-            # Two digits of year mean 20yy, so only these can be found in the cumulative one.
-            if member.startswith("dot1_05") and month[0] >= "2000":
-                content[info.header_offset + 30 + len(info.filename) + 8] ^= 0xFF
-        copies = 2 if month[1] == "03" else 1
-        names = [f"{month[0]}-{month[1]}-{i}.zip" for i in range(copies)]
-        return pd.DataFrame({"archive": [land(folder, n, bytes(content)) for n in names]})
-
-    return lines.groupBy("y", "m").applyInPandas(pack, "archive string")
+    dealt = lines.repartition("y", "m").sortWithinPartitions("y", "m", "member")
+    return dealt.mapInArrow(lambda batches: pack_months(batches, folder), "archive string")
+
+
+class _Copies:
+    """Files that are written alike; the byte at ``harm`` is damaged on its way."""
+
+    def __init__(self, files: list) -> None:
+        self.files, self.at, self.harm = files, 0, None
+
+    def write(self, data: bytes) -> int:
+        if self.harm is not None and 0 <= (i := self.harm - self.at) < len(data):
+            data = data[:i] + bytes([data[i] ^ 0xFF]) + data[i + 1 :]
+        for file in self.files:
+            file.write(data)
+        self.at += len(data)
+        return len(data)
+
+    def flush(self) -> None:
+        for file in self.files:
+            file.flush()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array]]:
+    """((y, m, member), lines) of the rows that follow one another in a batch."""
+    for batch in batches:
+        keys, lines = batch.columns[:3], batch.column(3)
+        start = 0
+        for end in sorted({e for c in keys for e in pc.run_end_encode(c).run_ends.to_pylist()}):
+            yield tuple(c[start].as_py() for c in keys), lines[start:end]
+            start = end
+
+
+def pack_months(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Write an archive for each month of (y, m, member, line), sorted by the first three."""
+    for (year, month), of_month in groupby(_runs(batches), lambda run: run[0][:2]):
+        names = [f"{year}-{month}-{i}.zip" for i in range(2 if month == "03" else 1)]
+        with ExitStack() as opened:
+            copies = _Copies([opened.enter_context(landing(folder, name)) for name in names])
+            z = opened.enter_context(zipfile.ZipFile(copies, "w", zipfile.ZIP_DEFLATED))
+            for (_, _, member), of_member in groupby(of_month, itemgetter(0)):
+                if member is None:
+                    continue
+                with z.open(f"{year}/{member}", "w", force_zip64=True) as file:
+                    # Two digits of year mean 20yy, so only these can be found in the cumulative one.
+                    if member.startswith("dot1_05") and year >= "2000":
+                        copies.harm = copies.at + 8
+                    file.write(BORDER_VIEWS[member.partition("_")[0]].encode())
+                    for _, lines in of_member:
+                        file.write(("\n" + "\n".join(lines.to_pylist())).encode())
+        yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{n}" for n in names], pa.string())], ["archive"])
 
 
 @query(
